@@ -2,14 +2,16 @@
 
 from __future__ import annotations
 
-from . import language, quality, secrets, sharding, url_filter
+from . import decontaminate, language, pii, quality, secrets, sharding, url_filter
 
 
 def queries() -> dict:
     return {
         "op1_secret_scans": secrets.op1_secret_scans,
+        "op3_decontamination": decontaminate.op3_decontamination,
         "op6_language_id": language.op6_language_id,
         "op7_quality_rules": quality.op7_quality_rules,
+        "op8_pii": pii.op8_pii,
         "op9_url_filters": url_filter.op9_url_filters,
         "op10_sharding": sharding.op10_sharding,
     }
@@ -17,4 +19,4 @@ def queries() -> dict:
 
 def oracle_sql() -> dict[str, str]:
     """Only where SQL can express the whole result; the others are held against brute force in the tests."""
-    return {"op7_quality_rules": quality.ORACLE, "op9_url_filters": url_filter.oracle()}
+    return {"op3_decontamination": decontaminate.ORACLE, "op7_quality_rules": quality.ORACLE, "op9_url_filters": url_filter.oracle()}
