@@ -2,13 +2,14 @@
 
 from __future__ import annotations
 
-from . import decontaminate, language, pii, quality, secrets, sharding, url_filter
+from . import bpe, decontaminate, language, pii, quality, secrets, sharding, url_filter
 
 
 def queries() -> dict:
     return {
         "op1_secret_scans": secrets.op1_secret_scans,
         "op3_decontamination": decontaminate.op3_decontamination,
+        "op5_bpe": bpe.op5_bpe,
         "op6_language_id": language.op6_language_id,
         "op7_quality_rules": quality.op7_quality_rules,
         "op8_pii": pii.op8_pii,
