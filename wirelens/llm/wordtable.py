@@ -27,7 +27,7 @@ FLUSH = 400_000
 def pack(values: np.ndarray) -> bytes:
     """Non-negative integers as compressed byte planes."""
     width = max(1, (int(values.max(initial=0)).bit_length() + 7) // 8)
-    planes = values.astype("<u4" if width <= 4 else "<u8").view(np.uint8).reshape(len(values), -1)[:, :width]
+    planes = values.astype("<u4" if width <= 4 else "<u8").view(np.uint8).reshape(len(values), 4 if width <= 4 else 8)[:, :width]
     data = np.ascontiguousarray(planes.T).tobytes()
     return len(values).to_bytes(8, "little") + bytes([width]) + pa.compress(data, codec="zstd", asbytes=True)
 
