@@ -2,12 +2,13 @@
 
 from __future__ import annotations
 
-from . import bpe, decontaminate, language, pii, quality, secrets, sharding, url_filter
+from . import bpe, decontaminate, hmm, language, pii, quality, secrets, sharding, url_filter
 
 
 def queries() -> dict:
     return {
         "op1_secret_scans": secrets.op1_secret_scans,
+        "op2_lm_scoring": hmm.op2_lm_scoring,
         "op3_decontamination": decontaminate.op3_decontamination,
         "op5_bpe": bpe.op5_bpe,
         "op6_language_id": language.op6_language_id,
