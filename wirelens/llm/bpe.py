@@ -3,10 +3,12 @@
 1. Texts are split into words exactly as the tokenizer's normalizer and
    pre-tokenizer do (a word never crosses white space); counts of distinct
    words are summed in Spark.
-2. Each distinct word is encoded once, and its ids are joined with the
-   id-to-piece table, which decodes it once.
+2. Each distinct word is encoded once.
 3. The ids return to the documents by place: frequent words from the bounded
    top table, the others through their number in the chunk's list.
+4. Decoding joins the ids of a chunk's distinct words with the id-to-piece
+   table, a broadcast hash join inside the chunk's task: the vocabulary is a
+   fixed bound.
 
 A text of characters below U+0250 is split by an expression over their
 classes; any other text by the tokenizer's own components.  Special tokens in
@@ -32,14 +34,12 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from .common import Scratch, id_and_text, table
-from .wordtable import FLUSH, chunk_ids, chunks, pack, rows, top_words, unpack
+from .wordtable import FLUSH, Numbers, chunk_ids, chunks, listed, pack, pack_words, rows, top_words, unpack
 
 #: Characters that the quick splitter handles: their classes and case are the same in every Unicode version.
 _UNSAFE = re.compile("[^\\x00-\\x1b\\x20-įı-ɏ]")
 _CLASS = {c: re.escape("".join(chr(x) for x in range(0x250) if unicodedata.category(chr(x))[0] == c)) for c in "LN"}
 _PIECES = re.compile(rf"'s|'t|'re|'ve|'m|'ll|'d|[{_CLASS['L']}]+|[{_CLASS['N']}]|[^\s{_CLASS['L']}{_CLASS['N']}]+")
-#: Encoded words that a task remembers while it splits.
-CACHE = 300_000
 
 
 def byte_letters() -> list[str]:
@@ -120,99 +120,103 @@ def _count(spec: str):
 
 
 def word_table(docs: DataFrame, spec: str) -> DataFrame:
-    """word, n, ids and text: every distinct word, encoded once and decoded through the id-to-piece join."""
-    spark = docs.sparkSession
+    """word, n and ids (decimal, joined by a blank) of every distinct word, each encoded once."""
     held: dict = {}
 
-    @F.pandas_udf("array<int>")
+    @F.pandas_udf("string")
     def encode(words):
-        import pandas as pd
-
         if "split" not in held:
             held["split"] = Splitter(spec)
-        return pd.Series([np.array(held["split"].encode(w), np.int32) for w in words], index=words.index, dtype=object)
+        return words.map(lambda w: " ".join(map(str, held["split"].encode(w))))
+
+    return docs.mapInArrow(_count(spec), "word string, n long").groupBy("word").agg(F.sum("n").alias("n")).withColumn("ids", encode("word"))
+
 
+def id_to_piece(spec: str) -> dict[str, str]:
     model = json.loads(spec)
-    pieces = {i: p for p, i in model["model"]["vocab"].items()} | {t["id"]: t["content"] for t in model["added_tokens"]}
-    names = spark.createDataFrame(sorted(pieces.items()), "id int, piece string")
-    words = docs.mapInArrow(_count(spec), "word string, n long").groupBy("word").agg(F.sum("n").alias("n")).withColumn("ids", encode("word"))
-    each = words.select("word", "n", F.posexplode("ids").alias("pos", "id")).join(F.broadcast(names), "id", "left")  # the vocabulary bounds this side
-    return each.groupBy("word").agg(F.first("n").alias("n"), F.array_sort(F.collect_list(F.struct("pos", "id", "piece"))).alias("p")).select(
-        "word", "n", F.array_join(F.transform("p", lambda x: x["id"].cast("string")), " ").alias("ids"), F.array_join(F.transform("p", lambda x: x["piece"]), " ").alias("text"), F.size("p").alias("size")
-    )
+    return {str(i): p for p, i in model["model"]["vocab"].items()} | {str(t["id"]): t["content"] for t in model["added_tokens"]}
 
 
-_CHUNK = "chunk long, doc_ids array<long>, lens binary, codes binary, words array<string>"
+_CHUNK = "chunk long, doc_ids array<long>, lens binary, codes binary, words binary"
 
 
-def _pack_chunks(spec: str, top: dict[str, int]):
-    """Documents as numbers: below len(top) a frequent word, above it a word of the chunk's list."""
+class Runs(Numbers):
+    """Numbers the distinct runs of a chunk and keeps the codes of their words: below len(top) a frequent word, above it a word of the chunk's list."""
+
+    def __init__(self, top: dict[str, int]):
+        self.top, self.local, self.flat, self.ends = top, Numbers(), [], [0]
+
+    def add(self, words: list[str]) -> None:
+        for w in words:
+            k = self.top.get(w)
+            self.flat.append(len(self.top) + self.local[w] if k is None else k)
+        self.ends.append(len(self.flat))
+
+    def __missing__(self, run):
+        self[run] = n = len(self)
+        self.add(_PIECES.findall(run))
+        return n
+
+    def word(self, w: str) -> int:
+        """The number of a word that came from the tokenizer's own splitter, apart from all runs."""
+        key = (w,)
+        if key not in self:
+            self[key] = len(self)
+            self.add([w])
+        return dict.__getitem__(self, key)
+
 
+def _pack_chunks(spec: str, top: dict[str, int]):
     def run(batches):
-        split, base, known = Splitter(spec), len(top), {}
+        split = Splitter(spec)
         for chunk, held in zip(chunk_ids(), chunks(rows(batches), lambda r: len(r[1])), strict=False):
-            local: dict[str, int] = {}
-            codes: list[np.ndarray] = []
-            number = lambda w: top[w] if w in top else base + local.setdefault(w, len(local))
+            runs, places, lens = Runs(top), [], []
             for _, text in held:
-                flat: list[int] = []
-                if split.quick(text):
-                    for run in split.runs(text):
-                        got = known.get(run)
-                        if got is None:
-                            words = _PIECES.findall(run)
-                            got = [top.get(w, -1) for w in words]
-                            if -1 in got:
-                                flat += [number(w) for w in words]
-                                continue
-                            if len(known) >= CACHE:
-                                known.clear()
-                            known[run] = got
-                        flat += got
-                else:
-                    flat = [number(w) for w in split.slow(text)]
-                codes.append(np.array(flat, np.uint32))
-            every = np.concatenate(codes) if codes else np.empty(0, np.uint32)
+                places.append(runs.of(split.runs(text)) if split.quick(text) else np.array([runs.word(w) for w in split.slow(text)], np.int64))
+            flat, ends = np.array(runs.flat, np.int64), np.array(runs.ends, np.int64)
+            many = np.diff(ends)
+            codes = []
+            for p in places:
+                n = many[p]
+                total = int(n.sum())
+                lens.append(total)
+                codes.append(flat[np.arange(total) - np.repeat(np.cumsum(n) - n, n) + np.repeat(ends[p], n)])
             yield pa.RecordBatch.from_pydict(
-                {"chunk": pa.array([chunk], pa.int64()), "doc_ids": pa.array([[r[0] for r in held]], pa.list_(pa.int64())), "lens": pa.array([pack(np.array([len(c) for c in codes], np.uint32))], pa.binary()),
-                 "codes": pa.array([pack(every)], pa.binary()), "words": pa.array([list(local)], pa.list_(pa.string()))}
+                {"chunk": pa.array([chunk], pa.int64()), "doc_ids": pa.array([[r[0] for r in held]], pa.list_(pa.int64())), "lens": pa.array([pack(np.array(lens, np.int64))], pa.binary()),
+                 "codes": pa.array([pack(np.concatenate(codes))], pa.binary()), "words": pa.array([pack_words(list(runs.local))], pa.binary())}
             )
 
     return run
 
 
-def _listed(batches):
-    """The words of every chunk's list; takes whole rows, so that both readers of the exchange share it."""
-    for batch in batches:
-        for chunk, words in zip(batch.column(0).to_pylist(), batch.column(4), strict=True):
-            w = words.values
-            for at in range(0, len(w), 50_000):
-                part = w.slice(at, 50_000)
-                yield pa.RecordBatch.from_arrays([pa.array([chunk] * len(part), pa.int64()), pa.array(range(at, at + len(part)), pa.int32()), part], names=["chunk", "at", "word"])
-
-
-def _assemble(top_rows: list[tuple[str, str, int]], full: bool):
+def _assemble(top_ids: list[str], pieces: dict[str, str], full: bool):
     schema = pa.schema([("doc_id", pa.int64()), ("n_tokens", pa.int64()), ("ids", pa.string()), ("decoded", pa.string())])
+    held: dict = {}
+
+    def decode(ids: list[str]) -> tuple[list[str], np.ndarray]:
+        parts = [i.split(" ") for i in ids]
+        return [" ".join([pieces[x] for x in p]) for p in parts], np.array([len(p) for p in parts], np.int64)
 
     def run(left: pa.Table, right: pa.Table) -> pa.Table:
         if not left.num_rows:
             return schema.empty_table()
-        order = right.column("at").to_numpy().argsort()
-        ids = [r[0] for r in top_rows] + right.column("ids").take(pa.array(order)).to_pylist()
-        texts = [r[1] for r in top_rows] + right.column("text").take(pa.array(order)).to_pylist()
-        sizes = np.concatenate((np.array([r[2] for r in top_rows], np.int64), right.column("size").to_numpy()[order].astype(np.int64)))
-        if len(ids) != len(top_rows) + len(left.column("words")[0]):
-            raise RuntimeError("a chunk's words and their ids differ; the input changed between two reads")
+        if not held:
+            held["texts"], held["sizes"] = decode(top_ids)
+        mine = right.column("ids").take(pa.array(right.column("at").to_numpy().argsort())).to_pylist()
+        texts, sizes = decode(mine)
+        ids, texts, sizes = top_ids + mine, held["texts"] + texts, np.concatenate((held["sizes"], sizes))
         lens, codes = unpack(left.column("lens")[0].as_py()), unpack(left.column("codes")[0].as_py())
+        if int(codes.max(initial=-1)) >= len(ids):
+            raise RuntimeError("a chunk's words and their ids differ; the input changed between two reads")
         out: dict[str, list] = {n: [] for n in schema.names}
         at = 0
         digest = (lambda s: s) if full else (lambda s: hashlib.sha256(s.encode()).hexdigest())
         for doc_id, n in zip(left.column("doc_ids")[0].as_py(), lens.tolist(), strict=True):
-            mine = codes[at : at + n]
+            code = codes[at : at + n]
             at += n
-            few = mine.tolist()
+            few = code.tolist()
             out["doc_id"].append(doc_id)
-            out["n_tokens"].append(int(sizes[mine].sum()))
+            out["n_tokens"].append(int(sizes[code].sum()))
             out["ids"].append(digest(" ".join([ids[c] for c in few])))
             out["decoded"].append(digest(" ".join([texts[c] for c in few])))
         return pa.table(out, schema=schema)
@@ -232,13 +236,14 @@ def read_spec(path: str | None = None) -> str:
 def encode(docs: DataFrame, spec: str, full: bool = True) -> DataFrame:
     """doc_id, n_tokens, ids (decimal, joined by a blank) and decoded text of every document; with full=False the SHA-256 of both texts instead."""
     d = id_and_text(docs)
-    words = Scratch(docs.sparkSession, "bpe").table(word_table(d, spec), "words")
-    top = top_words(words, "n", ["word", "ids", "text", "size"])
-    number = {r["word"]: k for k, r in enumerate(top)}
-    packed = d.mapInArrow(_pack_chunks(spec, number), _CHUNK).repartition("chunk")
-    listed = packed.mapInArrow(_listed, "chunk long, at int, word string")
-    answers = listed.join(words.select("word", "ids", "text", "size"), "word").select("chunk", "at", "ids", "text", "size")
-    return packed.groupBy("chunk").cogroup(answers.groupBy("chunk")).applyInArrow(_assemble([(r["ids"], r["text"], r["size"]) for r in top], full), "doc_id long, n_tokens long, ids string, decoded string")
+    scratch = Scratch(docs.sparkSession, "bpe")
+    words = scratch.table(word_table(d, spec), "words")
+    scratch.release()
+    top = top_words(words, "n", ["word", "ids"])
+    packed = d.mapInArrow(_pack_chunks(spec, {r["word"]: k for k, r in enumerate(top)}), _CHUNK).repartition("chunk")
+    places = packed.mapInArrow(listed(0, 4), "chunk long, at int, word string")
+    answers = places.join(words.select("word", "ids"), "word").select("chunk", "at", "ids")
+    return packed.groupBy("chunk").cogroup(answers.groupBy("chunk")).applyInArrow(_assemble([r["ids"] for r in top], id_to_piece(spec), full), "doc_id long, n_tokens long, ids string, decoded string")
 
 
 def op5_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:

@@ -40,6 +40,13 @@ class Scratch:
         df.write.option("compression", "zstd").parquet(path)
         return self.spark.read.schema(df.schema).parquet(path)
 
+    def release(self) -> None:
+        """Lets Spark remove the shuffle files of jobs that are over; it does so once their plans are collected."""
+        import gc
+
+        gc.collect()
+        self.spark.sparkContext._jvm.System.gc()
+
     def drop(self, name: str) -> None:
         """Remove a table that no later plan reads."""
         jvm = self.spark.sparkContext._jvm

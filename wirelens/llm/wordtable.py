@@ -10,7 +10,6 @@ chunk rather than once an occurrence, and every group is as small as a chunk.
 
 from __future__ import annotations
 
-import zlib
 from collections.abc import Callable, Iterator
 
 import numpy as np
@@ -18,8 +17,8 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-TOP = 1 << 17
-CHUNK_CHARS = 4_000_000
+TOP = 1 << 18
+CHUNK_CHARS = 8_000_000
 #: Distinct words that a task counts before it passes its partial counts on.
 FLUSH = 400_000
 
@@ -87,5 +86,36 @@ def chunk_ids() -> Iterator[int]:
         at += 1
 
 
-def crc(data: bytes) -> int:
-    return zlib.crc32(data)
+class Numbers(dict):
+    """Numbers its keys from 0 as they come."""
+
+    def __missing__(self, key):
+        self[key] = n = len(self)
+        return n
+
+    def of(self, keys: list) -> np.ndarray:
+        return np.fromiter(map(self.__getitem__, keys), np.int64, len(keys))
+
+
+def pack_words(words: list[str]) -> bytes:
+    """A list of words, none of which has a line break, in one compressed piece."""
+    data = "\n".join(words).encode("utf-8", "surrogatepass")
+    return len(data).to_bytes(8, "little") + pa.compress(data, codec="zstd", asbytes=True) if words else b""
+
+
+def unpack_words(blob: bytes) -> list[str]:
+    return pa.decompress(blob[8:], decompressed_size=int.from_bytes(blob[:8], "little"), codec="zstd", asbytes=True).decode("utf-8", "surrogatepass").split("\n") if blob else []
+
+
+def listed(chunk_at: int, words_at: int):
+    """For mapInArrow: (chunk, place, word) of every chunk's list; takes whole rows, so that all readers of an exchange can share it."""
+
+    def run(batches):
+        for batch in batches:
+            for chunk, blob in zip(batch.column(chunk_at).to_pylist(), batch.column(words_at).to_pylist(), strict=True):
+                w = unpack_words(blob)
+                for at in range(0, len(w), 50_000):
+                    part = w[at : at + 50_000]
+                    yield pa.RecordBatch.from_arrays([pa.array([chunk] * len(part), pa.int64()), pa.array(range(at, at + len(part)), pa.int32()), pa.array(part, pa.string())], names=["chunk", "at", "word"])
+
+    return run
