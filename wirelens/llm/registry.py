@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from . import bpe, decontaminate, hmm, language, pii, quality, secrets, sharding, url_filter
+from . import bpe, decontaminate, hmm, jaccard, language, pii, quality, secrets, sharding, url_filter
 
 
 def queries() -> dict:
@@ -10,6 +10,7 @@ def queries() -> dict:
         "op1_secret_scans": secrets.op1_secret_scans,
         "op2_lm_scoring": hmm.op2_lm_scoring,
         "op3_decontamination": decontaminate.op3_decontamination,
+        "op4_jaccard_join": jaccard.op4_jaccard_join,
         "op5_bpe": bpe.op5_bpe,
         "op6_language_id": language.op6_language_id,
         "op7_quality_rules": quality.op7_quality_rules,
