@@ -5,9 +5,10 @@ similarity of PERCENT / 100 or more.
 
 1. Documents with equal sets form one class, found by a 128-bit fingerprint;
    everything later works on classes.
-2. First filter: any two linked sets share KEEP or more of the shingles in
-   their prefixes extended by KEEP - 1, in hash order.  Classes with fewer
-   prefix shingles that any other class has cannot link and leave.
+2. First filter: any two linked sets share k or more of the shingles in their
+   prefixes extended by k - 1, in hash order; k is a tenth of the smaller set
+   (KEEP at least).  Classes with fewer prefix shingles that any other class
+   has cannot link and leave.
 3. The sets of the classes that stay are ordered by rarity (exact counts among
    them).  A set of n shingles has overlap bound a = ceil(n * PERCENT / 100).
    Extending the prefix to n - a + k shingles makes linked sets share at
@@ -43,39 +44,94 @@ from .common import Scratch, id_and_text, table
 from .components import components
 
 SHINGLE, PERCENT = 4, 85
-KEEP, RARE = 8, 16
+#: The first filter's extension: a tenth of the set, KEEP at least.
+KEEP, KEEP_PART = 8, 10
+#: Sets that hold a rare shingle, at most.
+RARE = 16
 #: Shingles of a set for which one hash class of frequent shingles is used.
 CLASS_SPAN = 128
 #: Sets and shingles of one block of a family.
 BLOCK_SETS, BLOCK_SHINGLES = 1024, 1_000_000
 #: Class representatives whose ids are broadcast to fetch their texts; more are fetched by a shuffled join.
 BROADCAST_IDS = 500_000
-_CACHED_WORDS = 500_000
-
-
-class WordHash(dict):
-    def __missing__(self, word: bytes) -> int:
-        if len(self) >= _CACHED_WORDS:
-            self.clear()
-        self[word] = h = int.from_bytes(hashlib.blake2b(word, digest_size=8).digest(), "little")
-        return h
-
-
-def shingles(text: str | None, hashes: WordHash) -> np.ndarray:
-    """The set's hashes, ascending."""
-    words = text.encode("utf-8", "surrogatepass").lower().split() if text else []
-    if len(words) < SHINGLE:
-        whole = hashlib.blake2b(b" ".join(words), digest_size=8, salt=b"whole").digest()
-        return np.frombuffer(whole, np.uint64) if words else np.empty(0, np.uint64)
-    w = np.fromiter(map(hashes.__getitem__, words), np.uint64, len(words))
-    n = len(w) - SHINGLE + 1
-    h = w[:n].copy()
-    for j in range(1, SHINGLE):
-        h = h * np.uint64(0x9E3779B97F4A7C15) + w[j : j + n]
-        h ^= h >> np.uint64(29)
-    h *= np.uint64(0xBF58476D1CE4E5B9)
-    h ^= h >> np.uint64(32)
-    return np.unique(h)
+
+
+_SPACE = np.zeros(256, bool)
+_SPACE[[9, 10, 11, 12, 13, 32]] = True
+_ODD = 0x9E3779B97F4A7C15
+#: Bytes of text that are hashed at once; a longer text is hashed alone.
+_SLICE = 1_000_000
+
+
+def _mix(h: np.ndarray) -> np.ndarray:
+    h = (h ^ h >> np.uint64(32)) * np.uint64(0xD6E8FEB86659FD93)
+    h = (h ^ h >> np.uint64(29)) * np.uint64(0xBF58476D1CE4E5B9)
+    return h ^ h >> np.uint64(32)
+
+
+class Hasher:
+    """Shingle sets of many texts at once.
+
+    A word's hash is a polynomial of its bytes modulo 2 ** 64, taken for all
+    words of a slice from running sums, and mixed.
+    """
+
+    def __init__(self):
+        self.power = self.inverse = np.ones(1, np.uint64)
+
+    def _powers(self, n: int) -> None:
+        if len(self.power) < n:
+            steps = np.full(n, _ODD, np.uint64)
+            back = np.full(n, pow(_ODD, -1, 1 << 64), np.uint64)
+            steps[0] = back[0] = 1
+            self.power, self.inverse = np.cumprod(steps), np.cumprod(back)
+
+    def _slice(self, raws: list[bytes]) -> list[np.ndarray]:
+        data = np.frombuffer(b" ".join(raws) + b" ", np.uint8)
+        self._powers(len(data))
+        space = _SPACE[data]
+        before = np.concatenate(([True], space[:-1]))
+        start, end = np.flatnonzero(~space & before), np.flatnonzero(space & ~before)
+        total = np.concatenate((np.zeros(1, np.uint64), np.cumsum((data.astype(np.uint64) + np.uint64(1)) * self.power[: len(data)])))
+        w = _mix((total[end] - total[start]) * self.inverse[start])
+        first = np.cumsum([0] + [len(r) + 1 for r in raws])
+        at = np.searchsorted(start, first)
+        n = max(0, len(w) - SHINGLE + 1)
+        h = w[:n]
+        for j in range(1, SHINGLE):
+            h = _mix(h * np.uint64(_ODD) + w[j : j + n])
+        out = []
+        for k in range(len(raws)):
+            a, b = at[k], at[k + 1]
+            if b - a >= SHINGLE:
+                out.append(np.unique(h[a : b - SHINGLE + 1]))
+            elif b > a:  # the whole sequence, told apart by its length
+                x = np.full(1, b - a, np.uint64)
+                for i in range(a, b):
+                    x = _mix(x * np.uint64(_ODD) + w[i])
+                out.append(x)
+            else:
+                out.append(np.empty(0, np.uint64))
+        return out
+
+    def sets(self, texts: list[str | None]) -> list[np.ndarray]:
+        """Each text's distinct hashes, ascending."""
+        out: list[np.ndarray] = []
+        held: list[bytes] = []
+        size = 0
+        for t in texts:
+            raw = t.encode("utf-8", "surrogatepass").lower() if t else b""
+            if held and size + len(raw) > _SLICE:
+                out += self._slice(held)
+                held, size = [], 0
+            held.append(raw)
+            size += len(raw) + 1
+        return out + self._slice(held) if held else out
+
+
+def least_shared(n: int) -> int:
+    """Shingles that two linked sets share at least in their extended prefixes, for the smaller set's size n."""
+    return min(-(-n * PERCENT // 100), max(KEEP, n // KEEP_PART))
 
 
 def overlap_bound(n: Column) -> Column:
@@ -84,28 +140,26 @@ def overlap_bound(n: Column) -> Column:
 
 def _sets(prefix_only: bool):
     def run(batches):
-        hashes = WordHash()
+        hasher = Hasher()
         for batch in batches:
             for at in range(0, batch.num_rows, 1000):
                 part = batch.slice(at, 1000)
                 sizes, keys, values, ends = [], [], [], [0]
-                for text in part.column(1).to_pylist():
-                    h = shingles(text, hashes)
+                for h in hasher.sets(part.column(1).to_pylist()):
                     n = len(h)
                     sizes.append(n)
                     keys.append(hashlib.blake2b(h.tobytes(), digest_size=16).digest() if n else None)
-                    bound = -(-n * PERCENT // 100)
-                    h = h[: n - bound + min(KEEP, bound)] if prefix_only else h
+                    h = h[: n - -(-n * PERCENT // 100) + least_shared(n)] if prefix_only else h
                     values.append(h)
                     ends.append(ends[-1] + len(h))
                 flat = np.concatenate(values).view(np.int64) if values else np.empty(0, np.int64)
                 lists = pa.ListArray.from_arrays(pa.array(ends, pa.int32()), pa.array(flat))
-                yield pa.RecordBatch.from_arrays([part.column(0), pa.array(sizes, pa.int64()), pa.array(keys, pa.binary()), lists], names=["doc_id", "n", "key", "tokens"])
+                yield pa.RecordBatch.from_arrays([part.column(0), pa.array(sizes, pa.int64()), pa.array(keys, pa.binary()), lists], names=["doc_id", "n", "print", "tokens"])
 
     return run
 
 
-_SETS = "doc_id long, n long, key binary, tokens array<long>"
+_SETS = "doc_id long, n long, print binary, tokens array<long>"
 
 
 def levels(n: int) -> set[int]:
@@ -138,7 +192,7 @@ def _index(batches):
             every = np.unique(np.concatenate(buckets)) if buckets else np.empty(0, np.uint64)
             for at in range(0, len(every), 20_000):
                 part = every[at : at + 20_000].view(np.int64)
-                yield pa.RecordBatch.from_arrays([pa.array([batch.column(0)[k].as_py()] * len(part), pa.binary()), pa.array(np.full(len(part), n)), pa.array(part)], names=["key", "n", "bucket"])
+                yield pa.RecordBatch.from_arrays([pa.array([batch.column(0)[k].as_py()] * len(part), pa.int64()), pa.array(np.full(len(part), n)), pa.array(part)], names=["key", "n", "bucket"])
 
 
 def _linked(shared: Column, n: Column, m: Column) -> Column:
@@ -180,7 +234,7 @@ def _verify_blocks(group: pa.Table) -> pa.Table:
             left[found] = False
             edges += [(keys[i], keys[j]) for j in found]
             front += found.tolist()
-    return pa.table({"a": pa.array([e[0] for e in edges], pa.binary()), "b": pa.array([e[1] for e in edges], pa.binary())})
+    return pa.table({"a": pa.array([e[0] for e in edges], pa.int64()), "b": pa.array([e[1] for e in edges], pa.int64())})
 
 
 def _family_links(stars: DataFrame, sets: DataFrame, scratch: Scratch) -> DataFrame:
@@ -191,34 +245,37 @@ def _family_links(stars: DataFrame, sets: DataFrame, scratch: Scratch) -> DataFr
     full = full.join(size.select("family", blocks.alias("blocks")), "family").withColumn("block", F.pmod(F.xxhash64("key"), F.col("blocks")).cast("int"))
     met = full.withColumn("other", F.explode(F.sequence(F.lit(0), F.col("blocks") - 1)))
     met = met.select("family", F.least("block", "other").alias("p"), F.greatest("block", "other").alias("q"), "block", "key", "n", "tokens")
-    return met.groupBy("family", "p", "q").applyInArrow(_verify_blocks, "a binary, b binary")
+    return met.groupBy("family", "p", "q").applyInArrow(_verify_blocks, "a long, b long")
 
 
 def classes(docs: DataFrame, scratch: Scratch) -> tuple[DataFrame, DataFrame]:
-    """(doc_id, n, key) of every document, and (key, rep, n, prefix) of every class with a set."""
+    """(doc_id, n, print) of every document, and (key, print, rep, n, prefix) of every class with a set; key is a number given once."""
     base = scratch.table(id_and_text(docs).mapInArrow(_sets(True), _SETS), "documents")
-    reps = base.where("n > 0").groupBy("key").agg(F.min("doc_id").alias("rep"), F.first("n").alias("n"), F.first("tokens").alias("tokens"))
-    return base.select("doc_id", "n", "key"), scratch.table(reps, "classes")
+    reps = base.where("n > 0").groupBy("print").agg(F.min("doc_id").alias("rep"), F.first("n").alias("n"), F.first("tokens").alias("tokens"))
+    return base.select("doc_id", "n", "print"), scratch.table(reps.select(F.monotonically_increasing_id().alias("key"), "*"), "classes")
 
 
 def links(docs: DataFrame, reps: DataFrame, scratch: Scratch) -> DataFrame:
     """(a, b) between classes: a subset of the links that connects every component of linked classes."""
-    each = reps.select("key", "n", F.explode("tokens").alias("h"))
+    each = reps.select("key", F.explode("tokens").alias("h"))
     known = each.groupBy("h").agg(F.count("*").alias("c")).where("c > 1").select("h")
-    shared = each.join(known, "h").groupBy("key").agg(F.first("n").alias("n"), F.count("*").alias("c"))
-    stay = scratch.table(shared.where(F.col("c") >= F.least(F.lit(KEEP), overlap_bound(F.col("n")))).join(reps.select("key", "rep"), "key").select("key", "rep"), "stay")
+    shared = each.join(known, "h").groupBy("key").agg(F.count("*").alias("c"))
+    smaller = overlap_bound(F.col("n"))  # no linked set has fewer shingles
+    # a set of fewer than 6 shingles links with equal sets only
+    need = F.least(overlap_bound(smaller), F.greatest(F.lit(KEEP), F.floor(smaller / KEEP_PART)))
+    stay = scratch.table(shared.where("c >= 6").join(reps.select("key", "print", "rep", "n"), "key").where(F.col("c") >= need).select("key", "print", "rep"), "stay")
     scratch.release()
     wanted = stay.select("rep").distinct()
     d = id_and_text(docs)
     wanted = F.broadcast(wanted) if stay.count() <= BROADCAST_IDS else wanted
     texts = d.join(wanted, d["doc_id"].eqNullSafe(wanted["rep"]), "left_semi")
-    sets = texts.mapInArrow(_sets(False), _SETS).join(stay.select("key"), "key", "left_semi").groupBy("key").agg(F.first("n").alias("n"), F.first("tokens").alias("tokens"))
+    sets = texts.mapInArrow(_sets(False), _SETS).join(stay.select("key", "print"), "print").groupBy("key").agg(F.first("n").alias("n"), F.first("tokens").alias("tokens"))
     sets = scratch.table(sets, "sets")
-    each = sets.select("key", "n", F.explode("tokens").alias("h"))
+    each = sets.select("key", F.explode("tokens").alias("h"))
     known = each.groupBy("h").agg(F.count("*").alias("c")).where("c > 1")
-    ranked = each.join(known, "h").groupBy("key").agg(F.first("n").alias("n"), F.array_sort(F.collect_list(F.struct("c", "h"))).alias("tokens"))  # a list is one document's set
-    ranked = ranked.where(F.size("tokens") >= overlap_bound(F.col("n")))
-    index = scratch.table(ranked.select("key", "n", "tokens").mapInArrow(_index, "key binary, n long, bucket long"), "index")
+    ranked = each.join(known, "h").groupBy("key").agg(F.array_sort(F.collect_list(F.struct("c", "h"))).alias("tokens"))  # a list is one document's set
+    ranked = ranked.join(sets.select("key", "n"), "key").where(F.size("tokens") >= overlap_bound(F.col("n")))
+    index = scratch.table(ranked.select("key", "n", "tokens").mapInArrow(_index, "key long, n long, bucket long"), "index")
     size = index.groupBy("bucket").agg(F.count("*").alias("c"), F.min("key").alias("pivot")).where("c > 1")
     placed = scratch.table(index.join(size, "bucket"), "buckets")
     scratch.release()
@@ -242,8 +299,8 @@ def link_components(docs: DataFrame) -> DataFrame:
     of = root.join(reps.select(F.col("key").alias("node"), "rep"), "node")
     least = of.groupBy("root").agg(F.min("rep").alias("least"))
     joined = of.join(least, "root").select(F.col("node").alias("key"), "least")
-    to = reps.select("key", "rep").join(joined, "key", "left").select("key", F.coalesce("least", "rep").alias("component"))
-    return base.join(to, "key", "left").select("doc_id", F.col("n").alias("n_shingles"), F.coalesce("component", "doc_id").alias("component_id"))
+    to = reps.select("key", "print", "rep").join(joined, "key", "left").select("print", F.coalesce("least", "rep").alias("component"))
+    return base.join(to, "print", "left").select("doc_id", F.col("n").alias("n_shingles"), F.coalesce("component", "doc_id").alias("component_id"))
 
 
 def keep_one(docs: DataFrame) -> DataFrame:
