@@ -103,6 +103,14 @@ def test_scores_and_workers(spark):
     assert (scoring.workers(1000, cap=20), scoring.workers(1, floor=4, cap=20), scoring.workers(100, floor=1, cap=100, each=5)) == (20, 4, 20)
 
 
+def test_batches_over_many_ranges(spark, monkeypatch):
+    monkeypatch.setattr(model_stage, "NUMBER_ROWS", 7)
+    df = spark.createDataFrame([(i % 5, None if i == 3 else i) for i in range(100)], "a int, b int")
+    rows = model_stage.batches(df, ["a", "b"], 20).collect()
+    want = sorted(((i % 5, None if i == 3 else i) for i in range(100)), key=lambda x: (x[0], -1 if x[1] is None else x[1]))
+    assert [(r["a"], r["b"]) for r in sorted(rows, key=lambda r: (r["batch"], r["pos"]))] == want
+
+
 def test_batches(spark):
     got = model_stage.batches(spark.range(0, 45).toDF("id"), ["id"], 20).orderBy("id").collect()
     assert [(r["batch"], r["pos"]) for r in got] == [(i // 20, i % 20) for i in range(45)]

@@ -14,16 +14,20 @@ ATOM = """<feed xmlns="http://www.w3.org/2005/Atom"><entry><title>Acme sells pum
 PAGE = """<li><h3>Beta division sold to fund</h3><a href="/n/5">x</a><time datetime="2024-01-31"></time></li>"""
 
 
-def classify(system, prompt):
-    n = prompt.count('. "')
-    rows = [{"deal_type": "corporate_carveout", "stage": "signing", "target_company": "Water Pumps" if "pumps" in line else "Beta", "seller": "Acme", "confidence": 60 + i, "reasoning": "r"} for i, line in enumerate(x for x in prompt.split("\n") if '. "' in x)]
-    assert len(rows) == n
-    return json.dumps(rows), 100, 10
+def providers():
+    def classify(system, prompt):
+        lines = [x for x in prompt.split("\n") if '. "' in x]
+        rows = [{"deal_type": "corporate_carveout", "stage": "signing", "target_company": "Water Pumps" if "pumps" in line else "Beta", "seller": "Acme", "confidence": 60 + i, "reasoning": "r"} for i, line in enumerate(lines)]
+        return json.dumps(rows), 100, 10
 
+    def qualify(system, prompt):
+        n = prompt.count('. "')
+        return json.dumps([{"fit": 80, "pe_buyer": 90, "separation_complexity": 70, "recommended_action": "pursue"}] * n), 50, 5
 
-def qualify(system, prompt):
-    n = prompt.count('. "')
-    return json.dumps([{"fit": 80, "pe_buyer": 90, "separation_complexity": 70, "recommended_action": "pursue"}] * n), 50, 5
+    return classify, qualify
+
+
+classify, qualify = providers()
 
 
 def test_scan_twice(spark, tmp_path):

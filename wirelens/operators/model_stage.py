@@ -33,20 +33,32 @@ Answer with one JSON array, one object for each deal in order, with whole number
 fit weighs separation_complexity 30, pe_buyer 30, size 15, sector 15 and geography 10 percent. recommended_action is pursue from 65, monitor from 40, else discard."""
 
 
+#: Rows of one numbering task, about, and the most tasks.
+NUMBER_ROWS, NUMBER_TASKS = 50_000, 1000
+
+
 def batches(df: DataFrame, order: list[str], size: int) -> DataFrame:
-    """Adds batch and pos (both from 0) in row order.
+    """Adds batch and pos (both from 0) in row order; the order must be total.
 
-    Numbers are dealt in parallel: rows are numbered within range partitions,
-    and partitions start where the ones before them end.
+    Rows are dealt over ranges of the order, whose bounds are fixed values
+    that come from a bounded set of rows (those of the least hashes), numbered
+    within each range, and each range starts where the ones before it end.
     """
-    parts = df.repartitionByRange(*order).withColumn("part", F.spark_partition_id())
-    local = F.row_number().over(W.partitionBy("part").orderBy(*order)) - 1
-    numbered = parts.withColumn("local", local)
-    starts = parts.groupBy("part").agg(F.count("*").alias("n"))
-    before = F.coalesce(F.sum("n").over(W.orderBy("part").rowsBetween(W.unboundedPreceding, -1)), F.lit(0))  # a row for each partition
-    n = F.col("at") + F.col("local")
-    joined = numbered.join(F.broadcast(starts.select("part", before.alias("at"))), "part")
-    return joined.withColumns({"batch": F.floor(n / size).cast("long"), "pos": (n % size).cast("int")}).drop("part", "local", "at")
+    key = F.struct(*[F.col(c) for c in order])
+    n_bounds = min(NUMBER_TASKS, df.count() // NUMBER_ROWS)
+    part = F.lit(0)
+    if n_bounds:
+        types = dict(df.select(*order).dtypes)
+        bounds = df.select(*order).orderBy(F.xxhash64(*order)).limit(n_bounds).collect()
+        fixed = F.array(*[F.struct(*[F.lit(b[c]).cast(types[c]).alias(c) for c in order]) for b in bounds])
+        part = F.size(F.filter(fixed, lambda b: b < key))
+    dealt = df.withColumn("batch_part", part)
+    numbered = dealt.withColumn("batch_local", F.row_number().over(W.partitionBy("batch_part").orderBy(*order)) - 1)
+    starts = dealt.groupBy("batch_part").agg(F.count("*").alias("rows"))
+    before = F.coalesce(F.sum("rows").over(W.orderBy("batch_part").rowsBetween(W.unboundedPreceding, -1)), F.lit(0))  # a row for each range
+    n = F.col("batch_first") + F.col("batch_local")
+    joined = numbered.join(F.broadcast(starts.select("batch_part", before.alias("batch_first"))), "batch_part")
+    return joined.withColumns({"batch": F.floor(n / size).cast("long"), "pos": (n % size).cast("int")}).drop("batch_part", "batch_local", "batch_first")
 
 
 def article_line(pos: Column, title: Column, summary: Column) -> Column:
