@@ -161,6 +161,17 @@ def test_fetch_errors():
     assert one((403, ""))["error_type"] == "403" and one((403, ""), render=lambda u: "page")["used_render"]
 
 
+def test_verdict_pages(spark):
+    import json
+
+    def row(i, verdict):
+        return {"id": str(i), "properties": {"Alert": {"type": "title", "title": [{"plain_text": "A"}, {"plain_text": "b"}]}, "Verdict": {"type": "select", "select": verdict and {"name": verdict}}, "%": {"type": "number", "number": 7}, "Odd": {"type": "date"}, "URL": {"url": None}}}
+
+    pages = {None: {"results": [row(1, "Confirmed")], "has_more": True, "next_cursor": "c"}, "c": {"results": [row(2, None)], "has_more": False}}
+    got = tables.verdicts(spark, [json.dumps(p) for p in fetch.paged(lambda body: pages[body.get("start_cursor")])]).orderBy("page_id").collect()
+    assert [(r["title"], r["verdict"], r["score"], r["url"]) for r in got] == [("Ab", "Confirmed", "7", ""), ("Ab", "", "7", "")]
+
+
 def test_routes(spark):
     firms = tables.firms_from(spark, [{"name": n, "domain": "d", "press_url": p} for n, p in (("a", "x"), ("b", None), ("c", "x"), ("d", "x"))])
     errors = spark.createDataFrame([("a", True, False), ("c", False, True)], "firm_name string, needs_url_update boolean, prefer_render boolean")

@@ -48,38 +48,49 @@ def _any(parts: list[Column]) -> Column:
     return reduce(lambda a, b: a | b, parts)
 
 
-def targets_match(ta: Column, sa: Column, tb: Column, sb: Column) -> Column:
-    """Whether two target names mean one entity; the first rule that holds decides."""
-    na, nb, nsa, nsb = norm(ta), norm(tb), norm(sa), norm(sb)
-    sold_a, sold_b = tokens(sa), tokens(sb)
-    sold = F.array_union(sold_a, sold_b)
-    left, right = F.array_except(tokens(ta), sold), F.array_except(tokens(tb), sold)
+def profile(target: Column, seller: Column) -> Column:
+    """What matching needs of a deal's names, computed once a row."""
+    n = norm(target)
+    return F.struct(
+        n.alias("name"), tokens(target).alias("tokens"), acronym(target).alias("acronym"), F.regexp_replace(n, r"[^\p{L}\p{N}_]", "").alias("solid"),
+        norm(seller).alias("seller"), tokens(seller).alias("seller_tokens"),
+    )
+
+
+def same_target(a: Column, b: Column) -> Column:
+    """Whether two profiles' targets mean one entity; the first rule that holds decides."""
+    sold = F.array_union(a["seller_tokens"], b["seller_tokens"])
+    left, right = F.array_except(a["tokens"], sold), F.array_except(b["tokens"], sold)
     common, joint = F.size(F.array_intersect(left, right)), F.size(F.array_union(left, right))
-    same = na == nb
+    same = a["name"] == b["name"]
     overlap = (common >= 2) | ((common > 0) & (2 * common >= joint))
 
     def without(n: Column) -> Column:
-        for s in (nsa, nsb):
-            n = F.when(s == "", n).otherwise(strip(F.replace(n, s, F.lit(""))))
+        for s in (a["seller"], b["seller"]):
+            n = F.when(s == "", n).when(n.contains(s), strip(F.replace(n, s, F.lit("")))).otherwise(F.trim(n))
         return n
 
-    bare_a, bare_b = without(na), without(nb)
+    bare_a, bare_b = without(a["name"]), without(b["name"])
     contained = (bare_a != "") & (bare_b != "") & (bare_b.contains(bare_a) | bare_a.contains(bare_b))
-    prefix = _any([(F.length(s) >= 5) & F.startswith(na, F.left(s, F.lit(4))) & F.startswith(nb, F.left(s, F.lit(4))) for s in (nsa, nsb)])
-    generic = (F.size(F.array_intersect(sold_a, sold_b)) > 0) & ((F.size(left) == 0) | (F.size(right) == 0))
-    aa, ab = acronym(ta), acronym(tb)
-    solid = lambda n: F.regexp_replace(n, r"[^\p{L}\p{N}_]", "")
-    initials = (aa != "") & (aa == ab)
-    short_a = (aa != "") & (F.startswith(solid(nb), aa) | F.array_contains(tokens(tb), aa))
-    short_b = (ab != "") & (F.startswith(solid(na), ab) | F.array_contains(tokens(ta), ab))
-    return _any([same, overlap, contained, prefix, generic, initials, short_a, short_b])
+    prefix = _any([(F.length(s) >= 5) & F.startswith(a["name"], F.left(s, F.lit(4))) & F.startswith(b["name"], F.left(s, F.lit(4))) for s in (a["seller"], b["seller"])])
+    generic = F.arrays_overlap(a["seller_tokens"], b["seller_tokens"]) & ((F.size(left) == 0) | (F.size(right) == 0))
+    initials = (a["acronym"] != "") & (a["acronym"] == b["acronym"])
+    short = lambda x, y: (x["acronym"] != "") & (F.startswith(y["solid"], x["acronym"]) | F.array_contains(y["tokens"], x["acronym"]))
+    return _any([same, overlap, contained, prefix, generic, initials, short(a, b), short(b, a)])
 
 
-def deals_match(ta: Column, sa: Column, tb: Column, sb: Column) -> Column:
+def same_deal(a: Column, b: Column) -> Column:
     """Sellers that both have tokens must share one; then the targets decide."""
-    one, two = tokens(sa), tokens(sb)
-    apart = (F.size(one) > 0) & (F.size(two) > 0) & (F.size(F.array_intersect(one, two)) == 0)
-    return F.when(apart, False).otherwise(targets_match(ta, sa, tb, sb))
+    both = (F.size(a["seller_tokens"]) > 0) & (F.size(b["seller_tokens"]) > 0)
+    return F.when(both & ~F.arrays_overlap(a["seller_tokens"], b["seller_tokens"]), False).otherwise(same_target(a, b))
+
+
+def targets_match(ta: Column, sa: Column, tb: Column, sb: Column) -> Column:
+    return same_target(profile(ta, sa), profile(tb, sb))
+
+
+def deals_match(ta: Column, sa: Column, tb: Column, sb: Column) -> Column:
+    return same_deal(profile(ta, sa), profile(tb, sb))
 
 
 def url_hash(url: Column) -> Column:

@@ -35,17 +35,17 @@ def unseen_deals(deals: DataFrame, seen: DataFrame, key: str) -> DataFrame:
     Two sellers that both have tokens must share one, so such pairs meet by
     (stage, seller token).  Only sides without seller tokens meet by stage.
     """
-    d = deals.select(F.col(key).alias("k"), F.col("target").alias("ta"), F.col("seller").alias("sa"), F.lower("stage").alias("st"), text.tokens(F.col("seller")).alias("toks")).where(named(F.col("ta"), F.col("sa")))
-    e = seen.select(text.norm(F.col("target")).alias("tb"), text.norm(F.col("seller")).alias("sb"), F.lower("stage").alias("st")).distinct().withColumn("seen_toks", text.tokens(F.col("sb")))
-    same = text.deals_match(F.col("ta"), F.col("sa"), F.col("tb"), F.col("sb"))
-    by_token = d.select("k", "ta", "sa", "st", F.explode("toks").alias("tok")).join(e.select("tb", "sb", "st", F.explode("seen_toks").alias("tok")), ["st", "tok"]).where(same).select("k")
-    loose_d = d.where(F.size("toks") == 0).join(e, "st").where(same).select("k")
-    loose_e = d.where(F.size("toks") > 0).join(e.where(F.size("seen_toks") == 0), "st").where(same).select("k")
+    d = deals.where(named(F.col("target"), F.col("seller"))).select(F.col(key).alias("k"), F.lower("stage").alias("st"), text.profile(F.col("target"), F.col("seller")).alias("p"))
+    e = seen.select(text.norm(F.col("target")).alias("t"), text.norm(F.col("seller")).alias("s"), F.lower("stage").alias("st")).distinct().select("st", text.profile(F.col("t"), F.col("s")).alias("q"))
+    same = text.same_deal(F.col("p"), F.col("q"))
+    by_token = d.withColumn("tok", F.explode("p.seller_tokens")).join(e.withColumn("tok", F.explode("q.seller_tokens")), ["st", "tok"]).where(same).select("k")
+    loose_d = d.where(F.size("p.seller_tokens") == 0).join(e, "st").where(same).select("k")
+    loose_e = d.where(F.size("p.seller_tokens") > 0).join(e.where(F.size("q.seller_tokens") == 0), "st").where(same).select("k")
     hit = by_token.unionAll(loose_d).unionAll(loose_e).distinct()
     return deals.join(hit.withColumnRenamed("k", key), key, "left_anti")
 
 
-_ALERT = "struct<ord:bigint,title:string,target:string,seller:string,confidence:int,reasoning:string>"
+_OWN = ("ord", "title", "target", "seller", "confidence", "reasoning")
 
 
 def fold_repeats(alerts: DataFrame, block: list[str], order: str = "ord") -> DataFrame:
@@ -56,17 +56,21 @@ def fold_repeats(alerts: DataFrame, block: list[str], order: str = "ord") -> Dat
     holds stage, and may hold more columns where different values never match.
     Needs ord, title, target, seller, confidence, reasoning and the block's.
     """
-    fields = [F.col(order).cast("long").alias("ord"), "title", "target", "seller", F.col("confidence").cast("int").alias("confidence"), "reasoning"]
-    rows = F.array_sort(F.collect_list(F.struct(*fields)))
+    fields = [F.col(order).cast("long").alias("ord"), "title", "target", "seller", F.col("confidence").cast("int").alias("confidence"), "reasoning", text.profile(F.col("target"), F.col("seller")).alias("p")]
+    ready = alerts.select(*[F.col(b).alias(f"block_{i}") for i, b in enumerate(block)], F.struct(*fields).alias("row"))
+    rows = F.array_sort(F.collect_list("row"))
 
     def step(reps: Column, new: Column) -> Column:
-        hits = F.transform(reps, lambda r: text.deals_match(r["target"], r["seller"], new["target"], new["seller"]))
-        at = F.array_position(hits, F.lit(True))
-        note = lambda row, other: F.concat(F.coalesce(row["reasoning"], F.lit("")), F.lit("\n[Also: "), F.coalesce(other["title"], F.lit("")), F.lit("]"))
-        with_note = lambda row, other: F.struct(row["ord"].alias("ord"), row["title"].alias("title"), row["target"].alias("target"), row["seller"].alias("seller"), row["confidence"].alias("confidence"), note(row, other).alias("reasoning"))
-        merged = F.transform(reps, lambda r, i: F.when(i + 1 != at, r).otherwise(F.when(new["confidence"] > r["confidence"], with_note(new, r)).otherwise(with_note(r, new))))
+        at = F.array_position(F.transform(reps, lambda r: text.same_deal(r["p"], new["p"])), F.lit(True))
+
+        def noted(row: Column, other: Column) -> Column:
+            note = F.concat(F.coalesce(row["reasoning"], F.lit("")), F.lit("\n[Also: "), F.coalesce(other["title"], F.lit("")), F.lit("]"))
+            return F.struct(*[(note if f == "reasoning" else row[f]).alias(f) for f in (*_OWN, "p")])
+
+        merged = F.transform(reps, lambda r, i: F.when(i + 1 != at, r).otherwise(F.when(new["confidence"] > r["confidence"], noted(new, r)).otherwise(noted(r, new))))
         return F.when(at > 0, merged).otherwise(F.concat(reps, F.array(new)))
 
-    folded = alerts.groupBy(*block).agg(F.aggregate(rows, F.array().cast(f"array<{_ALERT}>"), step).alias("reps"))
-    own = ("ord", "title", "target", "seller", "confidence", "reasoning")
-    return folded.select(*block, F.posexplode("reps").alias("place", "r")).select(*[b for b in block if b not in own], "place", "r.*")
+    empty = F.array().cast(f"array<{ready.schema['row'].dataType.simpleString()}>")
+    folded = ready.groupBy(*[f"block_{i}" for i in range(len(block))]).agg(F.aggregate(rows, empty, step).alias("reps"))
+    out = folded.select(*[F.col(f"block_{i}").alias(b) for i, b in enumerate(block) if b not in _OWN], F.posexplode("reps").alias("place", "r"))
+    return out.select(*[b for b in block if b not in _OWN], "place", *[f"r.{f}" for f in _OWN])

@@ -198,10 +198,9 @@ def token_jaccard_pairs(t):
 @query
 def targets_match_pairs(t):
     """Distinct targets of a seller and stage that match: a count for each."""
-    d = deals(t).select("seller", "stage", "target").distinct()
-    side = lambda n: d.select("seller", "stage", F.col("target").alias(f"t{n}"))
-    s = F.col("seller")
-    hit = side(1).join(side(2), ["seller", "stage"]).where(F.col("t1") != F.col("t2")).where(text.targets_match(F.col("t1"), s, F.col("t2"), s))
+    d = deals(t).select("seller", "stage", "target").distinct().select("*", text.profile(F.col("target"), F.col("seller")).alias("p"))
+    side = lambda n: d.select("seller", "stage", F.col("target").alias(f"t{n}"), F.col("p").alias(f"p{n}"))
+    hit = side(1).join(side(2), ["seller", "stage"]).where(F.col("t1") != F.col("t2")).where(text.same_target(F.col("p1"), F.col("p2")))
     return hit.groupBy("seller", "stage", F.col("t1").alias("target")).agg(F.count("*").alias("n"))
 
 

@@ -101,3 +101,14 @@ def post_rows(documents: DataFrame, post: Callable[[str], str | None], pause: fl
             yield pd.DataFrame(rows, columns=["ord", "page_id", "outcome"])
 
     return documents.coalesce(1).mapInPandas(run, "ord long, page_id string, outcome string")
+
+
+def paged(ask: Callable[[dict], dict], size: int = 100) -> Iterator[dict]:
+    """Answer pages of a cursor API, one after another, until there are no more; its errors go to the caller."""
+    body: dict = {"page_size": size}
+    while True:
+        page = ask(body)
+        yield page
+        if not page.get("has_more"):
+            return
+        body = {"page_size": size, "start_cursor": page.get("next_cursor")}
