@@ -33,7 +33,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from .common import Scratch, id_and_text, table
+from .common import Scratch, id_and_text, map_arrow, table
 from .wordtable import FLUSH, Numbers, chunk_ids, chunks, listed, pack, pack_words, rows, top_words, unpack
 
 #: Characters that the quick splitter handles: their classes and case are the same in every Unicode version.
@@ -121,15 +121,15 @@ def _count(spec: str):
 
 def word_table(docs: DataFrame, spec: str) -> DataFrame:
     """word, n and ids (decimal, joined by a blank) of every distinct word, each encoded once."""
-    held: dict = {}
 
-    @F.pandas_udf("string")
-    def encode(words):
-        if "split" not in held:
-            held["split"] = Splitter(spec)
-        return words.map(lambda w: " ".join(map(str, held["split"].encode(w))))
+    def encode(batches):
+        split = Splitter(spec)
+        for batch in batches:
+            ids = [" ".join(map(str, split.encode(w))) for w in batch.column(0).to_pylist()]
+            yield pa.RecordBatch.from_arrays([batch.column(0), batch.column(1), pa.array(ids, pa.string())], names=["word", "n", "ids"])
 
-    return docs.mapInArrow(_count(spec), "word string, n long").groupBy("word").agg(F.sum("n").alias("n")).withColumn("ids", encode("word"))
+    words = map_arrow(docs, _count(spec), "word string, n long").groupBy("word").agg(F.sum("n").alias("n"))
+    return map_arrow(words, encode, "word string, n long, ids string")
 
 
 def id_to_piece(spec: str) -> dict[str, str]:
@@ -240,8 +240,8 @@ def encode(docs: DataFrame, spec: str, full: bool = True) -> DataFrame:
     words = scratch.table(word_table(d, spec), "words")
     scratch.release()
     top = top_words(words, "n", ["word", "ids"])
-    packed = d.mapInArrow(_pack_chunks(spec, {r["word"]: k for k, r in enumerate(top)}), _CHUNK).repartition("chunk")
-    places = packed.mapInArrow(listed(0, 4), "chunk long, at int, word string")
+    packed = map_arrow(d, _pack_chunks(spec, {r["word"]: k for k, r in enumerate(top)}), _CHUNK).repartition("chunk")
+    places = map_arrow(packed, listed(0, 4), "chunk long, at int, word string")
     answers = places.join(words.select("word", "ids"), "word").select("chunk", "at", "ids")
     return packed.groupBy("chunk").cogroup(answers.groupBy("chunk")).applyInArrow(_assemble([r["ids"] for r in top], id_to_piece(spec), full), "doc_id long, n_tokens long, ids string, decoded string")
 

@@ -40,6 +40,9 @@ class Scratch:
         df.write.option("compression", "zstd").parquet(path)
         return self.spark.read.schema(df.schema).parquet(path)
 
+    def read(self, name: str, schema: str) -> DataFrame:
+        return self.spark.read.schema(schema).parquet(f"{self.root}/{name}")
+
     def release(self) -> None:
         """Lets Spark remove the shuffle files of jobs that are over; it does so once their plans are collected."""
         import gc
@@ -54,8 +57,41 @@ class Scratch:
         path.getFileSystem(self.spark.sparkContext._jsc.hadoopConfiguration()).delete(path, True)
 
 
+#: Rows of one Arrow batch, where the session has the default: texts may be long.
+BATCH_ROWS = 1000
+
+
+def bounded_batches(spark: SparkSession) -> None:
+    key = "spark.sql.execution.arrow.maxRecordsPerBatch"
+    if spark.conf.get(key) == "10000":
+        spark.conf.set(key, str(BATCH_ROWS))
+
+
+def tidy(run: Callable) -> Callable:
+    """For mapInArrow: a task gives its freed memory back when it ends, as its Python process may stay idle."""
+
+    def wrapped(batches):
+        yield from run(batches)
+        import ctypes
+        import gc
+
+        gc.collect()
+        pa.default_memory_pool().release_unused()
+        try:
+            ctypes.CDLL(None).malloc_trim(0)
+        except AttributeError:  # not the GNU C library
+            pass
+
+    return wrapped
+
+
+def map_arrow(df: DataFrame, run: Callable, schema) -> DataFrame:
+    return df.mapInArrow(tidy(run), schema)
+
+
 def id_and_text(docs: DataFrame) -> DataFrame:
     """doc_id (long) and text, and nothing else."""
+    bounded_batches(docs.sparkSession)
     return docs.select(docs["doc_id"].cast("long").alias("doc_id"), docs["text"].cast("string").alias("text"))
 
 
@@ -92,4 +128,4 @@ def map_rows(df: DataFrame, make: Callable[[], Callable[[dict], dict]], schema:
                 got = work({n: part.column(i).to_pylist() for i, n in enumerate(part.schema.names)})
                 yield pa.RecordBatch.from_arrays([pa.array(got[f.name], type=f.type) for f in out], schema=out)
 
-    return df.mapInArrow(run, schema)
+    return map_arrow(df, run, schema)

@@ -29,7 +29,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from .common import Scratch, id_and_text, table
+from .common import Scratch, bounded_batches, id_and_text, map_arrow, table
 
 WINDOW, SHINGLE = 10, 3
 #: Item text of one block of the index.
@@ -155,7 +155,7 @@ def _count(docs: DataFrame, index: Index) -> dict[int, int]:
 
     if not len(index.shingles):
         return {}
-    got = docs.select("text").mapInArrow(run, "k long, n long").groupBy("k").agg(F.sum("n").alias("n"))
+    got = map_arrow(docs.select("text"), run, "k long, n long").groupBy("k").agg(F.sum("n").alias("n"))
     return {r["k"]: r["n"] for r in got.collect()}  # a row for each shingle of the block at most
 
 
@@ -184,7 +184,7 @@ def _probe(docs: DataFrame, index: Index) -> DataFrame:
                 count = (np.diff(first) - 1).tolist()
                 yield pa.RecordBatch.from_arrays([pa.array(v, f.type) for v, f in zip((rid, doc_id, count, spans, [sorted(x) for x in items]), schema, strict=True)], schema=schema)
 
-    return docs.select("rid", "doc_id", "text").mapInArrow(run, _OUT)
+    return map_arrow(docs.select("rid", "doc_id", "text"), run, _OUT)
 
 
 def find(docs: DataFrame, benchmark: DataFrame, block_bytes: int = BLOCK_BYTES) -> DataFrame:
@@ -221,6 +221,7 @@ def n_hit():
 
 def keep_clean(docs: DataFrame, benchmark: DataFrame) -> DataFrame:
     """The documents, all columns, that hold no window of any item."""
+    bounded_batches(docs.sparkSession)
     schema, at = docs.schema, docs.columns.index("text")
     found = []
     items = benchmark.select(benchmark["item_id"].cast("string").alias("item_id"), benchmark["text"].cast("string").alias("text")).where("text is not null")
@@ -228,7 +229,7 @@ def keep_clean(docs: DataFrame, benchmark: DataFrame) -> DataFrame:
         index.choose(_count(docs.select(docs["text"].cast("string").alias("text")), index))
         found.append(index)
     for index in found:
-        docs = docs.mapInArrow(_dropper(index, at), schema)
+        docs = map_arrow(docs, _dropper(index, at), schema)
     return docs
 
 

@@ -25,7 +25,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import Window as W
 
-from .common import id_and_text, id_crc, map_rows, table
+from .common import bounded_batches, id_and_text, id_crc, map_arrow, map_rows, table
 
 PROFILE = 400
 CODE_BITS = 18
@@ -91,6 +91,7 @@ def ranked(codes: np.ndarray, most: int = PROFILE) -> np.ndarray:
 
 def profiles(docs: DataFrame, most: int = PROFILE) -> dict[str, list[int]]:
     """Language -> its ranked codes, from text and non-null lang of the training documents."""
+    bounded_batches(docs.sparkSession)
     d = docs.select(docs["doc_id"].cast("long").alias("doc_id"), docs["text"].cast("string").alias("text"), docs["lang"].cast("string").alias("lang"))
     d = d.where(F.col("lang").isNotNull() & F.col("text").isNotNull() & (F.pmod(id_crc(F.col("doc_id")), F.lit(FOLDS)) != HELD_OUT)).select("lang", "text")
 
@@ -98,17 +99,30 @@ def profiles(docs: DataFrame, most: int = PROFILE) -> dict[str, list[int]]:
         import pyarrow as pa
 
         held: dict[str, np.ndarray] = {}
+        waiting: dict[str, list[np.ndarray]] = {}
+        size = 0
+
+        def settle():
+            for lang, parts in waiting.items():
+                held.setdefault(lang, np.zeros(CODES, np.int64))
+                held[lang] += np.bincount(np.concatenate(parts), minlength=CODES)
+            waiting.clear()
+
         for batch in batches:
             for lang, text in zip(batch.column(0).to_pylist(), batch.column(1), strict=True):
-                if lang not in held:
-                    if len(held) >= 64:  # bounds the memory; partial counts may leave early
+                codes = codes_of(text.as_py())
+                waiting.setdefault(lang, []).append(codes)
+                size += len(codes)
+                if size > 2_000_000 or len(waiting) > 64:
+                    settle()
+                    size = 0
+                    if len(held) > 64:  # bounds the memory; partial counts may leave early
                         yield from _rows(held, pa)
-                        held = {}
-                    held[lang] = np.zeros(CODES, np.int64)
-                held[lang] += np.bincount(codes_of(text.as_py()), minlength=CODES)
+                        held.clear()
+        settle()
         yield from _rows(held, pa)
 
-    sums = d.mapInArrow(count, "lang string, code int, n long").groupBy("lang", "code").agg(F.sum("n").alias("n"))
+    sums = map_arrow(d, count, "lang string, code int, n long").groupBy("lang", "code").agg(F.sum("n").alias("n"))
     order = [F.desc("n"), F.asc("code")]
     for part in (["lang", "slice"], ["lang"]):  # a first cut by slices keeps the second small
         sums = sums.withColumn("slice", F.col("code") % 64).withColumn("r", F.row_number().over(W.partitionBy(*part).orderBy(*order))).where(F.col("r") <= most)
@@ -178,7 +192,7 @@ def keep_identified(docs: DataFrame, min_score: float = MIN_SCORE) -> DataFrame:
             got = [judge.predict(t.as_py()) for t in batch.column(at)]
             yield batch.filter(pa.array([g[0] != "und" and g[1] >= min_score for g in got], pa.bool_()))
 
-    return docs.mapInArrow(keep, schema)
+    return map_arrow(docs, keep, schema)
 
 
 def op6_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
