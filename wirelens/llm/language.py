@@ -38,7 +38,7 @@ _TABLE: np.ndarray | None = None
 
 
 def letters() -> np.ndarray:
-    """Code point -> its lower-case letter, or 32 where it is no letter."""
+    """Code point -> its lower-case letter, or 32 where it is no letter; made on the driver and sent to the tasks (4 MB)."""
     global _TABLE
     if _TABLE is None:
         import unicodedata
@@ -61,11 +61,11 @@ def letters() -> np.ndarray:
     return _TABLE
 
 
-def codes_of(text: str | None) -> np.ndarray:
+def codes_of(text: str | None, letter: np.ndarray) -> np.ndarray:
     """Codes of all n-grams of the text, n = 1 to 3, with repeats; empty without a letter."""
     if not text:
         return np.empty(0, np.uint32)
-    c = letters()[np.frombuffer(text.encode("utf-32-le", "surrogatepass"), np.uint32)]
+    c = letter[np.frombuffer(text.encode("utf-32-le", "surrogatepass"), np.uint32)]
     c = np.concatenate((np.array([32], np.uint32), c, np.array([32], np.uint32)))
     keep = np.ones(len(c), bool)
     keep[1:] = (c[1:] != 32) | (c[:-1] != 32)
@@ -95,6 +95,8 @@ def profiles(docs: DataFrame, most: int = PROFILE) -> dict[str, list[int]]:
     d = docs.select(docs["doc_id"].cast("long").alias("doc_id"), docs["text"].cast("string").alias("text"), docs["lang"].cast("string").alias("lang"))
     d = d.where(F.col("lang").isNotNull() & F.col("text").isNotNull() & (F.pmod(id_crc(F.col("doc_id")), F.lit(FOLDS)) != HELD_OUT)).select("lang", "text")
 
+    letter = letters()
+
     def count(batches):
         import pyarrow as pa
 
@@ -110,7 +112,7 @@ def profiles(docs: DataFrame, most: int = PROFILE) -> dict[str, list[int]]:
 
         for batch in batches:
             for lang, text in zip(batch.column(0).to_pylist(), batch.column(1), strict=True):
-                codes = codes_of(text.as_py())
+                codes = codes_of(text.as_py(), letter)
                 waiting.setdefault(lang, []).append(codes)
                 size += len(codes)
                 if size > 2_000_000 or len(waiting) > 64:
@@ -139,15 +141,15 @@ def _rows(held, pa):
 
 
 class Judge:
-    def __init__(self, known: dict[str, list[int]], most: int = PROFILE):
-        self.most, self.langs = most, list(known)
+    def __init__(self, known: dict[str, list[int]], letter: np.ndarray, most: int = PROFILE):
+        self.most, self.langs, self.letter = most, list(known), letter
         self.place = np.full((CODES, max(1, len(known))), -1, np.int16)
         for k, codes in enumerate(known.values()):
             self.place[codes, k] = np.arange(len(codes))
 
     def predict(self, text: str | None) -> tuple[str, float]:
         """Language and score: how far, of the way from the worst distance to none, the best language lies, times its lead over the next."""
-        codes = codes_of(text)
+        codes = codes_of(text, self.letter)
         if not len(codes) or not self.langs:
             return "und", 0.0
         mine = ranked(codes, self.most)
@@ -165,8 +167,10 @@ def identify(docs: DataFrame, known: dict[str, list[int]] | None = None) -> Data
     """doc_id, held_out, lang_pred and score of every document."""
     known = profiles(docs) if known is None else known
 
+    letter = letters()
+
     def make():
-        judge = Judge(known)
+        judge = Judge(known, letter)
 
         def work(rows):
             got = [judge.predict(t) for t in rows["text"]]
@@ -182,12 +186,12 @@ def keep_identified(docs: DataFrame, min_score: float = MIN_SCORE) -> DataFrame:
     """The documents, all columns, whose language is known: with a letter and a score of min_score or more."""
     known = profiles(docs)
     schema = docs.schema
-    at = docs.columns.index("text")
+    at, letter = docs.columns.index("text"), letters()
 
     def keep(batches):
         import pyarrow as pa
 
-        judge = Judge(known)
+        judge = Judge(known, letter)
         for batch in batches:
             got = [judge.predict(t.as_py()) for t in batch.column(at)]
             yield batch.filter(pa.array([g[0] != "und" and g[1] >= min_score for g in got], pa.bool_()))
