@@ -1,0 +1,8 @@
+"""A PySpark-native engine: news to deal signals, and training-data operators."""
+
+import sys
+
+from pyspark import cloudpickle
+
+# Functions of this package travel to executors by value, so that executors need no copy of it.
+cloudpickle.register_pickle_by_value(sys.modules[__name__])
