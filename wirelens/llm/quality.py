@@ -95,7 +95,7 @@ RULES: dict[str, Callable[[Doc], bool]] = {
     "few_words": lambda d: len(d.words) < 50,
     "repeated_windows": lambda d: 100 * d.n_repeat_words > 50 * len(d.words),
     "symbols": lambda d: 10 * d.n_symbols > len(d.words),
-    "repeated_lines": lambda d: 100 * d.n_dup_lines > 30 * len(d.lines),
+    "repeated_lines": lambda d: d.n_dup_lines >= 3 and 100 * d.n_dup_lines > 30 * len(d.lines),
     "word_length": lambda d: d.word_chars < 2 * len(d.words) or d.word_chars > 16 * len(d.words),
     "capitals": lambda d: 100 * d.upper > 50 * d.letters,
     "no_letters": lambda d: 100 * d.n_plain < 70 * len(d.words),
@@ -168,7 +168,7 @@ WITH w AS (
 )
 SELECT doc_id, n_words, word_chars, n_symbols, n_dup_lines, n_repeat_words,
        (n_words < 50 OR 100 * n_repeat_words > 50 * n_words) AS base_failed,
-       NOT (n_words < 50 OR 100 * n_repeat_words > 50 * n_words OR 10 * n_symbols > n_words OR 100 * n_dup_lines > 30 * len(lines)
+       NOT (n_words < 50 OR 100 * n_repeat_words > 50 * n_words OR 10 * n_symbols > n_words OR (n_dup_lines >= 3 AND 100 * n_dup_lines > 30 * len(lines))
             OR word_chars < 2 * n_words OR word_chars > 16 * n_words
             OR 100 * length(regexp_replace(text, '[^A-Z]', '', 'g')) > 50 * length(regexp_replace(text, '[^A-Za-z]', '', 'g'))
             OR 100 * len(list_filter(words, lambda x: regexp_matches(x, '[^\x00-\x40\x5B-\x60\x7B-\x7F]'))) < 70 * n_words) AS kept
