@@ -40,7 +40,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from .common import Scratch, id_and_text, table
+from .common import Scratch, id_and_text, map_arrow, table
 from .components import components
 
 SHINGLE, PERCENT = 4, 85
@@ -249,33 +249,44 @@ def _family_links(stars: DataFrame, sets: DataFrame, scratch: Scratch) -> DataFr
 
 
 def classes(docs: DataFrame, scratch: Scratch) -> tuple[DataFrame, DataFrame]:
-    """(doc_id, n, print) of every document, and (key, print, rep, n, prefix) of every class with a set; key is a number given once."""
-    base = scratch.table(id_and_text(docs).mapInArrow(_sets(True), _SETS), "documents")
-    reps = base.where("n > 0").groupBy("print").agg(F.min("doc_id").alias("rep"), F.first("n").alias("n"), F.first("tokens").alias("tokens"))
-    return base.select("doc_id", "n", "print"), scratch.table(reps.select(F.monotonically_increasing_id().alias("key"), "*"), "classes")
+    """(doc_id, n, print) of every document, and (key, print, rep, n) of every class with a set; key is a number given once.
+
+    The table classes-wide, with the prefixes, stays for links(), which drops it.
+    """
+    wide = scratch.table(map_arrow(id_and_text(docs), _sets(True), _SETS), "documents-wide")
+    reps = wide.where("n > 0").groupBy("print").agg(F.min("doc_id").alias("rep"), F.first("n").alias("n"), F.first("tokens").alias("tokens"))
+    reps = scratch.table(reps.select(F.monotonically_increasing_id().alias("key"), "*"), "classes-wide")
+    base = scratch.table(wide.select("doc_id", "n", "print"), "documents")
+    scratch.drop("documents-wide")
+    scratch.release()
+    return base, scratch.table(reps.select("key", "print", "rep", "n"), "classes")
 
 
 def links(docs: DataFrame, reps: DataFrame, scratch: Scratch) -> DataFrame:
     """(a, b) between classes: a subset of the links that connects every component of linked classes."""
-    each = reps.select("key", F.explode("tokens").alias("h"))
+    each = scratch.read("classes-wide", "key long, tokens array<long>").select("key", F.explode("tokens").alias("h"))
     known = each.groupBy("h").agg(F.count("*").alias("c")).where("c > 1").select("h")
     shared = each.join(known, "h").groupBy("key").agg(F.count("*").alias("c"))
     smaller = overlap_bound(F.col("n"))  # no linked set has fewer shingles
     # a set of fewer than 6 shingles links with equal sets only
     need = F.least(overlap_bound(smaller), F.greatest(F.lit(KEEP), F.floor(smaller / KEEP_PART)))
     stay = scratch.table(shared.where("c >= 6").join(reps.select("key", "print", "rep", "n"), "key").where(F.col("c") >= need).select("key", "print", "rep"), "stay")
+    scratch.drop("classes-wide")
     scratch.release()
-    wanted = stay.select("rep").distinct()
     d = id_and_text(docs)
-    wanted = F.broadcast(wanted) if stay.count() <= BROADCAST_IDS else wanted
+    n_stay = stay.count()
+    sent = F.broadcast if n_stay <= BROADCAST_IDS else (lambda df: df)
+    wanted = sent(stay.select("rep").distinct())
     texts = d.join(wanted, d["doc_id"].eqNullSafe(wanted["rep"]), "left_semi")
-    sets = texts.mapInArrow(_sets(False), _SETS).join(stay.select("key", "print"), "print").groupBy("key").agg(F.first("n").alias("n"), F.first("tokens").alias("tokens"))
-    sets = scratch.table(sets, "sets")
+    sets = scratch.table(map_arrow(texts, _sets(False), _SETS).join(sent(stay.select("key", "print")), "print").select("key", "n", "tokens"), "sets")
+    if sets.count() > n_stay:  # ids that several rows have brought a set more than once
+        sets = scratch.table(sets.groupBy("key").agg(F.first("n").alias("n"), F.first("tokens").alias("tokens")), "sets-once")
     each = sets.select("key", F.explode("tokens").alias("h"))
     known = each.groupBy("h").agg(F.count("*").alias("c")).where("c > 1")
     ranked = each.join(known, "h").groupBy("key").agg(F.array_sort(F.collect_list(F.struct("c", "h"))).alias("tokens"))  # a list is one document's set
     ranked = ranked.join(sets.select("key", "n"), "key").where(F.size("tokens") >= overlap_bound(F.col("n")))
-    index = scratch.table(ranked.select("key", "n", "tokens").mapInArrow(_index, "key long, n long, bucket long"), "index")
+    index = scratch.table(map_arrow(ranked.select("key", "n", "tokens"), _index, "key long, n long, bucket long"), "index")
+    scratch.release()
     size = index.groupBy("bucket").agg(F.count("*").alias("c"), F.min("key").alias("pivot")).where("c > 1")
     placed = scratch.table(index.join(size, "bucket"), "buckets")
     scratch.release()
