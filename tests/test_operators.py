@@ -53,7 +53,7 @@ def test_unseen_deals(spark):
         [(0, "Safety Products Unit", "3M Co.", "signing"), (1, "Safety Products Unit", "3M Co.", "closing"), (2, "Safety Products", "N/A", "signing"), (3, "", "3M", "signing"), (4, "Safety Products", "Other Inc", "signing"), (5, "Generic Thing", "Someone", "closing")],
         "id int, target string, seller string, stage string",
     )
-    assert sorted(r["id"] for r in dedup.unseen_deals(deals, seen, "id").collect()) == [1, 2, 3, 4]
+    assert sorted(r["id"] for r in dedup.unseen_deals(deals, seen).collect()) == [1, 2, 3, 4]
 
 
 def test_state(spark):

@@ -58,25 +58,27 @@ def profile(target: Column, seller: Column) -> Column:
 
 
 def same_target(a: Column, b: Column) -> Column:
-    """Whether two profiles' targets mean one entity; the first rule that holds decides."""
+    """Whether two profiles' targets mean one entity: whether any of the rules holds."""
     sold = F.array_union(a["seller_tokens"], b["seller_tokens"])
-    left, right = F.array_except(a["tokens"], sold), F.array_except(b["tokens"], sold)
-    common, joint = F.size(F.array_intersect(left, right)), F.size(F.array_union(left, right))
-    same = a["name"] == b["name"]
-    overlap = (common >= 2) | ((common > 0) & (2 * common >= joint))
+    rests = F.array(F.struct(F.array_except(a["tokens"], sold).alias("a"), F.array_except(b["tokens"], sold).alias("b")))  # an array, so that it is computed once
+
+    def by_tokens(x: Column) -> Column:
+        common = F.size(F.array_intersect(x["a"], x["b"]))
+        joint = F.size(x["a"]) + F.size(x["b"]) - common  # both are distinct
+        generic = (F.size(x["a"]) == 0) | (F.size(x["b"]) == 0)
+        return (common >= 2) | ((common > 0) & (2 * common >= joint)) | (generic & F.arrays_overlap(a["seller_tokens"], b["seller_tokens"]))
 
     def without(n: Column) -> Column:
         for s in (a["seller"], b["seller"]):
-            n = F.when(s == "", n).when(n.contains(s), strip(F.replace(n, s, F.lit("")))).otherwise(F.trim(n))
+            n = F.when(s == "", n).otherwise(F.trim(F.replace(n, s, F.lit(""))))
         return n
 
-    bare_a, bare_b = without(a["name"]), without(b["name"])
-    contained = (bare_a != "") & (bare_b != "") & (bare_b.contains(bare_a) | bare_a.contains(bare_b))
+    bare = F.array(F.struct(without(a["name"]).alias("a"), without(b["name"]).alias("b")))
+    contained = F.exists(bare, lambda x: (x["a"] != "") & (x["b"] != "") & (x["b"].contains(x["a"]) | x["a"].contains(x["b"])))
     prefix = _any([(F.length(s) >= 5) & F.startswith(a["name"], F.left(s, F.lit(4))) & F.startswith(b["name"], F.left(s, F.lit(4))) for s in (a["seller"], b["seller"])])
-    generic = F.arrays_overlap(a["seller_tokens"], b["seller_tokens"]) & ((F.size(left) == 0) | (F.size(right) == 0))
     initials = (a["acronym"] != "") & (a["acronym"] == b["acronym"])
     short = lambda x, y: (x["acronym"] != "") & (F.startswith(y["solid"], x["acronym"]) | F.array_contains(y["tokens"], x["acronym"]))
-    return _any([same, overlap, contained, prefix, generic, initials, short(a, b), short(b, a)])
+    return _any([a["name"] == b["name"], initials, prefix, short(a, b), short(b, a), F.exists(rests, by_tokens), contained])
 
 
 def same_deal(a: Column, b: Column) -> Column:

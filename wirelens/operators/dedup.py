@@ -28,21 +28,23 @@ def named(target: Column, seller: Column) -> Column:
     return (text.strip(F.coalesce(target, F.lit(""))) != "") & (s != "") & (s != "N/A") & (s != "UNKNOWN")
 
 
-def unseen_deals(deals: DataFrame, seen: DataFrame, key: str) -> DataFrame:
+def unseen_deals(deals: DataFrame, seen: DataFrame) -> DataFrame:
     """Deals that match no earlier deal of their stage.
 
-    ``deals``: key, target, seller, stage; ``seen``: target, seller, stage.
+    Both have target, seller and stage; each distinct triple is matched once.
     Two sellers that both have tokens must share one, so such pairs meet by
     (stage, seller token).  Only sides without seller tokens meet by stage.
     """
-    d = deals.where(named(F.col("target"), F.col("seller"))).select(F.col(key).alias("k"), F.lower("stage").alias("st"), text.profile(F.col("target"), F.col("seller")).alias("p"))
+    names = ["target", "seller", "stage"]
+    d = deals.where(named(F.col("target"), F.col("seller"))).select(*names).distinct()
+    d = d.select(F.struct(*names).alias("k"), F.lower("stage").alias("st"), text.profile(F.col("target"), F.col("seller")).alias("p"))
     e = seen.select(text.norm(F.col("target")).alias("t"), text.norm(F.col("seller")).alias("s"), F.lower("stage").alias("st")).distinct().select("st", text.profile(F.col("t"), F.col("s")).alias("q"))
     same = text.same_deal(F.col("p"), F.col("q"))
     by_token = d.withColumn("tok", F.explode("p.seller_tokens")).join(e.withColumn("tok", F.explode("q.seller_tokens")), ["st", "tok"]).where(same).select("k")
     loose_d = d.where(F.size("p.seller_tokens") == 0).join(e, "st").where(same).select("k")
     loose_e = d.where(F.size("p.seller_tokens") > 0).join(e.where(F.size("q.seller_tokens") == 0), "st").where(same).select("k")
-    hit = by_token.unionAll(loose_d).unionAll(loose_e).distinct()
-    return deals.join(hit.withColumnRenamed("k", key), key, "left_anti")
+    hit = by_token.unionAll(loose_d).unionAll(loose_e).distinct().select("k.*")
+    return deals.join(hit, names, "left_anti").select(*deals.columns)
 
 
 _OWN = ("ord", "title", "target", "seller", "confidence", "reasoning")

@@ -208,7 +208,7 @@ def targets_match_pairs(t):
 def fuzzy_deal_anti_join(t):
     d = deals(t)
     seen = d.where(F.col("ord") % 5 == 0)
-    return dedup.unseen_deals(d.where(F.col("ord") % 5 != 0), seen, "ord").select("ord", "target", "stage")
+    return dedup.unseen_deals(d.where(F.col("ord") % 5 != 0), seen).select("ord", "target", "stage")
 
 
 @query

@@ -87,7 +87,7 @@ def scan(inputs: Inputs, old: dict[str, DataFrame], now: Column, work: Workspace
     folded = dedup.fold_repeats(rows, ["stage"]).select(F.col("ord").alias("at"), F.col("reasoning").alias("noted"))
     merged = work.keep(numbered.join(folded, "at").withColumn("reasoning", F.col("noted")).drop("noted"), "merged")
     keyed = merged.select("at", F.col("target_company").alias("target"), "seller", F.coalesce("stage", F.lit("unknown")).alias("stage"))
-    new = merged.join(dedup.unseen_deals(keyed, kept["seen_deals"], "at").select("at"), "at", "left_semi")
+    new = merged.join(dedup.unseen_deals(keyed, kept["seen_deals"]).select("at"), "at", "left_semi")
     scored, scores = model_stage.qualify(new, qualify_with, ["at"], work.keep)
     scored = work.keep(scored, "scored")
     todo = filters.actionable(scored)
