@@ -239,11 +239,11 @@ def encode(docs: DataFrame, spec: str, full: bool = True) -> DataFrame:
     scratch = Scratch(docs.sparkSession, "bpe")
     words = scratch.table(word_table(d, spec), "words")
     scratch.release()
-    top = top_words(words, "n", ["word", "ids"])
-    packed = map_arrow(d, _pack_chunks(spec, {r["word"]: k for k, r in enumerate(top)}), _CHUNK).repartition("chunk")
+    top, top_ids = top_words(words, "n", ["word", "ids"])
+    packed = map_arrow(d, _pack_chunks(spec, {w: k for k, w in enumerate(top)}), _CHUNK).repartition("chunk")
     places = map_arrow(packed, listed(0, 4), "chunk long, at int, word string")
     answers = places.join(words.select("word", "ids"), "word").select("chunk", "at", "ids")
-    return packed.groupBy("chunk").cogroup(answers.groupBy("chunk")).applyInArrow(_assemble([r["ids"] for r in top], id_to_piece(spec), full), "doc_id long, n_tokens long, ids string, decoded string")
+    return packed.groupBy("chunk").cogroup(answers.groupBy("chunk")).applyInArrow(_assemble(top_ids, id_to_piece(spec), full), "doc_id long, n_tokens long, ids string, decoded string")
 
 
 def op5_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:

@@ -44,11 +44,14 @@ class Scratch:
         return self.spark.read.schema(schema).parquet(f"{self.root}/{name}")
 
     def release(self) -> None:
-        """Lets Spark remove the shuffle files of jobs that are over; it does so once their plans are collected."""
+        """Lets Spark remove the shuffle files of jobs that are over; it does so, in the background, once their plans are collected."""
         import gc
+        import time
 
-        gc.collect()
-        self.spark.sparkContext._jvm.System.gc()
+        for _ in range(2):
+            gc.collect()
+            self.spark.sparkContext._jvm.System.gc()
+            time.sleep(0.3)
 
     def drop(self, name: str) -> None:
         """Remove a table that no later plan reads."""

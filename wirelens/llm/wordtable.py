@@ -17,7 +17,8 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-TOP = 1 << 18
+#: Words of the top table, and characters of the longest one: together they bound what every task gets.
+TOP, TOP_CHARS = 1 << 18, 64
 CHUNK_CHARS = 8_000_000
 #: Distinct words that a task counts before it passes its partial counts on.
 FLUSH = 400_000
@@ -41,18 +42,20 @@ def unpack(blob: bytes) -> np.ndarray:
     return out.view(np.int64).ravel()
 
 
-def top_words(words: DataFrame, count: str, columns: list[str], top: int = TOP) -> list:
-    """Rows of at most ``top`` words, the most frequent; the cut is found from a histogram of counts with bounded bins."""
+def top_words(words: DataFrame, count: str, columns: list[str], top: int = TOP) -> list[list]:
+    """Columns, as lists, of at most ``top`` words, the most frequent first (ties by the first column), so that frequent words get small numbers; the cut is found from a histogram of counts with bounded bins."""
     bin_ = F.floor(F.log2(F.col(count).cast("double")) * 64).cast("int")
-    bins = sorted(((r[0], r[1]) for r in words.where(F.col(count) > 0).groupBy(bin_.alias("b")).count().collect()), reverse=True)
+    words = words.where((F.col(count) > 0) & (F.length(columns[0]) <= TOP_CHARS))
+    bins = sorted(((r[0], r[1]) for r in words.groupBy(bin_.alias("b")).count().collect()), reverse=True)
     total, cut = 0, None
     for b, n in bins:
         if total + n > top:
             break
         total, cut = total + n, b
     if cut is None:
-        return []
-    return sorted(words.where((F.col(count) > 0) & (bin_ >= cut)).select(*columns).collect(), key=lambda r: r[columns[0]])
+        return [[] for _ in columns]
+    got = words.where(bin_ >= cut).select(*dict.fromkeys([*columns, count])).toArrow().sort_by([(count, "descending"), (columns[0], "ascending")])
+    return [got.column(c).to_pylist() for c in columns]
 
 
 def chunks(texts: Iterator[tuple], size: Callable[[tuple], int]) -> Iterator[list[tuple]]:
