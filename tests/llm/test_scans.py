@@ -164,6 +164,6 @@ def test_oracle(spark, sf, name):
 
 
 def test_spans_columns(spark, sf):
-    got = secrets.op1_secret_scans(spark, sf).where("n_hex > 0").first()
+    got = secrets.op1_secret_scans(spark, "/root/testdata/sf0.01").where("n_hex > 0").first()
     assert got["base_sha256"] == hashlib.sha256(",".join(s for s in got["spans"].split(",") if s.split(":")[0] in SECRETS).encode()).hexdigest()
     assert pii.op8_pii(spark, sf).where(F.col("base_sha256") == hashlib.sha256(b"").hexdigest()).where("n_email + n_ip + n_card + n_phone > 0").count() == 0
