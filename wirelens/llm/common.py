@@ -35,9 +35,9 @@ class Scratch:
         self.spark = spark
         self.root = f"{shared_dir(spark)}/wirelens/{name}-{uuid.uuid4().hex}"
 
-    def table(self, df: DataFrame, name: str) -> DataFrame:
+    def table(self, df: DataFrame, name: str, files: int | None = None) -> DataFrame:
         path = f"{self.root}/{name}"
-        df.write.option("compression", "zstd").parquet(path)
+        (df.coalesce(files) if files else df).write.option("compression", "zstd").parquet(path)
         return self.spark.read.schema(df.schema).parquet(path)
 
     def read(self, name: str, schema: str) -> DataFrame:
