@@ -152,6 +152,17 @@ def test_cascade_order_is_by_rejection_per_cost():
     assert quality.cascade_order(["x"] * 50, rules) == ["fast", "slow", "never"]
 
 
+def test_url_filter_blocks_every_junk_host(spark, sf):
+    from wirelens.llm.common import table
+
+    junk = r"(^|\.)(cheap-pills|spam-farm|adult-x|free-bets|casino-win|ads-track)\.example\.(com|net|org)$"
+    assert url_filter.blocklist(spark).distinct().count() == url_filter.LISTED_DOMAINS
+    for d in (sf, "/root/testdata/sf0.01"):
+        host = {r["page_id"]: r["host"] for r in url_filter.op9_url_filters(spark, d).where("rule is null and verdict = 'block'").collect()}
+        want = {r["page_id"] for r in url_filter.judge(table(spark, d, "pages")).where("rule is null").collect() if re.search(junk, r["host"])}
+        assert want and set(host) == want
+
+
 @pytest.mark.parametrize("name", sorted(registry.oracle_sql()))
 def test_oracle(spark, sf, name):
     c = duckdb.connect()

@@ -18,6 +18,7 @@ pages are judged alike; an empty table gives no rows.
 
 from __future__ import annotations
 
+import numpy as np
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -31,7 +32,10 @@ RULES = (
     ("block", "example.net", "/de/8"),
     ("block", "org", "/es/"),
 )
-#: Hosts that are blocked with all their subdomains, where no rule fits.
+#: The blocklist of op9: every junk domain under every suffix, filled up with made-up domains to the size of a list in use.
+JUNK_NAMES, SUFFIXES = ("ads-track", "adult-x", "casino-win", "cheap-pills", "free-bets", "spam-farm"), ("com", "net", "org")
+LISTED_DOMAINS = 1_000_000
+#: Hosts that are blocked with all their subdomains, where no rule fits and judge() gets no table.
 BLOCKED_HOSTS = ("adult-x.example.com", "casino-win.example.net", "spam-farm.example.org")
 
 BITS_A_KEY, HASHES = 10, 7
@@ -75,16 +79,16 @@ class Level:
         at = keys.select(F.explode(F.array(*_positions(F.col("key"), level, self.bits))).alias("p"))
         words = at.groupBy((F.floor(F.col("p") / 8)).alias("w")).agg(F.bit_or(F.call_function("shiftleft", F.lit(1), (F.col("p") % 8).cast("int"))).alias("b"))
         data = bytearray(-(-self.bits // 8))
-        for r in words.collect():  # bits / 8 rows at most; the caller checks the bits
-            data[r["w"]] = r["b"] & 255
+        got = words.toArrow()  # bits / 8 rows at most; the caller checks the bits
+        np.frombuffer(data, np.uint8)[got["w"].to_numpy()] = got["b"].to_numpy() & 255
         self.data = bytes(data)
 
     def has(self, key: Column) -> Column:
-        held = F.lit(True)
-        for p in _positions(key, self.level, self.bits):
+        def one(p: Column) -> Column:
             byte = F.conv(F.hex(F.substring(F.lit(self.data), (F.floor(p / 8) + 1).cast("int"), F.lit(1))), 16, 10).cast("int")
-            held = held & (F.call_function("getbit", byte.cast("long"), (p % 8).cast("int")) == 1)
-        return held
+            return F.call_function("getbit", byte.cast("long"), (p % 8).cast("int")) == 1
+
+        return F.forall(F.array(*_positions(key, self.level, self.bits)), one)  # the literal is in the plan once a level
 
 
 def cascade(universe: DataFrame, listed: DataFrame, scratch: Scratch) -> list[Level]:
@@ -134,8 +138,15 @@ def judge(pages: DataFrame, rules=RULES, blocked: DataFrame | None = None) -> Da
     return p.select("page_id", "host", "path", "rule", F.coalesce(F.col("by_rule"), F.when(bad, "block").otherwise("allow")).alias("verdict"))
 
 
+def blocklist(spark: SparkSession) -> DataFrame:
+    """The listed domains, one column, key."""
+    junk = [f"{name}.example.{suffix}" for name in JUNK_NAMES for suffix in SUFFIXES]
+    made_up = spark.range(LISTED_DOMAINS - len(junk)).select(F.concat(F.lit("site-"), F.col("id").cast("string"), F.lit(".list.example")).alias("key"))
+    return spark.createDataFrame([(h,) for h in junk], "key string").unionAll(made_up)
+
+
 def op9_url_filters(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return judge(table(spark, sf_dir, "pages"))
+    return judge(table(spark, sf_dir, "pages"), blocked=blocklist(spark))
 
 
 def oracle() -> str:
