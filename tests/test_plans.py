@@ -122,3 +122,11 @@ def test_dimension_file(spark, tmp_path):
     assert tables.firms(spark, str(p)).collect() == df.collect()
     p.write_text("other: 1\n")
     assert tables.firms(spark, str(p)).count() == 0
+
+
+def test_rss_parse_reads_every_event(spark, sf):
+    from wirelens.plans import queries
+
+    got = [r["url"] for r in queries.queries()["rss_parse"](spark, sf).select("url").collect()]
+    want = [f"https://x.example.com/{r['event_id']}" for r in spark.read.parquet(f"{sf}/events.parquet").select("event_id").collect()]
+    assert sorted(got) == sorted(want)

@@ -255,7 +255,7 @@ def host_filter(t):
 
 @query
 def rss_parse(t):
-    e = t("events").where(F.col("event_id") % 11 != 0)
+    e = t("events")
     item = F.concat(F.lit("<item><title> Event "), F.col("event_id").cast("string"), F.lit(" &amp; more </title><link>https://x.example.com/"), F.col("event_id").cast("string"), F.lit("</link><description>"), F.col("event_type"), F.lit("</description><pubDate>"), F.date_format("ts", "EEE, dd MMM yyyy HH:mm:ss"), F.lit(" +0000</pubDate></item>"))
     feeds = e.groupBy(F.col("user_id").cast("string").alias("firm_name")).agg(F.concat(F.lit('<?xml version="1.0"?><rss version="2.0"><channel><title>f</title>'), F.array_join(F.array_sort(F.collect_list(item)), ""), F.lit("</channel></rss>")).alias("body"))
     got = tables.feed_articles(feeds, F.lit(AS_OF).cast("timestamp"), None)
