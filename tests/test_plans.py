@@ -130,3 +130,33 @@ def test_rss_parse_reads_every_event(spark, sf):
     got = [r["url"] for r in queries.queries()["rss_parse"](spark, sf).select("url").collect()]
     want = [f"https://x.example.com/{r['event_id']}" for r in spark.read.parquet(f"{sf}/events.parquet").select("event_id").collect()]
     assert sorted(got) == sorted(want)
+
+
+def plain_fold(rows):
+    """The fold in Python, by stage alone: the representatives' rows, with notes. Rows have ord, title, target, seller, stage, confidence, reasoning."""
+    from wirelens.functions import text
+
+    r = rows.select("ord", "title", "target", "seller", "stage", "confidence", "reasoning")
+    names = r.select("stage", F.struct("target", "seller").alias("n")).distinct()
+    pairs = names.withColumnRenamed("n", "a").join(names.withColumnRenamed("n", "b").withColumnRenamed("stage", "s"), F.col("stage").eqNullSafe(F.col("s")))
+    match = {tuple(x) for x in pairs.where(text.deals_match(F.col("a.target"), F.col("a.seller"), F.col("b.target"), F.col("b.seller"))).select("a.target", "a.seller", "b.target", "b.seller").distinct().collect()}
+    reps = []
+    for row in sorted((x.asDict() for x in r.collect()), key=lambda x: x["ord"]):
+        for k, rep in enumerate(reps):
+            if rep["stage"] == row["stage"] and (rep["target"], rep["seller"], row["target"], row["seller"]) in match:
+                new, old = (row, rep) if row["confidence"] > rep["confidence"] else (rep, row)
+                reps[k] = new | {"reasoning": f"{new['reasoning']}\n[Also: {old['title']}]"}
+                break
+        else:
+            reps.append(row)
+    return reps
+
+
+def test_greedy_deal_dedup_folds_every_deal(spark, sf):
+    from wirelens.plans import queries
+
+    columns = ["ord", "stage", "seller", "target", "confidence", "reasoning"]
+    got = queries.queries()["greedy_deal_dedup"](spark, sf).select(columns).collect()
+    want = plain_fold(queries.deals(lambda name: spark.read.parquet(f"{sf}/{name}.parquet")))
+    assert sorted(map(tuple, got)) == sorted(tuple(x[c] for c in columns) for x in want)
+    assert min(x["confidence"] for x in got) <= 25

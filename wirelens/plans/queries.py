@@ -213,8 +213,9 @@ def fuzzy_deal_anti_join(t):
 
 @query
 def greedy_deal_dedup(t):
-    d = deals(t).where(F.col("confidence") > 25)
-    return dedup.fold_repeats(d, ["stage", "seller"]).select("ord", "stage", "seller", "target", "confidence", "reasoning")
+    d = deals(t)
+    parts = int(d.sparkSession.conf.get("spark.sql.shuffle.partitions"))  # few bytes but much work a block: a given number is not coalesced
+    return dedup.fold_repeats(d.repartition(parts, "stage", "seller"), ["stage", "seller"]).select("ord", "stage", "seller", "target", "confidence", "reasoning")
 
 
 @query
