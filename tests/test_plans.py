@@ -160,3 +160,19 @@ def test_greedy_deal_dedup_folds_every_deal(spark, sf):
     want = plain_fold(queries.deals(lambda name: spark.read.parquet(f"{sf}/{name}.parquet")))
     assert sorted(map(tuple, got)) == sorted(tuple(x[c] for c in columns) for x in want)
     assert min(x["confidence"] for x in got) <= 25
+
+
+def test_mini_scan_folds_across_sellers(spark, sf):
+    from collections import Counter
+
+    from wirelens.operators import dedup, filters
+    from wirelens.plans import queries
+
+    a = dedup.keep_first(queries.scored(lambda name: spark.read.parquet(f"{sf}/{name}.parquet")), ["url"], ["published", "ord"])
+    good = filters.alerts_to_score(a.where("ord % 9 <> 0")).withColumn("target", F.col("target_company"))
+    action = {r["ord"]: (r["stage"], r["recommended_action"], r["fit"]) for r in good.collect()}
+    kept = [action[x["ord"]] for x in plain_fold(good)]
+    n = Counter(x[:2] for x in kept)
+    want = {(*k, c, max(x[2] for x in kept if x[:2] == k)) for k, c in n.items()}
+    got = queries.queries()["mini_scan"](spark, sf).select("stage", "recommended_action", "n", "best").collect()
+    assert {tuple(r) for r in got} == want and len(got) == len(want)

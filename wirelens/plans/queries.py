@@ -404,8 +404,8 @@ def mini_scan(t):
     a = scored(t)
     first = dedup.keep_first(a, ["url"], ["published", "ord"])
     new = dedup.unseen(first, first.where("ord % 9 = 0").select("url"))
-    good = filters.alerts_to_score(new).withColumns({"target": F.col("target_company"), "sold_by": F.col("seller")})
-    folded = dedup.fold_repeats(good, ["stage", "sold_by"]).select("ord")
+    good = filters.alerts_to_score(new).withColumns({"target": F.col("target_company")})
+    folded = dedup.fold_repeats(good, ["stage"]).select("ord")
     kept = good.join(folded, "ord", "left_semi")
     return kept.groupBy("stage", "recommended_action").agg(F.count("*").alias("n"), F.max("fit").alias("best"))
 
