@@ -219,6 +219,14 @@ def test_keep_one(spark):
     assert jaccard.link_components(docs.where("false")).count() == 0
 
 
+def test_keep_one_decides_by_row(spark):
+    texts = {k: " ".join(f"{k}{i}" for i in range(40)) for k in "abcdef"}
+    rows = [(1, texts["a"]), (1, texts["b"]), (1, None), (1, ""), (None, texts["c"]), (None, texts["c"]), (7, texts["d"]), (None, texts["d"]), (None, texts["e"]), (2, texts["a"]), (0, texts["f"]), (1, texts["f"])]
+    kept = jaccard.keep_one(spark.createDataFrame(rows, "doc_id long, text string")).collect()
+    want = [(1, texts["a"]), (1, texts["b"]), (1, None), (1, ""), (None, texts["c"]), (7, texts["d"]), (None, texts["e"]), (0, texts["f"])]
+    assert sorted(map(str, map(tuple, kept))) == sorted(map(str, want))
+
+
 def test_components(spark):
     r = random.Random(3)
     edges = [(i, i + 1) for i in range(100)] + [(r.randrange(200, 400), r.randrange(200, 400)) for _ in range(150)] + [(500, i) for i in range(501, 600)] + [(7, 7)]

@@ -34,6 +34,7 @@ component without any id has none); repeated rows are copies.
 from __future__ import annotations
 
 import hashlib
+from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
@@ -138,6 +139,11 @@ def overlap_bound(n: Column) -> Column:
     return F.floor((n * PERCENT + 99) / 100)
 
 
+def _print_of(h: np.ndarray) -> bytes | None:
+    """The fingerprint of a set; none of an empty one."""
+    return hashlib.blake2b(h.tobytes(), digest_size=16).digest() if len(h) else None
+
+
 def _sets(prefix_only: bool):
     def run(batches):
         hasher = Hasher()
@@ -148,7 +154,7 @@ def _sets(prefix_only: bool):
                 for h in hasher.sets(part.column(1).to_pylist()):
                     n = len(h)
                     sizes.append(n)
-                    keys.append(hashlib.blake2b(h.tobytes(), digest_size=16).digest() if n else None)
+                    keys.append(_print_of(h))
                     h = h[: n - -(-n * PERCENT // 100) + least_shared(n)] if prefix_only else h
                     values.append(h)
                     ends.append(ends[-1] + len(h))
@@ -300,34 +306,59 @@ def links(docs: DataFrame, reps: DataFrame, scratch: Scratch) -> DataFrame:
     return checked.unionAll(_family_links(stars, sets, scratch))
 
 
-def link_components(docs: DataFrame) -> DataFrame:
-    """doc_id, n_shingles and component_id of every document."""
-    scratch = Scratch(docs.sparkSession, "jaccard")
+def _grouped(docs: DataFrame, scratch: Scratch) -> tuple[DataFrame, DataFrame]:
+    """(doc_id, n, print) of every document, and (print, component, grp) of every class; grp numbers the linked group."""
     base, reps = classes(docs, scratch)
     found = scratch.table(links(docs, reps, scratch), "links")
     scratch.release()
     root = components(found, scratch, "links")
     of = root.join(reps.select(F.col("key").alias("node"), "rep"), "node")
     least = of.groupBy("root").agg(F.min("rep").alias("least"))
-    joined = of.join(least, "root").select(F.col("node").alias("key"), "least")
-    to = reps.select("key", "print", "rep").join(joined, "key", "left").select("print", F.coalesce("least", "rep").alias("component"))
+    joined = of.join(least, "root").select(F.col("node").alias("key"), "least", "root")
+    to = reps.select("key", "print", "rep").join(joined, "key", "left")
+    return base, to.select("print", F.coalesce("least", "rep").alias("component"), F.coalesce("root", "key").alias("grp"))
+
+
+def link_components(docs: DataFrame) -> DataFrame:
+    """doc_id, n_shingles and component_id of every document."""
+    base, to = _grouped(docs, Scratch(docs.sparkSession, "jaccard"))
     return base.join(to, "print", "left").select("doc_id", F.col("n").alias("n_shingles"), F.coalesce("component", "doc_id").alias("component_id"))
 
 
+def _print_column(texts: Iterator[pa.Array]) -> Iterator[pa.Array]:
+    hasher = Hasher()
+    for t in texts:
+        sets = [h for at in range(0, len(t), 1000) for h in hasher.sets(t.slice(at, 1000).to_pylist())]
+        yield pa.array([_print_of(h) for h in sets], pa.binary())
+
+
 def keep_one(docs: DataFrame) -> DataFrame:
-    """The documents, all columns, less all but one of each component: the one with the smallest doc_id, and one row of that.
+    """The documents, all columns, less all but one row of each linked group: one with the smallest doc_id, a null id last.
 
-    Documents without words are all kept; so are those of a component without any id.
+    Documents without words are all kept, but a row that has an id and is
+    repeated whole is kept once.  Rows that share a doc_id, or have
+    none, are told apart by their sets' fingerprints, which only they are
+    given here again; the others are found by their ids.
     """
-    got = link_components(docs)
-    gone = got.where((F.col("n_shingles") > 0) & (F.col("doc_id") != F.col("component_id"))).select(F.col("doc_id").alias("id")).distinct()
+    scratch = Scratch(docs.sparkSession, "keep")
+    base, to = _grouped(docs, scratch)
+    member = base.where("n > 0").join(to.select("print", "grp"), "print").select("doc_id", "print", "grp")
+    first = member.groupBy("grp").agg(F.min(F.struct(F.col("doc_id").isNull().alias("none"), "doc_id", "print")).alias("f")).select("grp", "f.doc_id", "f.print")
+    chosen = scratch.table(first, "chosen")
+    again = scratch.table(base.where("doc_id is not null").groupBy("doc_id").agg(F.count("*").alias("c")).where("c > 1").select(F.col("doc_id").alias("id")), "again")
+    gone = member.join(chosen.select("doc_id", "print"), ["doc_id", "print"], "left_anti").select(F.col("doc_id").alias("id")).distinct()
+    again_sent = F.broadcast(again) if again.count() <= BROADCAST_IDS else again
     columns = docs.columns
     cut = docs.select(F.struct(*[docs[c].alias(c) for c in columns]).alias("row"), docs["doc_id"].cast("long").alias("id"))
-    left = cut.join(gone, "id", "left_anti")
-    again = left.groupBy("id").agg(F.count("*").alias("c")).where("c > 1 and id is not null").select("id")
-    twice = left.join(F.broadcast(again) if again.count() <= BROADCAST_IDS else again, "id", "left_semi").groupBy("id").agg(F.min_by("row", F.xxhash64("row")).alias("row"))
-    once = left.join(again, "id", "left_anti")
-    return once.select("row.*").unionByName(twice.select("row.*"))
+    lone = cut.where("id is not null").join(again_sent, "id", "left_anti").join(gone, "id", "left_anti")
+    shared = cut.join(again_sent, "id", "left_semi").select("row", "id").unionByName(cut.where("id is null").select("row", "id"))
+    marked = shared.withColumn("print", F.arrow_udf(_print_column, "binary")(F.col("row.text").cast("string")))
+    empty = marked.where("print is null")
+    wordless = empty.where("id is null").select("row").unionByName(empty.where("id is not null").select("row").distinct())
+    c = chosen.select(F.col("doc_id").alias("chosen_id"), F.col("print").alias("chosen_print"))
+    best = marked.join(c, (F.col("print") == F.col("chosen_print")) & F.col("id").eqNullSafe(F.col("chosen_id")), "left_semi")
+    once = best.groupBy("id", "print").agg(F.min_by("row", F.xxhash64("row")).alias("row")).select("row")
+    return lone.select("row").unionByName(wordless).unionByName(once).select("row.*")
 
 
 def op4_jaccard_join(spark: SparkSession, sf_dir: str) -> DataFrame:
