@@ -263,6 +263,31 @@ def test_shards(spark):
     assert sharding.shards(docs.where("false")).count() == 0
 
 
+def test_shards_split_equal_rows(spark):
+    """Half of the rows are one row; a third have no id and one text."""
+    rows = [(7, "the same row")] * 6000 + [(i, f"other row {i % 1000:03d}") for i in range(6000)] + [(None, "no id here")] * 6000
+    docs = spark.createDataFrame(rows, "doc_id long, text string").repartition(5)
+    got = sharding.shards(docs, 16).toPandas()
+    size = got.groupby("shard")["size"].sum()
+    assert len(got) == len(rows) and len(size) == 16 and size.max() < 1.011 * size.mean() + 30 and size.min() > 0.989 * size.mean() - 30
+    for _, part in got.groupby("shard"):
+        assert sorted(part["slot"]) == list(range(len(part)))
+
+
+def test_splitters_equal_a_sequential_search(spark):
+    """Splitters against a walk over the sorted keys: each is the text edge nearest to its target, or lies within the tolerance of it."""
+    r = random.Random(3)
+    texts = [f"t{i % 700}" + "y" * (i % 700 % 37) for i in range(2000)] + ["".join(r.choice("abc") for _ in range(r.randint(0, 300))) for _ in range(800)]
+    keys = common.Scratch(spark, "test").table(sharding.keyed(spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string")), "keys")
+    points = sharding.splitters(keys, 8)
+    rows = sorted((sum(((x[h] + (1 << 63)) << 64 * (2 - k)) for k, h in enumerate(sharding.HASHES)), x["size"], x["shard"]) for x in sharding.assign(keys, points).collect())
+    total = sum(x[1] for x in rows)
+    for i, p in enumerate(points, 1):
+        below = sum(size for key, size, _ in rows if key < p)
+        assert abs(below - total * i / 8) <= sharding.TOLERANCE * total / 8 + max(x[1] for x in rows)
+    assert [x[2] for x in rows] == [sum(p <= key for p in points) for key, _, _ in rows]
+
+
 def test_shards_keep_groups_and_write(spark, tmp_path):
     texts = [f"text {i // 3} " + "x" * (i // 3 % 50) for i in range(6000)]
     docs = spark.createDataFrame([(i, t) for i, t in enumerate(texts)], "doc_id long, text string")
