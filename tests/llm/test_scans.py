@@ -133,9 +133,19 @@ def test_cascade_is_exact(spark, monkeypatch):
     want = {i for i, h in enumerate(hosts) if h in listed or h.split(".", 1)[1] in listed}
     got = {x["page_id"] for x in url_filter.judge(pages, (), blocked).where("verdict = 'block'").collect()}
     assert got == want
-    monkeypatch.setattr(url_filter, "MAX_BITS", 10)  # the other way, by a semi join
+    monkeypatch.setattr(url_filter, "BITS_A_KEY", 10)
+    monkeypatch.setattr(url_filter, "MAX_BITS", 1024)  # several blocks, some of which do not fit at first
     assert {x["page_id"] for x in url_filter.judge(pages, (), blocked).where("verdict = 'block'").collect()} == want
-    assert url_filter.judge(pages.where("false")).count() == 0
+    assert url_filter.judge(pages.where("false"), (), blocked).count() == 0
+
+
+def test_url_edges_and_plan(spark):
+    """Repeated pages and rules of equal length (the later one in order of host wins); the plan runs no Python and has no join."""
+    pages = spark.createDataFrame([(None, "http://a.b/x"), (1, "http://a.b/x"), (1, "http://a.b/x"), (2, "http://c.b/x")], "page_id long, url string")
+    got = url_filter.judge(pages, (("block", "b", "/xx"), ("allow", "a.b", "/"), ("block", "a.b", "/x"), ("block", "b", "/x")), spark.createDataFrame([], "key string"))
+    assert sorted((r["page_id"] or 0, r["rule"], r["verdict"]) for r in got.collect()) == [(0, "a.b/x", "block"), (1, "a.b/x", "block"), (1, "a.b/x", "block"), (2, "b/x", "block")]
+    plan = got._jdf.queryExecution().executedPlan().toString()
+    assert not re.search("Python|Pandas|InArrow|Join", plan)
 
 
 def test_quality_cases(spark):
