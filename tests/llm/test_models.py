@@ -140,7 +140,7 @@ def plain_hits(text, items):
     return len(w), len(hit), sorted(ids)
 
 
-def test_decontamination_equals_brute_force(spark):
+def test_decontamination_equals_brute_force(spark, monkeypatch):
     r = random.Random(2)
     words = "a b c Dd É 9".split()
     say = lambda n: " ".join(r.choice(words) for _ in range(n))
@@ -148,8 +148,9 @@ def test_decontamination_equals_brute_force(spark):
     texts = [*ODD[:6], *[say(r.randint(1, 60)) for _ in range(60)], items[0][1] + ", " + items[7][1].upper(), "zz " * 40, None]
     docs = frame(spark, texts)
     bench = spark.createDataFrame([(i, t, "w") for i, t in items], "item_id long, text string, words string")
-    for limit in (decontaminate.BLOCK_BYTES, 60):
-        got = decontaminate.find(docs, bench, limit).withColumn("hit", decontaminate.n_hit()).collect()
+    for bits in (decontaminate.MAX_FILTER_BITS, 64):  # 64 bits let nearly everything through
+        monkeypatch.setattr(decontaminate, "MAX_FILTER_BITS", bits)
+        got = decontaminate.find(docs, bench).withColumn("hit", decontaminate.n_hit()).collect()
         assert len(got) == len(texts)
         for x in got:
             assert (x["n_words"], x["hit"], x["items"]) == plain_hits(texts[2 if x["doc_id"] is None else x["doc_id"]], items)
@@ -159,6 +160,18 @@ def test_decontamination_equals_brute_force(spark):
     assert decontaminate.find(docs.where("false"), bench).count() == 0
 
 
+def test_decontamination_by_one_very_long_item(spark):
+    """An item of many distinct words, listed thrice, and copies of one contaminated text."""
+    words = [f"q{i}" for i in range(300_000)]
+    bench = spark.createDataFrame([("long", " ".join(words))] * 3, "item_id string, text string")
+    passage = "x y z " + " ".join(words[1000:1015]) + " end"
+    docs = spark.createDataFrame([(i, passage) for i in range(50)] + [(99, "nothing " * 40)], "doc_id long, text string")
+    got = {r["doc_id"]: r for r in decontaminate.find(docs, bench).collect()}
+    assert len(got) == 51 and not got[99]["spans"]
+    assert all([(s["start"], s["end"]) for s in got[i]["spans"]] == [(3, 18)] and got[i]["items"] == ["long"] for i in range(50))
+    assert [r["doc_id"] for r in decontaminate.keep_clean(docs, bench).collect()] == [99]
+
+
 def plain_components(rows):
     groups = collections.defaultdict(list)
     for i, t in rows:

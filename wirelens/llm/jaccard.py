@@ -43,6 +43,7 @@ from pyspark.sql import functions as F
 
 from .common import Scratch, id_and_text, map_arrow, table
 from .components import components
+from .wordhash import ODD, WordHasher, mix
 
 SHINGLE, PERCENT = 4, 85
 #: The first filter's extension: a tenth of the set, KEEP at least.
@@ -57,50 +58,16 @@ BLOCK_SETS, BLOCK_SHINGLES = 1024, 1_000_000
 BROADCAST_IDS = 500_000
 
 
-_SPACE = np.zeros(256, bool)
-_SPACE[[9, 10, 11, 12, 13, 32]] = True
-_ODD = 0x9E3779B97F4A7C15
 #: Bytes of text that are hashed at once; a longer text is hashed alone.
 _SLICE = 1_000_000
 
 
-def _mix(h: np.ndarray) -> np.ndarray:
-    h = (h ^ h >> np.uint64(32)) * np.uint64(0xD6E8FEB86659FD93)
-    h = (h ^ h >> np.uint64(29)) * np.uint64(0xBF58476D1CE4E5B9)
-    return h ^ h >> np.uint64(32)
-
-
-class Hasher:
-    """Shingle sets of many texts at once.
-
-    A word's hash is a polynomial of its bytes modulo 2 ** 64, taken for all
-    words of a slice from running sums, and mixed.
-    """
-
-    def __init__(self):
-        self.power = self.inverse = np.ones(1, np.uint64)
-
-    def _powers(self, n: int) -> None:
-        if len(self.power) < n:
-            steps = np.full(n, _ODD, np.uint64)
-            back = np.full(n, pow(_ODD, -1, 1 << 64), np.uint64)
-            steps[0] = back[0] = 1
-            self.power, self.inverse = np.cumprod(steps), np.cumprod(back)
+class Hasher(WordHasher):
+    """Shingle sets of many texts at once."""
 
     def _slice(self, raws: list[bytes]) -> list[np.ndarray]:
-        data = np.frombuffer(b" ".join(raws) + b" ", np.uint8)
-        self._powers(len(data))
-        space = _SPACE[data]
-        before = np.concatenate(([True], space[:-1]))
-        start, end = np.flatnonzero(~space & before), np.flatnonzero(space & ~before)
-        total = np.concatenate((np.zeros(1, np.uint64), np.cumsum((data.astype(np.uint64) + np.uint64(1)) * self.power[: len(data)])))
-        w = _mix((total[end] - total[start]) * self.inverse[start])
-        first = np.cumsum([0] + [len(r) + 1 for r in raws])
-        at = np.searchsorted(start, first)
-        n = max(0, len(w) - SHINGLE + 1)
-        h = w[:n]
-        for j in range(1, SHINGLE):
-            h = _mix(h * np.uint64(_ODD) + w[j : j + n])
+        words = self.words(raws)
+        w, at, h = words.hashes, words.first, words.shingles(SHINGLE)
         out = []
         for k in range(len(raws)):
             a, b = at[k], at[k + 1]
@@ -109,7 +76,7 @@ class Hasher:
             elif b > a:  # the whole sequence, told apart by its length
                 x = np.full(1, b - a, np.uint64)
                 for i in range(a, b):
-                    x = _mix(x * np.uint64(_ODD) + w[i])
+                    x = mix(x * np.uint64(ODD) + w[i])
                 out.append(x)
             else:
                 out.append(np.empty(0, np.uint64))
@@ -176,7 +143,7 @@ def levels(n: int) -> set[int]:
 
 def _index(batches):
     """(key, n, bucket) of every indexed single shingle and combination; tokens are (count, hash), rarest first."""
-    mix = lambda a, b, c: ((a * np.uint64(0x9E3779B97F4A7C15) ^ b) * np.uint64(0xC2B2AE3D27D4EB4F) ^ (b >> np.uint64(31))) * np.uint64(0x165667B19E3779F9) + np.uint64(c)
+    key_of = lambda a, b, c: ((a * np.uint64(0x9E3779B97F4A7C15) ^ b) * np.uint64(0xC2B2AE3D27D4EB4F) ^ (b >> np.uint64(31))) * np.uint64(0x165667B19E3779F9) + np.uint64(c)
     for batch in batches:
         for k in range(batch.num_rows):
             n, tokens = batch.column(1)[k].as_py(), batch.column(2)[k].values
@@ -194,7 +161,7 @@ def _index(batches):
                     t = np.sort(often[often % np.uint64(c) == own])
                     if len(t) > 1:
                         i, j = np.triu_indices(len(t), 1)
-                        buckets.append(mix(t[i], t[j], c))
+                        buckets.append(key_of(t[i], t[j], c))
             every = np.unique(np.concatenate(buckets)) if buckets else np.empty(0, np.uint64)
             for at in range(0, len(every), 20_000):
                 part = every[at : at + 20_000].view(np.int64)
