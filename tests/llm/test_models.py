@@ -94,6 +94,18 @@ def test_bpe_equals_the_library(spark, monkeypatch, top):
     assert bpe.encode(frame(spark, texts).where("false"), spec).count() == 0
 
 
+def test_bpe_refuses_other_parts_and_decodes_by_a_join(spark):
+    import json
+
+    spec = json.loads(bpe.read_spec())
+    for part, value in (("normalizer", None), ("decoder", {"type": "ByteLevel"}), ("model", spec["model"] | {"dropout": 0.1})):
+        with pytest.raises(ValueError, match=part):
+            bpe.check_spec(json.dumps(spec | {part: value}))
+    docs = spark.createDataFrame([(1, "some words here")], "doc_id long, text string")
+    plan = bpe.word_table(docs, bpe.read_spec())._jdf.queryExecution().executedPlan().toString()
+    assert "BroadcastHashJoin [id" in plan
+
+
 def test_pack_round_trip():
     for v in ([], [0], [1, 255, 256, 70_000], list(range(1000))):
         assert wordtable.unpack(wordtable.pack(np.array(v, np.int64))).tolist() == v

@@ -4,18 +4,19 @@
    pre-tokenizer do (a word never crosses white space); counts of distinct
    words are summed in Spark.
 2. Each distinct word is encoded once.
-3. The ids return to the documents by place: frequent words from the bounded
-   top table, the others through their number in the chunk's list.
-4. Decoding joins the ids of a chunk's distinct words with the id-to-piece
-   table, a broadcast hash join inside the chunk's task: the vocabulary is a
-   fixed bound.
+3. Decoding joins the ids of the distinct words with the id-to-piece table (a
+   broadcast join in Spark: the vocabulary is a fixed bound); a word's pieces
+   are put together in order.
+4. Ids and decoded pieces return to the documents by place: frequent words from
+   the bounded top table, the others through their number in the chunk's list.
 
 A text of characters below U+0250 is split by an expression over their
 classes; any other text by the tokenizer's own components.  Special tokens in
 a text become their own ids, as in the library.
 
-The tokenizer file is a parameter, read on the driver; its vocabulary is the
-fixed bound of the id-to-piece table.  Defined cases: a null text is empty and
+The tokenizer file is a parameter, read on the driver.  Its parts must be those
+that the splitter stands for (see check_spec), else a ValueError tells which
+one is not; vocabulary and merges are free.  Defined cases: a null text is empty and
 has no tokens; a null doc_id is kept; repeated rows give equal rows; an empty
 table gives no rows.
 """
@@ -42,6 +43,28 @@ _CLASS = {c: re.escape("".join(chr(x) for x in range(0x250) if unicodedata.categ
 _PIECES = re.compile(rf"'s|'t|'re|'ve|'m|'ll|'d|[{_CLASS['L']}]+|[{_CLASS['N']}]|[^\s{_CLASS['L']}{_CLASS['N']}]+")
 
 
+#: What the splitter, the quick expression and the decoding stand for.
+SPLIT = r"'s|'t|'re|'ve|'m|'ll|'d|[\p{L}]+|[\p{N}]|[^\s\p{L}\p{N}]+"
+EXPECTED = {
+    "normalizer": {"type": "Sequence", "normalizers": [{"type": "NFC"}, {"type": "Replace", "pattern": {"Regex": r"\s+"}, "content": " "}, {"type": "Lowercase"}]},
+    "pre_tokenizer": {"type": "Sequence", "pretokenizers": [{"type": "Split", "pattern": {"Regex": SPLIT}, "behavior": "Removed", "invert": True}, {"type": "ByteLevel", "add_prefix_space": False, "trim_offsets": True, "use_regex": False}]},
+    "decoder": None,
+}
+
+
+def check_spec(spec: str) -> None:
+    """Raises ValueError for a tokenizer of other parts: another normalizer, pre-tokenizer, decoder or model, or added tokens that are not plain."""
+    s = json.loads(spec)
+    wrong = [k for k, v in EXPECTED.items() if s.get(k) != v]
+    model = s.get("model", {})
+    if model.get("type") != "BPE" or model.get("dropout"):
+        wrong.append("model")
+    if any(t["single_word"] or t["lstrip"] or t["rstrip"] or t["normalized"] for t in s.get("added_tokens", [])):
+        wrong.append("added_tokens")
+    if wrong:
+        raise ValueError(f"a tokenizer with other parts than expected: {', '.join(wrong)}")
+
+
 def byte_letters() -> list[str]:
     """The letter that stands for each byte in byte-level pieces: printable bytes are themselves, the others follow from U+0100."""
     printable = [*range(33, 127), *range(161, 173), *range(174, 256)]
@@ -119,22 +142,27 @@ def _count(spec: str):
     return run
 
 
+def id_to_piece(spark: SparkSession, spec: str) -> DataFrame:
+    """id and piece: the vocabulary and the added tokens."""
+    s = json.loads(spec)
+    made = {i: p for p, i in s["model"]["vocab"].items()} | {t["id"]: t["content"] for t in s["added_tokens"]}
+    return spark.createDataFrame(pa.table({"id": pa.array(made, pa.int32()), "piece": pa.array(made.values(), pa.string())}))
+
+
 def word_table(docs: DataFrame, spec: str) -> DataFrame:
-    """word, n and ids (decimal, joined by a blank) of every distinct word, each encoded once."""
+    """word, n, code (ids as 32-bit numbers) and text (decoded pieces, joined by a blank) of every distinct word, each encoded once."""
 
     def encode(batches):
         split = Splitter(spec)
         for batch in batches:
-            ids = [" ".join(map(str, split.encode(w))) for w in batch.column(0).to_pylist()]
-            yield pa.RecordBatch.from_arrays([batch.column(0), batch.column(1), pa.array(ids, pa.string())], names=["word", "n", "ids"])
+            ids = [np.array(split.encode(w), "<i4") for w in batch.column(0).to_pylist()]
+            yield pa.RecordBatch.from_arrays([batch.column(0), batch.column(1), pa.array([i.tobytes() for i in ids], pa.binary()), pa.array(ids, pa.list_(pa.int32()))], names=["word", "n", "code", "ids"])
 
     words = map_arrow(docs, _count(spec), "word string, n long").groupBy("word").agg(F.sum("n").alias("n"))
-    return map_arrow(words, encode, "word string, n long, ids string")
-
-
-def id_to_piece(spec: str) -> dict[str, str]:
-    model = json.loads(spec)
-    return {str(i): p for p, i in model["model"]["vocab"].items()} | {str(t["id"]): t["content"] for t in model["added_tokens"]}
+    coded = map_arrow(words, encode, "word string, n long, code binary, ids array<int>")
+    each = coded.select("word", "n", "code", F.posexplode("ids").alias("at", "id")).join(F.broadcast(id_to_piece(docs.sparkSession, spec)), "id")
+    pieces = F.array_sort(F.collect_list(F.struct("at", "piece")))  # of one word
+    return each.groupBy("word").agg(F.first("n").alias("n"), F.first("code").alias("code"), F.array_join(F.transform(pieces, lambda x: x["piece"]), " ").alias("text"))
 
 
 _CHUNK = "chunk long, doc_ids array<long>, lens binary, codes binary, words binary"
@@ -189,22 +217,20 @@ def _pack_chunks(spec: str, top: dict[str, int]):
     return run
 
 
-def _assemble(top_ids: list[str], pieces: dict[str, str], full: bool):
+def _assemble(top_codes: list[bytes], top_texts: list[str], full: bool):
     schema = pa.schema([("doc_id", pa.int64()), ("n_tokens", pa.int64()), ("ids", pa.string()), ("decoded", pa.string())])
     held: dict = {}
-
-    def decode(ids: list[str]) -> tuple[list[str], np.ndarray]:
-        parts = [i.split(" ") for i in ids]
-        return [" ".join([pieces[x] for x in p]) for p in parts], np.array([len(p) for p in parts], np.int64)
+    shown = lambda codes: [" ".join(map(str, np.frombuffer(c, "<i4").tolist())) for c in codes]
+    counted = lambda codes: np.array([len(c) // 4 for c in codes], np.int64)
 
     def run(left: pa.Table, right: pa.Table) -> pa.Table:
         if not left.num_rows:
             return schema.empty_table()
         if not held:
-            held["texts"], held["sizes"] = decode(top_ids)
-        mine = right.column("ids").take(pa.array(right.column("at").to_numpy().argsort())).to_pylist()
-        texts, sizes = decode(mine)
-        ids, texts, sizes = top_ids + mine, held["texts"] + texts, np.concatenate((held["sizes"], sizes))
+            held["ids"], held["sizes"] = shown(top_codes), counted(top_codes)
+        order = pa.array(right.column("at").to_numpy().argsort())
+        mine = right.column("code").take(order).to_pylist()
+        ids, texts, sizes = held["ids"] + shown(mine), top_texts + right.column("text").take(order).to_pylist(), np.concatenate((held["sizes"], counted(mine)))
         lens, codes = unpack(left.column("lens")[0].as_py()), unpack(left.column("codes")[0].as_py())
         if int(codes.max(initial=-1)) >= len(ids):
             raise RuntimeError("a chunk's words and their ids differ; the input changed between two reads")
@@ -235,15 +261,16 @@ def read_spec(path: str | None = None) -> str:
 
 def encode(docs: DataFrame, spec: str, full: bool = True) -> DataFrame:
     """doc_id, n_tokens, ids (decimal, joined by a blank) and decoded text of every document; with full=False the SHA-256 of both texts instead."""
+    check_spec(spec)
     d = id_and_text(docs)
     scratch = Scratch(docs.sparkSession, "bpe")
     words = scratch.table(word_table(d, spec), "words")
     scratch.release()
-    top, top_ids = top_words(words, "n", ["word", "ids"])
+    top, top_codes, top_texts = top_words(words, "n", ["word", "code", "text"])
     packed = map_arrow(d, _pack_chunks(spec, {w: k for k, w in enumerate(top)}), _CHUNK).repartition("chunk")
     places = map_arrow(packed, listed(0, 4), "chunk long, at int, word string")
-    answers = places.join(words.select("word", "ids"), "word").select("chunk", "at", "ids")
-    return packed.groupBy("chunk").cogroup(answers.groupBy("chunk")).applyInArrow(_assemble(top_ids, id_to_piece(spec), full), "doc_id long, n_tokens long, ids string, decoded string")
+    answers = places.join(words.select("word", "code", "text"), "word").select("chunk", "at", "code", "text")
+    return packed.groupBy("chunk").cogroup(answers.groupBy("chunk")).applyInArrow(_assemble(top_codes, top_texts, full), "doc_id long, n_tokens long, ids string, decoded string")
 
 
 def op5_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:

@@ -20,9 +20,11 @@ LOWER = UPPER.lower()
 
 
 def shared_dir(spark: SparkSession) -> str:
-    """Folder that driver and executors share; set here only where it is unset (tests)."""
+    """Folder that driver and executors share, named by ``spark.checkpoint.dir``; set here only where it is unset and all runs in one process (tests)."""
     found = spark.sparkContext.getConf().get("spark.checkpoint.dir") or spark.conf.get("spark.checkpoint.dir", None)
     if not found:
+        if not spark.sparkContext.master.startswith("local"):
+            raise RuntimeError("spark.checkpoint.dir must name a folder that driver and executors share")
         found = "/tmp/checkpoints"
         spark.conf.set("spark.checkpoint.dir", found)
     return found.rstrip("/")
