@@ -134,6 +134,40 @@ def test_language_id_cases(spark):
     assert language.identify(docs.where("false")).count() == 0
 
 
+def test_language_id_equals_plain_out_of_place(spark):
+    """Profiles and distances by dicts and Counter, over strings of letters; ties in counts, in distances and repeated rows."""
+    import unicodedata
+
+    def grams(text):
+        low = "".join((x.lower() if len(x.lower()) == 1 else x) if unicodedata.category(x)[0] == "L" else " " for x in text or "")
+        run = " " + " ".join(low.split()) + " "
+        return [run[i : i + n] for n in (1, 2, 3) for i in range(len(run) - n + 1) if (run[i] != " " if n == 1 else n == 2 or run[i + 1] != " ")] if run.strip() else []
+
+    def code(g):
+        x = [ord(c) * 0x9E3779B1 & 0xFFFFFFFF for c in g]
+        m = 0xFFFFFFFF
+        h = x[0] if len(x) == 1 else (x[0] * 0x85EBCA6B + x[1] & m) ^ 0x27D4EB2F if len(x) == 2 else ((x[0] * 0x85EBCA6B + x[1] & m) * 0xC2B2AE35 + x[2] & m) ^ 0x165667B1
+        return (h * 0x9E3779B1 & m) >> 14
+
+    ranks = lambda counts: [c for c, _ in sorted(counts.items(), key=lambda kv: (-kv[1], kv[0]))[:400]]
+    docs = spark.read.parquet("/root/testdata/sf0.001/documents.parquet").select("doc_id", "text", "lang")
+    odd = [(9001, "\ud7b0\ud7c6", "ko"), (9002, "abc abc", "aa"), (9003, "abc abc", "bb"), (9006, "abc", None), (9006, "abc", None), (9007, chr(0x2FFFE) + " 12", "zz"), (9008, "ǅ Σς ß İ", "xx")]
+    docs = docs.unionAll(spark.createDataFrame(odd, "doc_id long, text string, lang string"))
+    rows = docs.collect()
+    held = {}
+    for r in rows:
+        if r["lang"] is not None and zlib.crc32(str(r["doc_id"]).encode()) % 5 and r["text"] is not None:
+            held.setdefault(r["lang"], collections.Counter()).update(map(code, grams(r["text"])))
+    known = {lang: {c: k for k, c in enumerate(ranks(n))} for lang, n in sorted(held.items()) if n}
+    assert {k: {c: i for i, c in enumerate(v)} for k, v in language.profiles(docs).items()} == known
+    want = collections.Counter()
+    for r in rows:
+        mine = ranks(collections.Counter(map(code, grams(r["text"]))))
+        away = {lang: sum(abs(p[c] - k) if c in p else 400 for k, c in enumerate(mine)) for lang, p in known.items()}
+        want[r["doc_id"], min(away, key=lambda x: (away[x], x)) if mine else "und"] += 1
+    assert collections.Counter((x["doc_id"], x["lang_pred"]) for x in language.identify(docs).collect()) == want
+
+
 def plain_hits(text, items):
     import re
 
@@ -235,6 +269,26 @@ def test_jaccard_equals_brute_force(spark, monkeypatch, rare, block, span):
     assert sorted((-1 if x[0] is None else x[0], x[1], -1 if x[2] is None else x[2]) for x in got) == plain_components([(None if i == 2 else i, t) for i, t in enumerate(texts)])
 
 
+def test_families_of_many_blocks(spark, monkeypatch):
+    """Chains of near copies, no two ends of which are alike, and several groups that share one line: more than the first blocks connect."""
+    monkeypatch.setattr(jaccard, "RARE", 3)
+    monkeypatch.setattr(jaccard, "BLOCK_SETS", 4)
+    monkeypatch.setattr(jaccard, "CLASS_SPAN", 16)
+    r = random.Random(4)
+    words = [f"w{i}" for i in range(300)]
+    texts = []
+    for _ in range(3):
+        w = [r.choice(words) for _ in range(90)]
+        for _ in range(45):
+            w[r.randrange(90)] = r.choice(words)
+            texts.append(" ".join(w))
+    line = " a line that is very common here and stands in each of these"
+    texts += [x + line for _ in range(4) for x in near_copies(r, 12, words, 14, 1)]
+    r.shuffle(texts)
+    got = jaccard.link_components(spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string")).collect()
+    assert sorted(tuple(x) for x in got) == plain_components(list(enumerate(texts)))
+
+
 def test_keep_one(spark):
     text = " ".join(f"w{i}" for i in range(40))
     docs = spark.createDataFrame([(3, text, "a"), (1, text, "b"), (1, text, "b"), (2, None, "c"), (2, None, "c"), (None, "", "d"), (None, "", "d"), (4, "other words are here", "e")], "doc_id long, text string, row string")

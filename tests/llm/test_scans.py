@@ -159,7 +159,22 @@ def test_quality_cases(spark):
 
 def test_cascade_order_is_by_rejection_per_cost():
     rules = {"slow": lambda d: [sum(range(20_000)), True][1], "never": lambda d: False, "fast": lambda d: True}
-    assert quality.cascade_order(["x"] * 50, rules) == ["fast", "slow", "never"]
+    assert quality.cascade_order(quality.measure(["x"] * 50, rules)) == ["fast", "slow", "never"]
+
+
+def test_listed_counts_cost_a_rule_nothing():
+    text = ["a b c " * 20_000] * 5
+    free, priced = quality.measure(text)["repeated_windows"][1], quality.measure(text, listed=())["repeated_windows"][1]
+    assert free * 10 < priced
+
+
+def test_quality_filter_equals_verdicts(spark):
+    docs = spark.read.parquet("/root/testdata/sf0.001/documents.parquet")
+    docs = docs.unionAll(docs.limit(20)).withColumn("kept", F.lit("clash"))
+    want = sorted((r["doc_id"]) for r in quality.judge(docs).where("kept").collect())
+    kept = quality.keep_good(docs)
+    assert kept.columns == docs.columns and sorted(r["doc_id"] for r in kept.collect()) == want
+    assert quality.keep_good(docs.where("false")).count() == 0
 
 
 def test_url_filter_blocks_every_junk_host(spark, sf):

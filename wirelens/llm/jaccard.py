@@ -19,9 +19,11 @@ similarity of PERCENT / 100 or more.
    the number of combinations in proportion to n.
 4. A bucket of at most RARE sets gives its pairs, which are made distinct,
    filtered by length, and verified on the full sets.
-5. A larger bucket gives only a star.  Stars join into families, and a family
-   is verified block against block: each task compares two blocks of bounded
-   size by a matrix product and returns a spanning forest, never all pairs.
+5. A larger bucket gives only a star.  Stars join into families, cut into
+   blocks of bounded size.  Each block is compared with itself and the family's
+   first block, by a matrix product that returns a spanning forest, never all
+   pairs.  What the largest group so found leaves of a family is then compared
+   with the whole family; the group itself is connected and is not.
 6. Components of the verified links give every document the smallest doc_id
    that it reaches.
 
@@ -53,7 +55,7 @@ RARE = 16
 #: Shingles of a set for which one hash class of frequent shingles is used.
 CLASS_SPAN = 128
 #: Sets and shingles of one block of a family.
-BLOCK_SETS, BLOCK_SHINGLES = 1024, 1_000_000
+BLOCK_SETS, BLOCK_SHINGLES = 512, 500_000
 #: Class representatives whose ids are broadcast to fetch their texts; more are fetched by a shuffled join.
 BROADCAST_IDS = 500_000
 
@@ -172,10 +174,9 @@ def _linked(shared: Column, n: Column, m: Column) -> Column:
     return shared * 100 >= (n + m - shared) * PERCENT
 
 
-def _verify_blocks(group: pa.Table) -> pa.Table:
-    """A spanning forest of the links between two blocks (or within one)."""
+def _forest(group: pa.Table) -> pa.Table:
+    """A spanning forest of the links within a group of bounded size."""
     keys = group.column("key").to_pylist()
-    block = group.column("block").to_numpy()
     n = group.column("n").to_numpy()
     sets = [x.values.to_numpy() for x in group.column("tokens")]
     owner = np.repeat(np.arange(len(sets)), [len(s) for s in sets])
@@ -193,8 +194,6 @@ def _verify_blocks(group: pa.Table) -> pa.Table:
         part[owner[a:b], token[a:b] - low] = 1
         shared += part @ part.T
     link = shared * 100 >= (n[:, None] + n[None, :] - shared) * PERCENT
-    if len(set(block.tolist())) > 1:
-        link &= block[:, None] != block[None, :]  # pairs inside a block are another task's
     left, edges = np.ones(len(keys), bool), []
     for root in range(len(keys)):
         if not left[root]:
@@ -211,14 +210,42 @@ def _verify_blocks(group: pa.Table) -> pa.Table:
 
 
 def _family_links(stars: DataFrame, sets: DataFrame, scratch: Scratch) -> DataFrame:
+    """Links of families, enough to connect what is linked, without comparing what is connected already.
+
+    First each block of a family is compared with itself and with the family's
+    first block, which is linear work.  Of a family of more blocks, the largest
+    group that this connects needs no look at itself any more; what is left of
+    the family is compared with all of it.
+    """
     member = components(stars, scratch, "families").select(F.col("node").alias("key"), F.col("root").alias("family"))
     full = member.join(sets, "key")
     size = full.groupBy("family").agg(F.count("*").alias("sets"), F.sum("n").alias("shingles"))
     blocks = F.ceil(F.greatest(F.col("sets") / BLOCK_SETS, F.col("shingles") / BLOCK_SHINGLES)).cast("int")
     full = full.join(size.select("family", blocks.alias("blocks")), "family").withColumn("block", F.pmod(F.xxhash64("key"), F.col("blocks")).cast("int"))
-    met = full.withColumn("other", F.explode(F.sequence(F.lit(0), F.col("blocks") - 1)))
-    met = met.select("family", F.least("block", "other").alias("p"), F.greatest("block", "other").alias("q"), "block", "key", "n", "tokens")
-    return met.groupBy("family", "p", "q").applyInArrow(_verify_blocks, "a long, b long")
+    full = scratch.table(full.select("family", "blocks", "block", "key", "n", "tokens"), "families")
+    cells = F.when(F.col("block") > 0, F.array("block")).when(F.col("blocks") > 1, F.sequence(F.lit(1), F.col("blocks") - 1)).otherwise(F.array(F.lit(0)))
+    met = full.withColumn("cell", F.explode(cells)).select("family", "cell", "key", "n", "tokens")
+    first = scratch.table(met.groupBy("family", "cell").applyInArrow(_forest, "a long, b long"), "family-links")
+    wide = full.where("blocks > 2").select("family", "blocks", "block", "key", "n")
+    if wide.isEmpty():
+        return first
+    inside = first.join(wide.select(F.col("key").alias("a")), "a", "left_semi")
+    group = components(inside, scratch, "family-groups").select(F.col("node").alias("key"), F.col("root").alias("group"))
+    held = scratch.table(wide.join(group, "key", "left").withColumn("group", F.coalesce("group", "key")), "grouped")
+    main = held.groupBy("family", "group").agg(F.count("*").alias("c")).groupBy("family").agg(F.max(F.struct("c", "group")).alias("m")).select("family", F.col("m.group").alias("main"))
+    rest = held.join(main, "family").where("group <> main").select("family", "blocks", "key", "n")
+    many = rest.groupBy("family").agg(F.count("*").alias("sets"), F.sum("n").alias("shingles"))
+    parts = F.ceil(F.greatest(F.col("sets") / BLOCK_SETS, F.col("shingles") / BLOCK_SHINGLES)).cast("int")
+    rest = rest.join(many.select("family", parts.alias("parts")), "family").withColumn("part", F.pmod(F.xxhash64("key", F.lit(1)), F.col("parts")).cast("int"))
+    rest = scratch.table(rest, "family-rest")
+    if rest.isEmpty():
+        return first
+    mine = rest.select("family", "part", F.explode(F.sequence(F.lit(0), F.col("blocks") - 1)).alias("block"), "key")
+    theirs = held.select("family", "block", "key").join(rest.select("family", "parts").distinct(), "family").select("family", F.explode(F.sequence(F.lit(0), F.col("parts") - 1)).alias("part"), "block", "key")
+    tried = mine.unionByName(theirs).groupBy("family", "part", "block", "key").agg(F.lit(1).alias("x")).drop("x")
+    met = tried.join(sets, "key").select("family", "part", "block", "key", "n", "tokens")
+    second = met.groupBy("family", "part", "block").applyInArrow(_forest, "a long, b long")
+    return first.unionAll(scratch.table(second, "family-links-2"))
 
 
 def classes(docs: DataFrame, scratch: Scratch) -> tuple[DataFrame, DataFrame]:
