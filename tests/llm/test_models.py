@@ -25,7 +25,8 @@ def test_recursion_equals_plain_forward_backward(monkeypatch):
     m = hmm.Model(r.dirichlet(np.ones(s)), r.dirichlet(np.ones(s), s), r.dirichlet(np.ones(c), s).T.copy())
     lens = np.array([1, 4, 5, 6, 17, 23])
     obs = r.integers(0, c, lens.sum())
-    starts, moves, emits = hmm.expected(m, obs, lens)
+    starts, moves, emits, total = hmm.expected(m, obs, lens)
+    assert np.isclose(total, hmm.log_likelihood(m, obs, lens).sum())
     want_s, want_m, want_e, logs, at = np.zeros(s), np.zeros((s, s)), np.zeros((c, s)), [], 0
     for n in lens:
         o = obs[at : at + n]
@@ -68,6 +69,14 @@ def test_lm_base_equals_counts(spark, sf, monkeypatch, top):
     assert sum(r["score"] for r in held) > sum(r["base_score"] for r in held)  # better on held-out texts than single words
 
 
+def test_lm_does_not_depend_on_the_layout(spark, sf):
+    """One file or seven give the same scores; a text's score is the log of its probability under the model, summed by hand."""
+    docs = spark.read.parquet(f"{sf}/documents.parquet").select("doc_id", "text")
+    one, seven = (sorted((r["doc_id"], r["base_score"], r["score"]) for r in hmm.score(d).collect()) for d in (docs.coalesce(1), docs.repartition(7)))
+    assert [r[0] for r in one] == [r[0] for r in seven]
+    assert np.allclose([r[1:] for r in one], [r[1:] for r in seven], rtol=2e-4)
+
+
 def test_lm_without_training(spark):
     only = [i for i in range(200) if zlib.crc32(str(i).encode()) % 7 == 2][:3]
     docs = spark.createDataFrame([(i, t) for i, t in zip(only, ["a b", None, "c"], strict=True)], "doc_id long, text string")

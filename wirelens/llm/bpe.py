@@ -149,13 +149,21 @@ def id_to_piece(spark: SparkSession, spec: str) -> DataFrame:
     return spark.createDataFrame(pa.table({"id": pa.array(made, pa.int32()), "piece": pa.array(made.values(), pa.string())}))
 
 
+def id_type(spec: str) -> str:
+    """Bytes of an id: two where the vocabulary allows."""
+    s = json.loads(spec)
+    return "<u2" if max([*s["model"]["vocab"].values(), *(t["id"] for t in s["added_tokens"])]) < 1 << 16 else "<u4"
+
+
 def word_table(docs: DataFrame, spec: str) -> DataFrame:
-    """word, n, code (ids as 32-bit numbers) and text (decoded pieces, joined by a blank) of every distinct word, each encoded once."""
+    """word, n, code (ids as numbers of id_type) and text (decoded pieces, joined by a blank) of every distinct word, each encoded once."""
+
+    kind = id_type(spec)
 
     def encode(batches):
         split = Splitter(spec)
         for batch in batches:
-            ids = [np.array(split.encode(w), "<i4") for w in batch.column(0).to_pylist()]
+            ids = [np.array(split.encode(w), kind) for w in batch.column(0).to_pylist()]
             yield pa.RecordBatch.from_arrays([batch.column(0), batch.column(1), pa.array([i.tobytes() for i in ids], pa.binary()), pa.array(ids, pa.list_(pa.int32()))], names=["word", "n", "code", "ids"])
 
     words = map_arrow(docs, _count(spec), "word string, n long").groupBy("word").agg(F.sum("n").alias("n"))
@@ -217,11 +225,11 @@ def _pack_chunks(spec: str, top: dict[str, int]):
     return run
 
 
-def _assemble(top_codes: list[bytes], top_texts: list[str], full: bool):
+def _assemble(top_codes: list[bytes], top_texts: list[str], kind: str, full: bool):
     schema = pa.schema([("doc_id", pa.int64()), ("n_tokens", pa.int64()), ("ids", pa.string()), ("decoded", pa.string())])
     held: dict = {}
-    shown = lambda codes: [" ".join(map(str, np.frombuffer(c, "<i4").tolist())) for c in codes]
-    counted = lambda codes: np.array([len(c) // 4 for c in codes], np.int64)
+    shown = lambda codes: [" ".join(map(str, np.frombuffer(c, kind).tolist())) for c in codes]
+    counted = lambda codes: np.array([len(c) // int(kind[-1]) for c in codes], np.int64)
 
     def run(left: pa.Table, right: pa.Table) -> pa.Table:
         if not left.num_rows:
@@ -270,7 +278,7 @@ def encode(docs: DataFrame, spec: str, full: bool = True) -> DataFrame:
     packed = map_arrow(d, _pack_chunks(spec, {w: k for k, w in enumerate(top)}), _CHUNK).repartition("chunk")
     places = map_arrow(packed, listed(0, 4), "chunk long, at int, word string")
     answers = places.join(words.select("word", "code", "text"), "word").select("chunk", "at", "code", "text")
-    return packed.groupBy("chunk").cogroup(answers.groupBy("chunk")).applyInArrow(_assemble(top_codes, top_texts, full), "doc_id long, n_tokens long, ids string, decoded string")
+    return packed.groupBy("chunk").cogroup(answers.groupBy("chunk")).applyInArrow(_assemble(top_codes, top_texts, id_type(spec), full), "doc_id long, n_tokens long, ids string, decoded string")
 
 
 def op5_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
