@@ -113,6 +113,93 @@ def test_cli(capsys):
     assert (a.hours, a.skip_sink) == (5, True)
 
 
+def test_cli_scans_from_pages_to_sink(spark, tmp_path, monkeypatch, capsys):
+    """Saved pages behind a fake web; a model and a sink by name; two runs; errors, bodies, press discovery and flags."""
+    import sys
+    import types
+
+    from wirelens import cli
+    from wirelens.plans import gather
+
+    today = spark.sql("select date_format(current_timestamp(), 'EEE, dd MMM yyyy HH:mm:ss') d").first()["d"]
+    rss = f"<rss><channel><item><title>Acme sells pumps unit</title><link>https://acme.com/1</link><pubDate>{today} +0000</pubDate></item></channel></rss>"
+    press = '<li><h3>Beta division sold to fund</h3><a href="/n/5">x</a></li>'
+    listing = "".join(f'<a href="/news/{i}">n</a>' for i in range(3)) + '<li><h3>Gamma sells its engines</h3><a href="/news/engines">x</a></li>'
+    web = {"https://acme.com/feed.xml": (200, rss), "https://beta.com/press": (200, press), "https://gamma.com/press": (200, listing), "https://gone.com/feed": (404, ""), "https://shy.com/press": (403, ""),
+           "https://acme.com/1": (200, "<article>" + "<p>pumps body text here</p>" * 20 + "</article>")}
+
+    def get(url, head, timeout, verify):
+        return web.get(url, (500, ""))
+
+    def classify(system, prompt):
+        if system.startswith("You score"):
+            return json.dumps([{"fit": 80, "pe_buyer": 90, "separation_complexity": 70, "recommended_action": "pursue"}] * prompt.count('. "')), 50, 5
+        lines = [x for x in prompt.split("\n") if '. "' in x]
+        return json.dumps([{"deal_type": "corporate_carveout", "stage": "signing", "target_company": line.split('"')[1].split()[2], "seller": line.split('"')[1].split()[0], "confidence": 70, "reasoning": "r"} for line in lines]), 100, 10
+
+    taken = str(tmp_path / "taken")
+
+    def post(document):
+        with open(taken, "a") as f:
+            f.write(document + "\n")
+        return "id"
+
+    fake = types.ModuleType("fake_services")
+    fake.classify, fake.post, fake.refuse = classify, post, lambda document: None
+    monkeypatch.setitem(sys.modules, "fake_services", fake)
+    monkeypatch.setattr(cli, "web", lambda a: gather.Web(get=get))
+    monkeypatch.setattr(cli, "SINK_PAUSE", 0)
+    targets = tmp_path / "t.yml"
+    targets.write_text("firms:\n- {name: Acme, domain: acme.com, feed_url: 'https://acme.com/feed.xml', press_url: 'https://acme.com/none'}\n- {name: Beta, domain: beta.com, press_url: 'https://beta.com/press'}\n- {name: Gamma, domain: gamma.com}\n"
+                       "- {name: Gone, domain: gone.com, feed_url: 'https://gone.com/feed', press_url: 'https://gone.com/feed'}\n- {name: Shy, domain: shy.com, press_url: 'https://shy.com/press'}\n")
+    run = lambda sink, n: cli.main(["--targets", str(targets), "--state", str(tmp_path / "state"), "--work", str(tmp_path / f"work{n}"), "--provider", "fake_services:classify", "scan", "--sink", f"fake_services:{sink}"])
+    try:
+        run("refuse", 0)
+        raise AssertionError("a run whose every write fails must raise")
+    except RuntimeError:
+        assert tables.read_state(spark, str(tmp_path / "state"))["seen"].count() == 0
+    assert run("post", 1) == 0
+    rows = [json.loads(x) for x in open(taken)]
+    assert len(rows) == 3
+    fresh = spark.read.parquet(str(tmp_path / "work1" / "fresh"))
+    assert fresh.where("url = 'https://acme.com/1'").first()["summary"].startswith("pumps body text")
+    errors = {r["firm_name"]: r for r in tables.read_state(spark, str(tmp_path / "state"))["firm_errors"].collect()}
+    assert (errors["Gone"]["consecutive_404s"], errors["Gone"]["needs_url_update"]) == (2, False) and errors["Shy"]["prefer_render"] and errors["Beta"]["last_error"] is None
+    assert "gamma.com/press" in targets.read_text() and tables.last_run(spark, str(tmp_path / "state"))
+    out = capsys.readouterr().out
+    assert "classify: 100 tokens in" in out and "actionable" in out
+    assert run("post", 2) == 0 and len(open(taken).readlines()) == 3
+    errors = {r["firm_name"]: r for r in tables.read_state(spark, str(tmp_path / "state"))["firm_errors"].collect()}
+    assert errors["Gone"]["needs_url_update"] and "need a new address: Gone" in capsys.readouterr().out
+
+
+def test_services():
+    import pytest
+
+    from wirelens.sources import providers
+
+    chat = providers.HttpModel("u", "m", post=lambda url, body, key, timeout: {"content": [{"text": body["messages"][0]["content"]}], "usage": {"input_tokens": 3, "output_tokens": 2}})
+    other = providers.HttpModel("u", "m", post=lambda url, body, key, timeout: {"choices": [{"message": {"content": "x"}}], "usage": {"prompt_tokens": 1, "completion_tokens": 1}})
+    assert chat("s", "p") == ("p", 3, 2) and other("s", "p") == ("x", 1, 1)
+
+    def fails(*a):
+        raise TimeoutError
+
+    assert providers.HttpSink("u", post=lambda *a: {"id": "7"})("{}") == "7" and providers.HttpSink("u", post=fails)("{}") is None
+    assert providers.model(None) is None and providers.sink(None) is None and providers.load("json:loads") is json.loads
+    for wrong in (lambda: providers.sink("https://sink"), lambda: providers.load("json")):
+        with pytest.raises(ValueError):
+            wrong()
+
+
+def test_time_budget_leaves_sources_unfinished(spark):
+    from wirelens.sources import fetch
+
+    urls = spark.createDataFrame([(f"https://x/{i}", f"f{i}") for i in range(4)], "url string, firm_name string")
+    log = fetch.fetch(urls, lambda *a: (200, "ok"), budget=0)
+    assert log.count() == 4 and fetch.unfinished(log).count() == 4
+
+
 def test_dimension_file(spark, tmp_path):
     p = tmp_path / "t.yml"
     p.write_text("firms:\n- {name: A, domain: a.com, extra: 1}\n- {name: B, sectors: [x]}\n")

@@ -1,22 +1,51 @@
-"""Fixed values that results depend on."""
+"""Fixed values that results depend on; they are stated as they are, in their natural order."""
 
-# Words that carry no meaning in a company or target name.
+# Words that carry no meaning in a company or target name, by group.
 STOP_TOKENS = (
-    "a advanced advisors advisory aerospace ag americas an analytics and arm asia associates automotive beverage bio "
-    "business capital chemicals co communications company consulting corp data defense digital division east energy "
-    "engineering enterprises equity europe financial food for from fund funds global gmbh group health healthcare holding "
-    "holdings in inc industrial integrated international investments its life llc logistics lp ltd management manufacturing "
-    "materials media medical national network networks new north nv of operations partners pharma pharmaceutical plc "
-    "portfolio premium products resources s sa sciences se segment services solutions south specialty strategic supply "
-    "systems tech technologies technology the to unit ventures west worldwide"
-).split()
-
-# Page parts that are never body text: element names, roles, and fragments of class names.
-STRIP_TAGS = ("aside", "footer", "form", "header", "nav", "noscript", "script", "style")
-STRIP_ROLES = ("banner", "complementary", "contentinfo", "navigation")
-STRIP_CLASS_PARTS = ("ad", "ads", "advertisement", "comment", "comments", "cookie", "footer", "header", "menu", "modal", "nav", "popup", "share", "sidebar", "social")
-
-# Paths that are tried for a press page and for a feed, in order.
+    # articles and prepositions
+    "the", "a", "an", "of", "in", "for", "and", "to", "from", "its", "s",
+    # corporate structure
+    "division", "unit", "business", "arm", "segment", "operations", "group", "industrial", "services", "company", "corp", "inc", "ltd", "plc", "ag",
+    "se", "sa", "nv", "gmbh", "co", "llc", "lp", "holdings", "holding",
+    # generic business words
+    "solutions", "products", "systems", "technologies", "technology", "tech", "global", "international", "worldwide", "americas", "europe", "asia",
+    "capital", "partners", "advisors", "advisory", "management", "investments", "portfolio", "enterprises", "resources", "consulting", "associates",
+    "financial", "ventures", "fund", "funds", "equity",
+    # industries
+    "energy", "health", "healthcare", "medical", "pharma", "pharmaceutical", "bio", "life", "sciences", "materials", "chemicals", "digital", "data",
+    "analytics", "media", "communications", "network", "networks", "logistics", "supply", "manufacturing", "engineering", "automotive", "aerospace",
+    "defense", "food", "beverage",
+    # common descriptors
+    "north", "south", "east", "west", "new", "advanced", "specialty", "premium", "strategic", "integrated", "national",
+)
+
+# Page parts that are never body text, as element names, roles, and fragments of class names.
+STRIP_TAGS = ("nav", "footer", "header", "aside", "script", "style", "noscript", "form")
+STRIP_ROLES = ("navigation", "banner", "contentinfo", "complementary")
+STRIP_CLASS_PARTS = ("sidebar", "nav", "footer", "header", "menu", "ad", "ads", "advertisement", "cookie", "popup", "modal", "social", "share", "comment", "comments")
+
+# Feeds that belong to no firm, as (source, url).
+CORE_FEEDS = (
+    ("BusinessWire", "https://feed.businesswire.com/rss/home/?rss=G1QFDERJXkJeEFpRWw=="),
+    ("Reuters M&A", "https://news.google.com/rss/search?q=site%3Areuters.com+%28%22private+equity%22+OR+buyout+OR+carve-out+OR+carveout+OR+divestiture+OR+divests+OR+%22agrees+to+acquire%22%29&hl=en-US&gl=US&ceid=US%3Aen"),
+)
+
+# Press pages of law firms, as (name, domain, press_url).
+LAW_FIRMS = (
+    ("Kirkland & Ellis", "kirkland.com", "https://www.kirkland.com/insights"),
+    ("Simpson Thacher & Bartlett", "stblaw.com", "https://www.stblaw.com/about-us/news"),
+    ("Latham & Watkins", "lw.com", "https://www.lw.com/en/news"),
+    ("Paul, Weiss", "paulweiss.com", "https://www.paulweiss.com/insights/client-news"),
+    ("Ropes & Gray", "ropesgray.com", "https://www.ropesgray.com/en/newsroom"),
+    ("Debevoise & Plimpton", "debevoise.com", "https://www.debevoise.com/news"),
+    ("Willkie Farr & Gallagher", "willkie.com", "https://www.willkie.com/news"),
+    ("Gibson, Dunn & Crutcher", "gibsondunn.com", "https://www.gibsondunn.com/category/firm-news/"),
+    ("Paul Hastings", "paulhastings.com", "https://www.paulhastings.com/news"),
+    ("Freshfields Bruckhaus Deringer", "freshfields.com", "https://www.freshfields.com/en/our-thinking/news"),
+    ("Clifford Chance", "cliffordchance.com", "https://www.cliffordchance.com/news.html"),
+)
+
+# Paths that are tried for a press page and for a feed, in order.
 PRESS_PATHS = (
     "/news", "/press", "/press-releases", "/media", "/newsroom", "/news-and-insights", "/insights", "/news-media", "/press-room",
     "/media-centre", "/media-center", "/about/news", "/about/press", "/about/media", "/who-we-are/news", "/our-news", "/updates",
@@ -32,12 +61,12 @@ PRESS_LINK_WORDS = ("/news/", "/press/", "/media/", "/insight", "release", "anno
 PRESS_LINKS_NEEDED = 3
 FEED_LINK_SCAN = 50_000
 
-# Reviewers' verdicts.
+# reviewers' verdicts.
 FALSE_POSITIVE_VERDICTS = ("Duplicate", "Low EV", "No Separation Work", "Not Relevant", "Not a Carve-Out", "Wrong Geography")
 TRUE_POSITIVE_VERDICTS = ("Confirmed",)
 PENDING = "Pending"
 
-# Limits of the deal rules.
+# Limits of the deal rules.
 MIN_CONFIDENCE = 50
 PURSUE_FROM, MONITOR_FROM = 65, 40
 NO_BUYER_CAP, NO_SEPARATION_CAP = 30, 25
@@ -45,11 +74,14 @@ FIT_WEIGHTS = (("separation_complexity", 30), ("pe_buyer", 30), ("size", 15), ("
 DEAL_TYPES = ("corporate_carveout", "portco_carveout")
 STAGES = ("signing", "closing")
 
-# State, fetching and batching.
+# State, fetching and batching.
 STATE_DAYS = 14
+STATE_BYTES_TO_WARN = 2_000_000
+FETCH_BUDGET = 600  # seconds for all sources of a run
+CORE_HOURS = 168
 MISSES_TO_FLAG = 3
 BODY_WORDS, MAX_WORDS, MAX_CHARS = 50, 1500, 6000
-CLASSIFY_BATCH, QUALIFY_BATCH, MODEL_TRIES = 20, 5, 3
+CLASSIFY_BATCH, QUALIFY_BATCH, MODEL_TRIES, REPLY_TOKENS = 20, 5, 3, 4096
 PRICE_IN, PRICE_OUT = 15, 75  # per million tokens
 FETCH_TIMEOUT, CONNECT_TRIES, BACKOFF = 30, 3, (1, 2)
 SINK_PAUSE, SINK_TIMEOUT, SINK_TEXT = 0.35, 10, 2000

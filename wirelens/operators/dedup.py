@@ -2,15 +2,14 @@
 
 from __future__ import annotations
 
+import itertools
+from collections.abc import Callable
+
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from ..functions import text
 
-#: Rows of a side that a theta join broadcasts; a longer side is joined by key only.
-BROADCAST_ROWS = 200_000
-
-
 def keep_first(df: DataFrame, keys: list[str], order: list[str]) -> DataFrame:
     """The first row of each key in the given order: one aggregation, combined before the exchange."""
     row = F.struct(*[F.col(c) for c in df.columns])
@@ -48,6 +47,69 @@ def unseen_deals(deals: DataFrame, seen: DataFrame) -> DataFrame:
 
 
 _OWN = ("ord", "title", "target", "seller", "confidence", "reasoning")
+_PROFILE = ("name", "tokens", "acronym", "solid", "seller", "seller_tokens")
+
+
+class _Name:
+    """A deal's profile in a task: what text.same_deal reads."""
+
+    def __init__(self, p: dict):
+        self.name, self.acronym, self.solid, self.seller = p["name"], p["acronym"], p["solid"], p["seller"]
+        self.tokens, self.sold = frozenset(p["tokens"]), frozenset(p["seller_tokens"])
+
+    def bare(self, sellers: tuple[str, str]) -> str:
+        n = self.name
+        for s in sellers:
+            n = n.replace(s, "").strip(" ") if s else n
+        return n
+
+    def short_for(self, o: _Name) -> bool:
+        return self.acronym != "" and (o.solid.startswith(self.acronym) or self.acronym in o.tokens)
+
+    def same_deal(self, o: _Name) -> bool:
+        """text.same_deal, over two profiles."""
+        shared = self.sold & o.sold
+        if self.sold and o.sold and not shared:
+            return False
+        if self.name == o.name or self.acronym != "" and self.acronym == o.acronym or self.short_for(o) or o.short_for(self):
+            return True
+        if any(len(s) >= 5 and self.name.startswith(s[:4]) and o.name.startswith(s[:4]) for s in (self.seller, o.seller)):
+            return True
+        mine, theirs = self.tokens - self.sold - o.sold, o.tokens - self.sold - o.sold
+        common = len(mine & theirs)
+        if common >= 2 or common and 2 * common >= len(mine | theirs) or shared and not (mine and theirs):
+            return True
+        a, b = self.bare((self.seller, o.seller)), o.bare((self.seller, o.seller))
+        return a != "" and b != "" and (a in b or b in a)
+
+
+def _fold(schema):
+    import pyarrow as pa
+
+    def run(block: pa.Table) -> pa.Table:
+        reps: list[tuple[dict, _Name]] = []
+        seen: dict[tuple, int] = {}  # profile -> the representative that it joined; holds until one is replaced by another profile
+        for row in block.sort_by("ord").to_pylist():
+            new = _Name(row["p"])
+            key = (new.name, new.seller)
+            at = seen[key] if key in seen else next((i for i, (_, r) in enumerate(reps) if r.same_deal(new)), None)
+            if at is None:
+                seen[key] = len(reps)
+                reps.append((row, new))
+                continue
+            seen[key] = at
+            rep, old = reps[at]
+            more = row["confidence"] is not None and rep["confidence"] is not None and row["confidence"] > rep["confidence"]
+            first, other = (row, rep) if more else (rep, row)
+            first["reasoning"] = f"{first['reasoning'] or ''}\n[Also: {other['title'] or ''}]"
+            if more:
+                reps[at] = (row, new)
+                if (old.name, old.seller) != key:
+                    seen.clear()
+        out = [r | {"place": i} for i, (r, _) in enumerate(reps)]
+        return pa.Table.from_pylist([{n: r[n] for n in schema.names} for r in out], schema=schema)
+
+    return run
 
 
 def fold_repeats(alerts: DataFrame, block: list[str], order: str = "ord") -> DataFrame:
@@ -55,24 +117,45 @@ def fold_repeats(alerts: DataFrame, block: list[str], order: str = "ord") -> Dat
 
     The more confident one represents (a tie keeps the earlier), with a note
     on the other's title; a replaced one's own notes go with it.  ``block``
-    holds stage, and may hold more columns where different values never match.
-    Needs ord, title, target, seller, confidence, reasoning and the block's.
+    holds stage, and may hold more columns where different values never match
+    (seller_blocks gives one).  A block is folded in one task, as the result
+    depends on the order; profiles are made by native columns before.  Needs
+    ord (unique), title, target, seller, confidence, reasoning and the block's.
     """
-    fields = [F.col(order).cast("long").alias("ord"), "title", "target", "seller", F.col("confidence").cast("int").alias("confidence"), "reasoning", text.profile(F.col("target"), F.col("seller")).alias("p")]
-    ready = alerts.select(*[F.col(b).alias(f"block_{i}") for i, b in enumerate(block)], F.struct(*fields).alias("row"))
-    rows = F.array_sort(F.collect_list("row"))
-
-    def step(reps: Column, new: Column) -> Column:
-        at = F.array_position(F.transform(reps, lambda r: text.same_deal(r["p"], new["p"])), F.lit(True))
+    from pyspark.sql.pandas.types import to_arrow_schema
 
-        def noted(row: Column, other: Column) -> Column:
-            note = F.concat(F.coalesce(row["reasoning"], F.lit("")), F.lit("\n[Also: "), F.coalesce(other["title"], F.lit("")), F.lit("]"))
-            return F.struct(*[(note if f == "reasoning" else row[f]).alias(f) for f in (*_OWN, "p")])
-
-        merged = F.transform(reps, lambda r, i: F.when(i + 1 != at, r).otherwise(F.when(new["confidence"] > r["confidence"], noted(new, r)).otherwise(noted(r, new))))
-        return F.when(at > 0, merged).otherwise(F.concat(reps, F.array(new)))
-
-    empty = F.array().cast(f"array<{ready.schema['row'].dataType.simpleString()}>")
-    folded = ready.groupBy(*[f"block_{i}" for i in range(len(block))]).agg(F.aggregate(rows, empty, step).alias("reps"))
-    out = folded.select(*[F.col(f"block_{i}").alias(b) for i, b in enumerate(block) if b not in _OWN], F.posexplode("reps").alias("place", "r"))
-    return out.select(*[b for b in block if b not in _OWN], "place", *[f"r.{f}" for f in _OWN])
+    fields = [F.col(order).cast("long").alias("ord"), "title", "target", "seller", F.col("confidence").cast("int").alias("confidence"), "reasoning", text.profile(F.col("target"), F.col("seller")).alias("p")]
+    ready = alerts.select(*[F.col(b).alias(f"block_{i}") for i, b in enumerate(block)], *fields)
+    keys = [f"block_{i}" for i in range(len(block))]
+    out = ready.drop("p").withColumn("place", F.lit(0)).schema
+    folded = ready.groupBy(*keys).applyInArrow(_fold(to_arrow_schema(out)), out)
+    named_ = [F.col(f"block_{i}").alias(b) for i, b in enumerate(block) if b not in _OWN]
+    return folded.select(*named_, "place", *_OWN)
+
+
+def seller_blocks(alerts: DataFrame, keep: Callable[[DataFrame, str], DataFrame]) -> DataFrame:
+    """Adds deal_block: alerts of one stage and different blocks never match.
+
+    Sellers that share a token, directly or through others, are in one block:
+    the block is the least token that can be reached, found by passing least
+    tokens along shared ones until nothing changes.  A seller without tokens
+    can match any, so a stage that has one is a single block.  ``keep`` writes
+    a table and reads it back.
+    """
+    stage = F.coalesce("stage", F.lit(""))
+    rows = alerts.withColumns({"block_stage": stage, "block_toks": F.array_sort(text.tokens(F.col("seller")))})
+    sets = rows.select("block_stage", "block_toks").distinct()
+    loose = sets.where(F.size("block_toks") == 0).select("block_stage").distinct().withColumn("loose", F.lit(True))
+    edges = keep(sets.where(F.size("block_toks") > 0).select("block_stage", F.xxhash64("block_toks").alias("sid"), F.explode("block_toks").alias("tok")), "seller-sets")
+    low = keep(edges.select("block_stage", "tok").distinct().withColumn("low", F.col("tok")), "seller-0")
+    state = None
+    for k in itertools.count(1):
+        of_set = edges.join(low, ["block_stage", "tok"]).groupBy("block_stage", "sid").agg(F.min("low").alias("low"))
+        low = keep(edges.join(of_set, ["block_stage", "sid"]).groupBy("block_stage", "tok").agg(F.min("low").alias("low")), f"seller-{k}")
+        now = low.agg(F.sum(F.xxhash64("block_stage", "tok", "low").cast("decimal(38,0)"))).first()[0]
+        if now == state:
+            break
+        state = now
+    found = rows.withColumn("tok", F.get("block_toks", F.lit(0))).join(low, ["block_stage", "tok"], "left").join(loose, "block_stage", "left")
+    block = F.when(F.col("loose").isNotNull(), F.lit("")).otherwise(F.col("low"))
+    return found.select(*alerts.columns, block.alias("deal_block"))

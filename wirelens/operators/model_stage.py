@@ -26,7 +26,11 @@ CLASSIFY_SYSTEM = """You read news items for sales of business units out of larg
 Answer with one JSON array, one object for each item in order, with the keys deal_type, stage, target_company, seller, buyer, confidence (0-100) and reasoning.
 deal_type is corporate_carveout when a company sells a division to a private equity buyer, portco_carveout when a portfolio company sells one, and none otherwise.
 It is none when the buyer is no private equity firm, when nothing has to be separated from a parent, or when no seller is named; so for secondary buyouts, take-privates, bolt-ons, exits, minority stakes, sales of a whole company, fund news, listings, asset transfers, self-contained subsidiaries and past deals.
-stage is signing or closing, or null."""
+stage is signing or closing, or null.
+For example the item
+1. "Harbor Capital signs deal to buy Orion's valve division"
+is answered with
+[{"deal_type": "corporate_carveout", "stage": "signing", "target_company": "valve division", "seller": "Orion", "buyer": "Harbor Capital", "confidence": 90, "reasoning": "a fund buys a division of a company"}]"""
 
 QUALIFY_SYSTEM = """You score deals for work on separating the sold unit.
 Answer with one JSON array, one object for each deal in order, with whole numbers from 0 to 100 for fit, separation_complexity, pe_buyer, size, sector and geography, and with pe_firm, recommended_action and reasoning.

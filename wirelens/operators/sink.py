@@ -62,6 +62,16 @@ def csv_rows(alerts: DataFrame) -> DataFrame:
     )
 
 
+def skipped(scored: DataFrame) -> DataFrame:
+    """Outcome rows of what is never sent: discards, and rows without a usable title."""
+    return scored.where(~F.coalesce(F.col("recommended_action").isin("pursue", "monitor"), F.lit(False)) | ~writable()).select(F.col("ord").cast("long").alias("ord"), F.lit(None).cast("string").alias("page_id"), F.lit("skipped").alias("outcome"))
+
+
+def pages(written: DataFrame) -> DataFrame:
+    """ord and page_id of the rows that the sink took."""
+    return written.where("outcome = 'written'").select("ord", "page_id")
+
+
 def outcomes(written: DataFrame) -> DataFrame:
     """written, skipped and errors of a sink run (outcome: written, skipped or error)."""
     return written.agg(*[F.count_if(F.col("outcome") == o).alias(n) for o, n in (("written", "written"), ("skipped", "skipped"), ("error", "errors"))])

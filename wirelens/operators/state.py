@@ -53,6 +53,33 @@ def firm_errors(log: DataFrame, source: str, order: list[str], limit: int = MISS
     )
 
 
+def outcome(error_type: Column) -> Column:
+    """What a log row means for its source; null where it means nothing."""
+    return F.when(error_type.isNull(), "ok").when(error_type != "unfinished", error_type)
+
+
+def record(old: DataFrame, log: DataFrame, order: list[str], now: Column, limit: int = MISSES_TO_FLAG) -> DataFrame:
+    """The errors table after a run whose fetches are in ``log`` (firm_name, outcome and the order's columns).
+
+    A 404 adds to the streak that the table holds, a success ends it and the
+    error; flags stay.  Sources without a fetch keep their row.
+    """
+    fresh = log.where("outcome is not null")
+    s = miss_streaks(fresh, "firm_name", order).join(old.select("firm_name", F.col("consecutive_404s").alias("before")), "firm_name", "left")
+    w = W.partitionBy("firm_name").orderBy(*order).rowsBetween(W.unboundedPreceding, 0)
+    s = s.withColumn("won", F.max(F.when(F.col("outcome") == "ok", 1).otherwise(0)).over(w))
+    s = s.withColumn("full", F.col("streak") + F.when(F.col("won") == 0, F.coalesce("before", F.lit(0))).otherwise(0))
+    last = F.struct(*order)
+    mine = s.groupBy("firm_name").agg(
+        F.max_by("full", last).cast("int").alias("n"), (F.max("full") >= limit).alias("flag"), F.max(F.col("outcome") == "403").alias("render"), F.max_by("outcome", last).alias("final"),
+    )
+    both = old.join(mine, "firm_name", "full")
+    error = F.when(F.col("final").isNull(), F.col("last_error")).when(F.col("final") != "ok", F.col("final"))
+    date = F.when(F.col("final").isNull(), F.col("last_error_date")).when(F.col("final") != "ok", now.cast("string"))
+    flag = lambda a, b: F.coalesce(a, F.lit(False)) | F.coalesce(b, F.lit(False))
+    return both.select("firm_name", error.alias("last_error"), date.alias("last_error_date"), F.coalesce("n", "consecutive_404s", F.lit(0)).alias("consecutive_404s"), flag(F.col("needs_url_update"), F.col("flag")).alias("needs_url_update"), flag(F.col("prefer_render"), F.col("render")).alias("prefer_render"))
+
+
 def flagged(errors: DataFrame, source: str) -> DataFrame:
     return errors.where("needs_url_update").select(source)
 

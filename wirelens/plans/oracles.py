@@ -109,6 +109,37 @@ _BATCHED = "numbered AS (SELECT *, (row_number() OVER (ORDER BY doc_id) - 1)::BI
 _CAP = r"CASE WHEN len(w) > 1500 THEN array_to_string(w[1:1500], ' ') ELSE text END[1:6000]"
 _SPLIT = r"list_filter(regexp_split_to_array(text, '\s+'), lambda x: x <> '')"
 
+#: Whether representative r and the next row p (structs with n, t, a, solid, ns, ts) are one deal.
+_SAME = """(
+  (len(r.ts) = 0 OR len(p.ts) = 0 OR list_has_any(r.ts, p.ts)) AND (
+    r.n = p.n OR (r.a <> '' AND r.a = p.a)
+    OR (length(r.ns) >= 5 AND starts_with(r.n, left(r.ns, 4)) AND starts_with(p.n, left(r.ns, 4)))
+    OR (length(p.ns) >= 5 AND starts_with(r.n, left(p.ns, 4)) AND starts_with(p.n, left(p.ns, 4)))
+    OR (r.a <> '' AND (starts_with(p.solid, r.a) OR list_contains(p.t, r.a))) OR (p.a <> '' AND (starts_with(r.solid, p.a) OR list_contains(r.t, p.a)))
+    OR len(list_intersect({l}, {q})) >= 2
+    OR (len(list_intersect({l}, {q})) > 0 AND 2 * len(list_intersect({l}, {q})) >= len(list_distinct(list_concat({l}, {q}))))
+    OR ((len({l}) = 0 OR len({q}) = 0) AND list_has_any(r.ts, p.ts))
+    OR ({b1} <> '' AND {b2} <> '' AND (contains({b2}, {b1}) OR contains({b1}, {b2})))
+  ))""".format(
+    l="list_filter(r.t, lambda x: NOT list_contains(r.ts, x) AND NOT list_contains(p.ts, x))", q="list_filter(p.t, lambda x: NOT list_contains(r.ts, x) AND NOT list_contains(p.ts, x))",
+    b1="trim(replace(trim(replace(r.n, r.ns, '')), p.ns, ''))", b2="trim(replace(trim(replace(p.n, r.ns, '')), p.ns, ''))",
+)
+
+#: folded: what stays of fold_in (block, ord, title, target, seller, conf, reasoning), row after row in order.
+_FOLD = rf"""
+profiled AS MATERIALIZED (
+  SELECT block, k, {{'ord': ord, 'title': title, 'target': target, 'seller': seller, 'conf': conf, 'reasoning': reasoning, 'n': n, 't': t, 'a': a,
+                     'solid': regexp_replace(n, '[^\p{{L}}\p{{N}}_]', '', 'g'), 'ns': ns, 'ts': ts}} AS p
+  FROM (SELECT *, row_number() OVER (PARTITION BY block ORDER BY ord) AS k, {_norm('target')} AS n, {_tokens('target')} AS t, {_acronym('target')} AS a, {_norm('seller')} AS ns, {_tokens('seller')} AS ts FROM fold_in)
+), state AS (
+  SELECT block, k, [p] AS reps FROM profiled WHERE k = 1
+  UNION ALL
+  SELECT block, k, CASE WHEN i IS NULL OR i = 0 THEN list_append(reps, p) ELSE list_concat(reps[1:i - 1], [CASE WHEN p.conf > reps[i].conf
+           THEN struct_update(p, reasoning := p.reasoning || chr(10) || '[Also: ' || reps[i].title || ']')
+           ELSE struct_update(reps[i], reasoning := reps[i].reasoning || chr(10) || '[Also: ' || p.title || ']') END], reps[i + 1:]) END
+  FROM (SELECT s.block, x.k, s.reps, x.p, list_position(list_transform(s.reps, lambda r: {_SAME}), true) AS i FROM state s JOIN profiled x ON x.block = s.block AND x.k = s.k + 1)
+), folded AS (SELECT block, unnest(reps) AS r FROM (SELECT block, arg_max(reps, k) AS reps FROM state GROUP BY block))"""
+
 ORACLES: dict[str, str] = {
     "accuracy_summary": f"WITH {_VERDICTS} SELECT count(*) AS total, count(*) FILTER (verdict <> 'Pending') AS reviewed, count(*) FILTER (verdict = 'Pending') AS pending, count(*) FILTER (verdict = 'Confirmed') AS confirmed, count(*) FILTER (verdict IN ({_FP})) AS false_positives, round(coalesce(count(*) FILTER (verdict = 'Confirmed') / nullif(count(*) FILTER (verdict = 'Confirmed' OR verdict IN ({_FP})), 0), 0.0), 6)::DOUBLE AS precision FROM rows",
     "verdict_breakdown": f"WITH {_VERDICTS} SELECT verdict, count(*) AS n FROM rows GROUP BY verdict",
@@ -133,6 +164,8 @@ ORACLES: dict[str, str] = {
     "deal_tokens": f"SELECT doc_id, len(t)::BIGINT AS n, sha256(array_to_string(list_sort(t), ' ')) AS sha FROM (SELECT doc_id, {_tokens('text')} AS t FROM documents)",
     "acronym": f"""SELECT p_partkey, {_acronym("p_type || ' ' || p_name || ' of a Unit'")} AS acronym FROM part""",
     "token_jaccard_pairs": f"WITH {_DEALS}, d AS (SELECT DISTINCT seller, target FROM deals), k AS MATERIALIZED (SELECT *, {_tokens('target')} AS t FROM d) SELECT a.seller, a.target AS t1, b.target AS t2, round(len(list_intersect(a.t, b.t))::DOUBLE / len(list_distinct(list_concat(a.t, b.t))), 6) AS j FROM k a JOIN k b ON a.seller = b.seller AND a.target < b.target WHERE len(list_intersect(a.t, b.t)) > 0 AND 2 * len(list_intersect(a.t, b.t)) >= len(list_distinct(list_concat(a.t, b.t)))",
+    "greedy_deal_dedup": f"WITH RECURSIVE {_DEALS}, fold_in AS (SELECT seller || '|' || stage AS block, ord, p_name AS title, target, seller, p_size AS conf, '' AS reasoning FROM deals JOIN part ON p_partkey = ord), {_FOLD} SELECT r.ord AS ord, split_part(block, '|', 2) AS stage, r.seller AS seller, r.target AS target, r.conf AS confidence, r.reasoning AS reasoning FROM folded",
+    "mini_scan": f"WITH RECURSIVE {_ALERTS}, fold_in AS (SELECT coalesce(stage, '') AS block, ord, title, target_company AS target, seller, confidence AS conf, reasoning FROM scored WHERE ord % 9 <> 0 AND deal_type IS NOT NULL AND confidence >= 50 AND {_SOLD}), {_FOLD} SELECT stage, recommended_action, count(*) AS n, max(fit) AS best FROM folded JOIN scored ON scored.ord = folded.r.ord GROUP BY stage, recommended_action",
     "targets_match_pairs": f"WITH {_DEALS}, {_SIDES}, pairs AS (SELECT x.seller, x.stage, x.target, x.n AS n1, y.n AS n2, x.t AS t1, y.t AS t2, x.a AS a1, y.a AS a2, x.ns, x.ts FROM side x JOIN side y ON x.seller = y.seller AND x.stage = y.stage AND x.target <> y.target), rules AS {_RULES} SELECT seller, stage, target, count(*) AS n FROM rules WHERE {_MATCH} GROUP BY seller, stage, target",
     "fuzzy_deal_anti_join": f"WITH {_DEALS}, {_SIDES}, old AS (SELECT DISTINCT seller, stage, target FROM deals WHERE ord % 5 = 0), new AS (SELECT DISTINCT seller, stage, target FROM deals WHERE ord % 5 <> 0), pairs AS (SELECT x.seller, x.stage, x.target, x.n AS n1, y.n AS n2, x.t AS t1, y.t AS t2, x.a AS a1, y.a AS a2, x.ns, x.ts FROM side x SEMI JOIN new USING (seller, stage, target) JOIN (SELECT * FROM side SEMI JOIN old USING (seller, stage, target)) y ON x.seller = y.seller AND x.stage = y.stage), rules AS {_RULES}, hit AS (SELECT DISTINCT seller, stage, target FROM rules WHERE {_MATCH}) SELECT ord, target, stage FROM deals ANTI JOIN hit USING (seller, stage, target) WHERE ord % 5 <> 0",
     "cap_text": f"SELECT doc_id, length(c)::BIGINT AS n, sha256(c) AS sha FROM (SELECT doc_id, ({_CAP}) AS c FROM (SELECT doc_id, text, {_SPLIT} AS w FROM documents))",

@@ -197,7 +197,7 @@ def token_jaccard_pairs(t):
 
 @query
 def targets_match_pairs(t):
-    """Distinct targets of a seller and stage that match: a count for each."""
+    """Distinct targets of a seller and stage that match: a count for each.  The rules include plain containment, so a block's targets meet pairwise."""
     d = deals(t).select("seller", "stage", "target").distinct().select("*", text.profile(F.col("target"), F.col("seller")).alias("p"))
     side = lambda n: d.select("seller", "stage", F.col("target").alias(f"t{n}"), F.col("p").alias(f"p{n}"))
     hit = side(1).join(side(2), ["seller", "stage"]).where(F.col("t1") != F.col("t2")).where(text.same_target(F.col("p1"), F.col("p2")))
@@ -213,9 +213,8 @@ def fuzzy_deal_anti_join(t):
 
 @query
 def greedy_deal_dedup(t):
-    d = deals(t)
-    parts = int(d.sparkSession.conf.get("spark.sql.shuffle.partitions"))  # few bytes but much work a block: a given number is not coalesced
-    return dedup.fold_repeats(d.repartition(parts, "stage", "seller"), ["stage", "seller"]).select("ord", "stage", "seller", "target", "confidence", "reasoning")
+    """All deals; brands share no token, so stage and seller are a block."""
+    return dedup.fold_repeats(deals(t), ["stage", "seller"]).select("ord", "stage", "seller", "target", "confidence", "reasoning")
 
 
 @query

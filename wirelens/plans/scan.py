@@ -6,7 +6,9 @@ live fetches (sources.fetch gives such tables).
 
 from __future__ import annotations
 
+from collections.abc import Callable
 from dataclasses import dataclass, field
+from functools import reduce
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -19,13 +21,13 @@ from ..sources import tables
 
 @dataclass
 class Inputs:
-    """Fetched payloads of one run: firm feeds, core feeds (firm_name, body), press and law pages (firm_name, domain, body), article bodies (url, body)."""
+    """Fetched payloads of one run: firm feeds, core feeds (firm_name, body), press and law pages (firm_name, domain, body), article bodies (url, body), which may be a function that fetches those of given articles."""
 
     feeds: DataFrame | None = None
     core: DataFrame | None = None
     press: DataFrame | None = None
     law: DataFrame | None = None
-    bodies: DataFrame | None = None
+    bodies: DataFrame | Callable[[DataFrame], DataFrame] | None = None
 
 
 @dataclass
@@ -35,6 +37,8 @@ class Result:
     documents: DataFrame
     state: dict[str, DataFrame]
     usage: dict[str, DataFrame] = field(default_factory=dict)
+    counts: DataFrame | None = None
+    written: DataFrame | None = None
 
 
 class Workspace:
@@ -67,36 +71,62 @@ def distinct_articles(raw: DataFrame) -> DataFrame:
 ORDER = ["src_rank", "firm_name", "ord", "url"]
 
 
-def scan(inputs: Inputs, old: dict[str, DataFrame], now: Column, work: Workspace, classify_with=None, qualify_with=None, hours: int = 24, dry_run: bool = False) -> Result:
+def _with_bodies(articles: DataFrame, inputs: Inputs) -> DataFrame:
+    found = inputs.bodies(articles) if callable(inputs.bodies) else inputs.bodies
+    return tables.with_bodies(articles, found) if found is not None else articles
+
+
+def stage_counts(stages: dict[str, DataFrame]) -> DataFrame:
+    """stage, place and n: the rows that each stage let through; over written tables."""
+    parts = [df.agg(F.count("*").alias("n")).select(F.lit(name).alias("stage"), F.lit(k).alias("place"), "n") for k, (name, df) in enumerate(stages.items())]
+    return reduce(DataFrame.unionByName, parts)
+
+
+def scan(
+    inputs: Inputs, old: dict[str, DataFrame], now: Column, work: Workspace, classify_with=None, qualify_with=None, hours: int = 24, dry_run: bool = False,
+    log: DataFrame | None = None, send: Callable[[DataFrame], DataFrame] | None = None,
+) -> Result:
     """One run.  Cheap steps come first: urls are made distinct and compared with the state before bodies and the model.
 
-    Without a dry run the new state marks the urls that the model answered for
-    and the deals that are handed to the sink; rows of failed batches stay
-    unseen and return in the next run.
+    ``log`` has the run's fetches (firm_name, outcome, seq, url) and goes into
+    the errors table.  ``send`` takes documents (ord, document) to the sink and
+    gives ord, page_id and outcome; if all of them fail the run raises, with no
+    new state.  Without a dry run the new state marks the urls that the model
+    answered for and the deals that the sink took; rows of failed batches or
+    writes stay unseen and return in the next run.
     """
-    kept = {"seen": state.prune(old["seen"], now), "seen_deals": state.prune(old["seen_deals"], now), "firm_errors": old["firm_errors"]}
-    fresh = dedup.unseen(distinct_articles(raw_articles(inputs, now, hours)), kept["seen"])
-    fresh = tables.with_bodies(fresh, inputs.bodies) if inputs.bodies else fresh
-    fresh = work.keep(fresh, "fresh")
+    errors = state.record(old["firm_errors"], log, ["seq", "url"], now) if log is not None else old["firm_errors"]
+    kept = {"seen": state.prune(old["seen"], now), "seen_deals": state.prune(old["seen_deals"], now), "firm_errors": errors}
+    raw = work.keep(raw_articles(inputs, now, hours), "raw")
+    distinct = work.keep(distinct_articles(raw), "distinct")
+    fresh = work.keep(dedup.unseen(distinct, kept["seen"]), "new")
+    fresh = work.keep(_with_bodies(fresh, inputs), "fresh")
     alerts, replies = model_stage.classify(fresh, classify_with, ORDER, work.keep)
     alerts = work.keep(alerts, "alerts")
     good = filters.alerts_to_score(alerts)
     numbered = model_stage.batches(good, ORDER, 1).withColumnRenamed("batch", "at").drop("pos")
     numbered = work.keep(numbered, "positives")
     rows = numbered.select(F.col("at").alias("ord"), "title", F.col("target_company").alias("target"), "seller", "confidence", "reasoning", "stage")
-    folded = dedup.fold_repeats(rows, ["stage"]).select(F.col("ord").alias("at"), F.col("reasoning").alias("noted"))
+    folded = dedup.fold_repeats(dedup.seller_blocks(rows, work.keep), ["stage", "deal_block"]).select(F.col("ord").alias("at"), F.col("reasoning").alias("noted"))
     merged = work.keep(numbered.join(folded, "at").withColumn("reasoning", F.col("noted")).drop("noted"), "merged")
     keyed = merged.select("at", F.col("target_company").alias("target"), "seller", F.coalesce("stage", F.lit("unknown")).alias("stage"))
-    new = merged.join(dedup.unseen_deals(keyed, kept["seen_deals"]).select("at"), "at", "left_semi")
+    new = work.keep(merged.join(dedup.unseen_deals(keyed, kept["seen_deals"]).select("at"), "at", "left_semi"), "unseen-deals")
     scored, scores = model_stage.qualify(new, qualify_with, ["at"], work.keep)
     scored = work.keep(scored, "scored")
     todo = filters.actionable(scored)
-    documents = sink.document(sink.project(todo.drop("ord").withColumnRenamed("at", "ord")), "deals")
+    documents = work.keep(sink.document(sink.project(todo.drop("ord").withColumnRenamed("at", "ord")), "deals"), "documents")
+    written, taken = None, todo
+    if send and not dry_run:
+        sent = work.keep(send(documents), "sent")
+        written = sent.unionByName(sink.skipped(scored.drop("ord").withColumnRenamed("at", "ord")))
+        sink.check_not_all_failed(written)
+        taken = todo.join(sink.pages(sent).select(F.col("ord").alias("at")), "at", "left_semi")
     if not dry_run:
         answered = work.spark.read.parquet(f"{work.root}/classify-in").join(replies.where("reply is not null").select("batch"), "batch", "left_semi")
         kept["seen"] = state.mark_seen(kept["seen"], answered, now)
-        kept["seen_deals"] = state.mark_deals(kept["seen_deals"], todo.select(F.col("target_company").alias("target"), "seller", F.coalesce("stage", F.lit("unknown")).alias("stage")), now)
-    return Result(alerts, todo, documents, kept, {"classify": model_stage.usage(replies), "qualify": model_stage.usage(scores)})
+        kept["seen_deals"] = state.mark_deals(kept["seen_deals"], taken.select(F.col("target_company").alias("target"), "seller", F.coalesce("stage", F.lit("unknown")).alias("stage")), now)
+    counts = stage_counts({"articles": raw, "distinct": distinct, "new": fresh, "with_text": fresh.where("coalesce(summary, '') <> ''"), "with_seller": numbered, "merged": merged, "unseen_deals": new, "actionable": todo})
+    return Result(alerts, todo, documents, kept, {"classify": model_stage.usage(replies), "qualify": model_stage.usage(scores)}, counts, written)
 
 
 def lookback(inputs: Inputs, now: Column, work: Workspace, classify_with=None, days: int = 30) -> DataFrame:
@@ -110,8 +140,8 @@ def lookback(inputs: Inputs, now: Column, work: Workspace, classify_with=None, d
         parts.append(raw_articles(pages, now, days * 24).withColumn("src_rank", F.col("src_rank") + 2))
     raw = parts[0] if len(parts) == 1 else parts[0].unionByName(parts[1])
     rows = distinct_articles(raw)
-    rows = tables.with_bodies(rows, inputs.bodies) if inputs.bodies else rows
-    alerts, _ = model_stage.classify(work.keep(rows, "fresh"), classify_with, ORDER, work.keep)
+    rows = work.keep(_with_bodies(work.keep(rows, "new"), inputs), "fresh")
+    alerts, _ = model_stage.classify(rows, classify_with, ORDER, work.keep)
     return sink.csv_rows(alerts)
 
 

@@ -16,7 +16,7 @@ from collections.abc import Callable, Iterator
 import pandas as pd
 from pyspark.sql import DataFrame
 
-from ..functions.constants import BACKOFF, CONNECT_TRIES, FETCH_TIMEOUT
+from ..functions.constants import BACKOFF, CONNECT_TRIES, FETCH_BUDGET, FETCH_TIMEOUT
 from ..functions.scoring import workers
 
 HEADERS = {"User-Agent": "Mozilla/5.0 (compatible; wirelens)", "Accept": "text/html,application/xhtml+xml,application/xml;q=0.9,*/*;q=0.8", "Accept-Language": "en-US,en;q=0.9"}
@@ -48,8 +48,8 @@ def error_of(status: int) -> str | None:
     return None if status == 200 else {403: "403", 404: "404"}.get(status, "http_error")
 
 
-def fetch_one(url: str, get: Get = http_get, render: Callable[[str], str | None] | None = None, unverified: bool = True, sleep: Callable[[float], None] = time.sleep) -> dict:
-    """status, body, error_type and how it was fetched.  Connections are tried CONNECT_TRIES times; a certificate error is tried once without verification; a 403 is rendered where a renderer is given."""
+def fetch_one(url: str, get: Get = http_get, render: Callable[[str], str | None] | None = None, unverified: bool = False, sleep: Callable[[float], None] = time.sleep) -> dict:
+    """status, body, error_type and how it was fetched.  Connections are tried CONNECT_TRIES times; a certificate error is tried once without verification where that is allowed; a 403 is rendered where a renderer is given."""
     out = {"status": 0, "body": "", "error_type": None, "used_render": False, "tls_fallback": False}
     for attempt in range(CONNECT_TRIES):
         try:
@@ -76,20 +76,61 @@ def fetch_one(url: str, get: Get = http_get, render: Callable[[str], str | None]
     return out
 
 
-def fetch(urls: DataFrame, get: Get = http_get, render=None) -> DataFrame:
-    """A log row for each row of urls (url, firm_name); spread over as many tasks as the count asks for."""
+LOG = "status int, body string, error_type string, used_render boolean, tls_fallback boolean"
+UNFINISHED = "unfinished"
+
+
+def fetch(urls: DataFrame, get: Get = http_get, render=None, carry: tuple[str, ...] = (), budget: float = FETCH_BUDGET, unverified: bool = False) -> DataFrame:
+    """A log row for each row of urls (url, firm_name and what is carried); spread over as many tasks as the count asks for.
+
+    Rows that are not begun when the time budget of a task is over are logged
+    as unfinished; what was fetched stays.
+    """
     n = workers(urls.count())
+    columns = ["url", "firm_name", *carry]
+    kept = urls.select(*columns)
 
     def run(parts: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        until = time.monotonic() + budget
+        late = {"status": 0, "body": "", "error_type": UNFINISHED, "used_render": False, "tls_fallback": False}
         for part in parts:
-            rows = [fetch_one(u, get, render) for u in part["url"]]
-            yield pd.concat([part[["url", "firm_name"]].reset_index(drop=True), pd.DataFrame(rows, columns=["status", "body", "error_type", "used_render", "tls_fallback"])], axis=1)
+            rows = [fetch_one(u, get, render, unverified) if time.monotonic() < until else late for u in part["url"]]
+            yield pd.concat([part[columns].reset_index(drop=True), pd.DataFrame(rows, columns=list(late))], axis=1)
+
+    schema = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in kept.schema)
+    return kept.repartition(n).mapInPandas(run, f"{schema}, {LOG}")
 
-    return urls.select("url", "firm_name").repartition(n).mapInPandas(run, "url string, firm_name string, status int, body string, error_type string, used_render boolean, tls_fallback boolean")
+
+def unfinished(log: DataFrame) -> DataFrame:
+    """Sources that the time budget left out."""
+    return log.where(f"error_type = '{UNFINISHED}'").select("firm_name").distinct()
+
+
+def rendered(urls: DataFrame, render: Callable[[str], str | None], carry: tuple[str, ...] = ()) -> DataFrame:
+    """Pages as a renderer gives them; a failure is a log row."""
+    columns = ["url", "firm_name", *carry]
+    kept = urls.select(*columns)
+
+    def one(url: str) -> dict:
+        try:
+            page = render(url)
+        except Exception:  # a renderer's fault is a failed page
+            page = None
+        return {"status": 200 if page else 0, "body": page or "", "error_type": None if page else "render_failed", "used_render": True, "tls_fallback": False}
+
+    def run(parts: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        for part in parts:
+            yield pd.concat([part[columns].reset_index(drop=True), pd.DataFrame([one(u) for u in part["url"]], columns=["status", "body", "error_type", "used_render", "tls_fallback"])], axis=1)
+
+    schema = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in kept.schema)
+    return kept.repartition(workers(urls.count())).mapInPandas(run, f"{schema}, {LOG}")
 
 
 def post_rows(documents: DataFrame, post: Callable[[str], str | None], pause: float) -> DataFrame:
-    """Sends each document (ord, document) and gives ord, page_id and outcome; one paced task, since the sink takes a few rows a second."""
+    """Sends each document (ord, document) and gives ord, page_id and outcome; one paced task, since the sink takes a few rows a second.
+
+    ``documents`` is a written table, so that the one task holds the sending alone.
+    """
 
     def run(parts: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for part in parts:

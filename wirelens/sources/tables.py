@@ -9,6 +9,7 @@ from pyspark.sql import functions as F
 
 from .. import schemas
 from ..functions import dates, html, text
+from ..functions.constants import CORE_FEEDS, LAW_FIRMS, STATE_BYTES_TO_WARN
 
 RSS = "channel struct<item: array<struct<title: string, link: string, description: string, pubDate: string, updated: string>>>"
 ATOM = "entry array<struct<title: string, link: array<struct<_href: string, _rel: string>>, summary: string, content: string, published: string, updated: string>>"
@@ -35,6 +36,15 @@ def write_firms(df: DataFrame, path: str) -> None:
         yaml.safe_dump({"firms": rows}, f, sort_keys=False, allow_unicode=True)
 
 
+def core_feeds(spark: SparkSession) -> DataFrame:
+    """Feeds that belong to no firm; the source stands for the firm's name."""
+    return spark.createDataFrame(list(CORE_FEEDS), "firm_name string, url string")
+
+
+def law_firms(spark: SparkSession) -> DataFrame:
+    return firms_from(spark, [{"name": n, "domain": d, "press_url": u, "source_category": "law_firm"} for n, d, u in LAW_FIRMS])
+
+
 def feed_entries(body: Column) -> Column:
     """Entries of an RSS or Atom document, in order: array of title, url, summary, date; empty for anything else."""
     rss, atom = F.from_xml(body, RSS), F.from_xml(body, ATOM)
@@ -114,11 +124,18 @@ def state_from_json(spark: SparkSession, doc: str) -> dict[str, DataFrame]:
     return {"seen": spark.createDataFrame(seen, schemas.SEEN), "seen_deals": spark.createDataFrame(deals, schemas.SEEN_DEALS), "firm_errors": spark.createDataFrame(errors, schemas.FIRM_ERRORS)}
 
 
-def write_state(tables: dict[str, DataFrame], path: str) -> None:
-    """Writes a snapshot beside the current one, then swaps them; the old one stays as the backup."""
+def write_state(tables: dict[str, DataFrame], path: str, now: str | None = None) -> int:
+    """Writes a snapshot beside the current one, then swaps them; the old one stays as the backup.
+
+    A run log beside the tables has the time of the last run.  Gives the
+    snapshot's bytes and warns where they are many.
+    """
+    import warnings
+
     spark = next(iter(tables.values())).sparkSession
     for name, df in tables.items():
         df.write.mode("overwrite").parquet(f"{path}/next/{name}")
+    spark.range(1).select((F.lit(now) if now else F.current_timestamp().cast("string")).alias("last_run")).write.mode("overwrite").parquet(f"{path}/next/last_run")
     jvm = spark.sparkContext._jvm
     at = lambda n: jvm.org.apache.hadoop.fs.Path(f"{path}/{n}")
     fs = at("next").getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
@@ -126,3 +143,17 @@ def write_state(tables: dict[str, DataFrame], path: str) -> None:
     if fs.exists(at("current")):
         fs.rename(at("current"), at("backup"))
     fs.rename(at("next"), at("current"))
+    size = fs.getContentSummary(at("current")).getLength()
+    if size > STATE_BYTES_TO_WARN:
+        warnings.warn(f"the state has grown to {size} bytes", stacklevel=2)
+    return size
+
+
+def last_run(spark: SparkSession, path: str) -> str | None:
+    """When the last run saved its state; None before the first."""
+    from pyspark.errors import AnalysisException
+
+    try:
+        return spark.read.parquet(f"{path}/current/last_run").first()[0]
+    except AnalysisException:
+        return None
