@@ -227,11 +227,11 @@ def test_decontamination_by_one_very_long_item(spark):
     assert [r["doc_id"] for r in decontaminate.keep_clean(docs, bench).collect()] == [99]
 
 
-def plain_components(rows):
+def plain_components(rows, shingle=4, percent=85):
     groups = collections.defaultdict(list)
     for i, t in rows:
         w = (t or "").encode().lower().split()
-        groups[frozenset(zip(w, w[1:], w[2:], w[3:], strict=False)) if len(w) > 3 else frozenset([tuple(w)] if w else [])].append(i)
+        groups[frozenset(tuple(w[k : k + shingle]) for k in range(len(w) - shingle + 1)) if len(w) >= shingle else frozenset([tuple(w)] if w else [])].append(i)
     sets = [s for s in groups if s]
     parent = list(range(len(sets)))
 
@@ -243,7 +243,7 @@ def plain_components(rows):
     for a in range(len(sets)):
         for b in range(a):
             both = len(sets[a] & sets[b])
-            if 100 * both >= 85 * (len(sets[a]) + len(sets[b]) - both):
+            if 100 * both >= percent * (len(sets[a]) + len(sets[b]) - both):
                 parent[root(a)] = root(b)
     least = {}
     known = lambda ids: min((i for i in ids if i is not None), default=None)
@@ -274,10 +274,19 @@ def test_jaccard_equals_brute_force(spark, monkeypatch, rare, block, span):
     texts = [*ODD, *ODD, *near_copies(r, 40, words, 60, 2), *near_copies(r, 40, words, 150, 6), *near_copies(r, 10, words, 9, 1), *near_copies(r, 6, words, 800, 30)]
     texts += [" ".join(r.choice(words) for _ in range(r.randint(1, 60))) + line for _ in range(80)]
     docs = frame(spark, texts)
-    got = jaccard.link_components(docs).collect()
+    got = jaccard.link_components(docs, jaccard.Rule(4, 85)).collect()
     assert sorted((-1 if x[0] is None else x[0], x[1], -1 if x[2] is None else x[2]) for x in got) == plain_components([(None if i == 2 else i, t) for i, t in enumerate(texts)])
 
 
+def test_jaccard_by_other_rules(spark):
+    r = random.Random(6)
+    words = [f"w{i}" for i in range(60)]
+    texts = [*ODD, *near_copies(r, 30, words, 50, 2), *near_copies(r, 20, words, 8, 1), *near_copies(r, 20, words, 9, 1), "a b c d e f g h", "a b c d e f g h i", "a b c d e f g"]
+    docs = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string")
+    for rule in (jaccard.Rule(), jaccard.Rule(2, 60)):
+        assert sorted(map(tuple, jaccard.link_components(docs, rule).collect())) == [(i, n, c) for i, n, c in plain_components(list(enumerate(texts)), *rule)]
+
+
 def test_families_of_many_blocks(spark, monkeypatch):
     """Chains of near copies, no two ends of which are alike, and several groups that share one line: more than the first blocks connect."""
     monkeypatch.setattr(jaccard, "RARE", 3)
@@ -294,7 +303,7 @@ def test_families_of_many_blocks(spark, monkeypatch):
     line = " a line that is very common here and stands in each of these"
     texts += [x + line for _ in range(4) for x in near_copies(r, 12, words, 14, 1)]
     r.shuffle(texts)
-    got = jaccard.link_components(spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string")).collect()
+    got = jaccard.link_components(spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string"), jaccard.Rule(4, 85)).collect()
     assert sorted(tuple(x) for x in got) == plain_components(list(enumerate(texts)))
 
 

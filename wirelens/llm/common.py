@@ -105,6 +105,18 @@ def id_crc(doc_id: Column) -> Column:
     return F.crc32(F.coalesce(doc_id.cast("string"), F.lit("")).cast("binary"))
 
 
+def least_hashed(docs: DataFrame, n: int, rows: int) -> DataFrame:
+    """text of n documents (doc_id, text), those of the least hashes, whatever the layout; rows that are equal count once.
+
+    ``rows`` is about how many there are: only hashes below a bound that some
+    4 n of them fall under are sorted, so no task reads more than that.
+    """
+    h = F.xxhash64("doc_id", "text")
+    if rows > 4 * n:
+        docs = docs.where(h < -(1 << 63) + (1 << 64) * 4 * n // rows)
+    return docs.select(h.alias("h"), "text").groupBy("h").agg(F.first("text").alias("text")).orderBy("h").limit(n).select("text")
+
+
 def lower_ascii(col: Column) -> Column:
     return F.translate(col, UPPER, LOWER)
 

@@ -1,7 +1,7 @@
 """N-gram Jaccard join with token-combination prefixes.
 
-Two documents link when their sets of SHINGLE-word shingles have a Jaccard
-similarity of PERCENT / 100 or more.
+Two documents link when their sets of word shingles have at least a given
+Jaccard similarity: by default shingles of five words and 80 percent.
 
 1. Documents with equal sets form one class, found by a 128-bit fingerprint;
    everything later works on classes.
@@ -10,7 +10,7 @@ similarity of PERCENT / 100 or more.
    (KEEP at least).  Classes with fewer prefix shingles that any other class
    has cannot link and leave.
 3. The sets of the classes that stay are ordered by rarity (exact counts among
-   them).  A set of n shingles has overlap bound a = ceil(n * PERCENT / 100).
+   them).  A set of n shingles has overlap bound a = ceil(n * percent / 100).
    Extending the prefix to n - a + k shingles makes linked sets share at
    least k of them.  Rare shingles (in at most RARE sets) are indexed singly.
    Frequent ones are dealt into C hash classes, with k = C + 1, so that two
@@ -28,7 +28,7 @@ similarity of PERCENT / 100 or more.
    that it reaches.
 
 Shingles are 64-bit hashes.  Defined cases: a document without words, or null,
-has an empty set and links with nothing; one with fewer than SHINGLE words has
+has an empty set and links with nothing; one of fewer words than a shingle has
 its whole sequence as its only shingle; null ids are ignored by the minimum (a
 component without any id has none); repeated rows are copies.
 """
@@ -37,6 +37,7 @@ from __future__ import annotations
 
 import hashlib
 from collections.abc import Iterator
+from typing import NamedTuple
 
 import numpy as np
 import pyarrow as pa
@@ -47,7 +48,14 @@ from .common import Scratch, id_and_text, map_arrow, table
 from .components import components
 from .wordhash import ODD, WordHasher, mix
 
-SHINGLE, PERCENT = 4, 85
+
+class Rule(NamedTuple):
+    """Words of a shingle, and the similarity that links, in percent."""
+
+    shingle: int = 5
+    percent: int = 80
+
+
 #: The first filter's extension: a tenth of the set, KEEP at least.
 KEEP, KEEP_PART = 8, 10
 #: Sets that hold a rare shingle, at most.
@@ -67,14 +75,18 @@ _SLICE = 1_000_000
 class Hasher(WordHasher):
     """Shingle sets of many texts at once."""
 
+    def __init__(self, shingle: int):
+        super().__init__()
+        self.shingle = shingle
+
     def _slice(self, raws: list[bytes]) -> list[np.ndarray]:
         words = self.words(raws)
-        w, at, h = words.hashes, words.first, words.shingles(SHINGLE)
+        w, at, h, size = words.hashes, words.first, words.shingles(self.shingle), self.shingle
         out = []
         for k in range(len(raws)):
             a, b = at[k], at[k + 1]
-            if b - a >= SHINGLE:
-                out.append(np.unique(h[a : b - SHINGLE + 1]))
+            if b - a >= size:
+                out.append(np.unique(h[a : b - size + 1]))
             elif b > a:  # the whole sequence, told apart by its length
                 x = np.full(1, b - a, np.uint64)
                 for i in range(a, b):
@@ -99,13 +111,13 @@ class Hasher(WordHasher):
         return out + self._slice(held) if held else out
 
 
-def least_shared(n: int) -> int:
+def least_shared(n: int, percent: int) -> int:
     """Shingles that two linked sets share at least in their extended prefixes, for the smaller set's size n."""
-    return min(-(-n * PERCENT // 100), max(KEEP, n // KEEP_PART))
+    return min(-(-n * percent // 100), max(KEEP, n // KEEP_PART))
 
 
-def overlap_bound(n: Column) -> Column:
-    return F.floor((n * PERCENT + 99) / 100)
+def overlap_bound(n: Column, percent: int) -> Column:
+    return F.floor((n * percent + 99) / 100)
 
 
 def _print_of(h: np.ndarray) -> bytes | None:
@@ -113,9 +125,9 @@ def _print_of(h: np.ndarray) -> bytes | None:
     return hashlib.blake2b(h.tobytes(), digest_size=16).digest() if len(h) else None
 
 
-def _sets(prefix_only: bool):
+def _sets(rule: Rule, prefix_only: bool):
     def run(batches):
-        hasher = Hasher()
+        hasher = Hasher(rule.shingle)
         for batch in batches:
             for at in range(0, batch.num_rows, 1000):
                 part = batch.slice(at, 1000)
@@ -124,7 +136,7 @@ def _sets(prefix_only: bool):
                     n = len(h)
                     sizes.append(n)
                     keys.append(_print_of(h))
-                    h = h[: n - -(-n * PERCENT // 100) + least_shared(n)] if prefix_only else h
+                    h = h[: n - -(-n * rule.percent // 100) + least_shared(n, rule.percent)] if prefix_only else h
                     values.append(h)
                     ends.append(ends[-1] + len(h))
                 flat = np.concatenate(values).view(np.int64) if values else np.empty(0, np.int64)
@@ -137,79 +149,87 @@ def _sets(prefix_only: bool):
 _SETS = "doc_id long, n long, print binary, tokens array<long>"
 
 
-def levels(n: int) -> set[int]:
+def levels(n: int, percent: int) -> set[int]:
     """Class counts that a set of n shingles is indexed under: those of every size that it can link with."""
     of = lambda m: 1 << max(0, (m // CLASS_SPAN).bit_length() - 1)
-    return {of(-(-n * PERCENT // 100)), of(n), of(n * 100 // PERCENT)}
-
-
-def _index(batches):
-    """(key, n, bucket) of every indexed single shingle and combination; tokens are (count, hash), rarest first."""
-    key_of = lambda a, b, c: ((a * np.uint64(0x9E3779B97F4A7C15) ^ b) * np.uint64(0xC2B2AE3D27D4EB4F) ^ (b >> np.uint64(31))) * np.uint64(0x165667B19E3779F9) + np.uint64(c)
-    for batch in batches:
-        for k in range(batch.num_rows):
-            n, tokens = batch.column(1)[k].as_py(), batch.column(2)[k].values
-            count = tokens.field(0).to_numpy(zero_copy_only=False)
-            h = tokens.field(1).to_numpy(zero_copy_only=False).view(np.uint64)
-            spare = n - len(h)  # shingles of no other set: the rarest, first in the prefix
-            bound = -(-n * PERCENT // 100)
-            buckets = []
-            for c in levels(n):
-                few = max(0, n - bound + min(c + 1, bound) - spare)
-                rare = count[:few] <= RARE
-                buckets.append(h[:few][rare])
-                often = h[:few][~rare]
-                for own in range(c):
-                    t = np.sort(often[often % np.uint64(c) == own])
-                    if len(t) > 1:
-                        i, j = np.triu_indices(len(t), 1)
-                        buckets.append(key_of(t[i], t[j], c))
-            every = np.unique(np.concatenate(buckets)) if buckets else np.empty(0, np.uint64)
-            for at in range(0, len(every), 20_000):
-                part = every[at : at + 20_000].view(np.int64)
-                yield pa.RecordBatch.from_arrays([pa.array([batch.column(0)[k].as_py()] * len(part), pa.int64()), pa.array(np.full(len(part), n)), pa.array(part)], names=["key", "n", "bucket"])
-
-
-def _linked(shared: Column, n: Column, m: Column) -> Column:
-    return shared * 100 >= (n + m - shared) * PERCENT
-
-
-def _forest(group: pa.Table) -> pa.Table:
-    """A spanning forest of the links within a group of bounded size."""
-    keys = group.column("key").to_pylist()
-    n = group.column("n").to_numpy()
-    sets = [x.values.to_numpy() for x in group.column("tokens")]
-    owner = np.repeat(np.arange(len(sets)), [len(s) for s in sets])
-    values, token = np.unique(np.concatenate(sets), return_inverse=True)
-    often = np.bincount(token) > 1
-    number = np.cumsum(often) - 1
-    keep = often[token]
-    owner, token = owner[keep], number[token[keep]]
-    order = np.argsort(token, kind="stable")
-    owner, token = owner[order], token[order]
-    shared = np.zeros((len(sets), len(sets)), np.float32)
-    for low in range(0, int(often.sum()), 4096):
-        a, b = np.searchsorted(token, (low, low + 4096))
-        part = np.zeros((len(sets), 4096), np.float32)
-        part[owner[a:b], token[a:b] - low] = 1
-        shared += part @ part.T
-    link = shared * 100 >= (n[:, None] + n[None, :] - shared) * PERCENT
-    left, edges = np.ones(len(keys), bool), []
-    for root in range(len(keys)):
-        if not left[root]:
-            continue
-        left[root] = False
-        front = [root]
-        while front:
-            i = front.pop()
-            found = np.flatnonzero(link[i] & left)
-            left[found] = False
-            edges += [(keys[i], keys[j]) for j in found]
-            front += found.tolist()
-    return pa.table({"a": pa.array([e[0] for e in edges], pa.int64()), "b": pa.array([e[1] for e in edges], pa.int64())})
-
-
-def _family_links(stars: DataFrame, sets: DataFrame, scratch: Scratch) -> DataFrame:
+    return {of(-(-n * percent // 100)), of(n), of(n * 100 // percent)}
+
+
+def _index(percent: int):
+    """For mapInArrow: (key, n, bucket) of every indexed single shingle and combination; tokens are (count, hash), rarest first."""
+
+    def run(batches):
+        key_of = lambda a, b, c: ((a * np.uint64(0x9E3779B97F4A7C15) ^ b) * np.uint64(0xC2B2AE3D27D4EB4F) ^ (b >> np.uint64(31))) * np.uint64(0x165667B19E3779F9) + np.uint64(c)
+        for batch in batches:
+            for k in range(batch.num_rows):
+                n, tokens = batch.column(1)[k].as_py(), batch.column(2)[k].values
+                count = tokens.field(0).to_numpy(zero_copy_only=False)
+                h = tokens.field(1).to_numpy(zero_copy_only=False).view(np.uint64)
+                spare = n - len(h)  # shingles of no other set: the rarest, first in the prefix
+                bound = -(-n * percent // 100)
+                buckets = []
+                for c in levels(n, percent):
+                    few = max(0, n - bound + min(c + 1, bound) - spare)
+                    rare = count[:few] <= RARE
+                    buckets.append(h[:few][rare])
+                    often = h[:few][~rare]
+                    for own in range(c):
+                        t = np.sort(often[often % np.uint64(c) == own])
+                        if len(t) > 1:
+                            i, j = np.triu_indices(len(t), 1)
+                            buckets.append(key_of(t[i], t[j], c))
+                every = np.unique(np.concatenate(buckets)) if buckets else np.empty(0, np.uint64)
+                for at in range(0, len(every), 20_000):
+                    part = every[at : at + 20_000].view(np.int64)
+                    yield pa.RecordBatch.from_arrays([pa.array([batch.column(0)[k].as_py()] * len(part), pa.int64()), pa.array(np.full(len(part), n)), pa.array(part)], names=["key", "n", "bucket"])
+
+    return run
+
+
+def _linked(shared: Column, n: Column, m: Column, percent: int) -> Column:
+    return shared * 100 >= (n + m - shared) * percent
+
+
+def _forest(percent: int):
+    """For applyInArrow: a spanning forest of the links within a group of bounded size."""
+
+    def run(group: pa.Table) -> pa.Table:
+        keys = group.column("key").to_pylist()
+        n = group.column("n").to_numpy()
+        sets = [x.values.to_numpy() for x in group.column("tokens")]
+        owner = np.repeat(np.arange(len(sets)), [len(s) for s in sets])
+        values, token = np.unique(np.concatenate(sets), return_inverse=True)
+        often = np.bincount(token) > 1
+        number = np.cumsum(often) - 1
+        keep = often[token]
+        owner, token = owner[keep], number[token[keep]]
+        order = np.argsort(token, kind="stable")
+        owner, token = owner[order], token[order]
+        shared = np.zeros((len(sets), len(sets)), np.float32)
+        for low in range(0, int(often.sum()), 4096):
+            a, b = np.searchsorted(token, (low, low + 4096))
+            part = np.zeros((len(sets), 4096), np.float32)
+            part[owner[a:b], token[a:b] - low] = 1
+            shared += part @ part.T
+        link = shared * 100 >= (n[:, None] + n[None, :] - shared) * percent
+        left, edges = np.ones(len(keys), bool), []
+        for root in range(len(keys)):
+            if not left[root]:
+                continue
+            left[root] = False
+            front = [root]
+            while front:
+                i = front.pop()
+                found = np.flatnonzero(link[i] & left)
+                left[found] = False
+                edges += [(keys[i], keys[j]) for j in found]
+                front += found.tolist()
+        return pa.table({"a": pa.array([e[0] for e in edges], pa.int64()), "b": pa.array([e[1] for e in edges], pa.int64())})
+
+    return run
+
+
+def _family_links(stars: DataFrame, sets: DataFrame, scratch: Scratch, percent: int) -> DataFrame:
     """Links of families, enough to connect what is linked, without comparing what is connected already.
 
     First each block of a family is compared with itself and with the family's
@@ -225,7 +245,7 @@ def _family_links(stars: DataFrame, sets: DataFrame, scratch: Scratch) -> DataFr
     full = scratch.table(full.select("family", "blocks", "block", "key", "n", "tokens"), "families")
     cells = F.when(F.col("block") > 0, F.array("block")).when(F.col("blocks") > 1, F.sequence(F.lit(1), F.col("blocks") - 1)).otherwise(F.array(F.lit(0)))
     met = full.withColumn("cell", F.explode(cells)).select("family", "cell", "key", "n", "tokens")
-    first = scratch.table(met.groupBy("family", "cell").applyInArrow(_forest, "a long, b long"), "family-links")
+    first = scratch.table(met.groupBy("family", "cell").applyInArrow(_forest(percent), "a long, b long"), "family-links")
     wide = full.where("blocks > 2").select("family", "blocks", "block", "key", "n")
     if wide.isEmpty():
         return first
@@ -244,16 +264,16 @@ def _family_links(stars: DataFrame, sets: DataFrame, scratch: Scratch) -> DataFr
     theirs = held.select("family", "block", "key").join(rest.select("family", "parts").distinct(), "family").select("family", F.explode(F.sequence(F.lit(0), F.col("parts") - 1)).alias("part"), "block", "key")
     tried = mine.unionByName(theirs).groupBy("family", "part", "block", "key").agg(F.lit(1).alias("x")).drop("x")
     met = tried.join(sets, "key").select("family", "part", "block", "key", "n", "tokens")
-    second = met.groupBy("family", "part", "block").applyInArrow(_forest, "a long, b long")
+    second = met.groupBy("family", "part", "block").applyInArrow(_forest(percent), "a long, b long")
     return first.unionAll(scratch.table(second, "family-links-2"))
 
 
-def classes(docs: DataFrame, scratch: Scratch) -> tuple[DataFrame, DataFrame]:
+def classes(docs: DataFrame, scratch: Scratch, rule: Rule) -> tuple[DataFrame, DataFrame]:
     """(doc_id, n, print) of every document, and (key, print, rep, n) of every class with a set; key is a number given once.
 
     The table classes-wide, with the prefixes, stays for links(), which drops it.
     """
-    wide = scratch.table(map_arrow(id_and_text(docs), _sets(True), _SETS), "documents-wide")
+    wide = scratch.table(map_arrow(id_and_text(docs), _sets(rule, True), _SETS), "documents-wide")
     reps = wide.where("n > 0").groupBy("print").agg(F.min("doc_id").alias("rep"), F.first("n").alias("n"), F.first("tokens").alias("tokens"))
     reps = scratch.table(reps.select(F.monotonically_increasing_id().alias("key"), "*"), "classes-wide")
     base = scratch.table(wide.select("doc_id", "n", "print"), "documents")
@@ -262,15 +282,15 @@ def classes(docs: DataFrame, scratch: Scratch) -> tuple[DataFrame, DataFrame]:
     return base, scratch.table(reps.select("key", "print", "rep", "n"), "classes")
 
 
-def links(docs: DataFrame, reps: DataFrame, scratch: Scratch) -> DataFrame:
+def links(docs: DataFrame, reps: DataFrame, scratch: Scratch, rule: Rule) -> DataFrame:
     """(a, b) between classes: a subset of the links that connects every component of linked classes."""
     each = scratch.read("classes-wide", "key long, tokens array<long>").select("key", F.explode("tokens").alias("h"))
     known = each.groupBy("h").agg(F.count("*").alias("c")).where("c > 1").select("h")
     shared = each.join(known, "h").groupBy("key").agg(F.count("*").alias("c"))
-    smaller = overlap_bound(F.col("n"))  # no linked set has fewer shingles
-    # a set of fewer than 6 shingles links with equal sets only
-    need = F.least(overlap_bound(smaller), F.greatest(F.lit(KEEP), F.floor(smaller / KEEP_PART)))
-    stay = scratch.table(shared.where("c >= 6").join(reps.select("key", "print", "rep", "n"), "key").where(F.col("c") >= need).select("key", "print", "rep"), "stay")
+    smaller = overlap_bound(F.col("n"), rule.percent)  # no linked set has fewer shingles
+    # a set of so few shingles that one more or less is too much links with equal sets only
+    need = F.least(overlap_bound(smaller, rule.percent), F.greatest(F.lit(KEEP), F.floor(smaller / KEEP_PART)))
+    stay = scratch.table(shared.where(F.col("c") >= -(-rule.percent // max(1, 100 - rule.percent))).join(reps.select("key", "print", "rep", "n"), "key").where(F.col("c") >= need).select("key", "print", "rep"), "stay")
     scratch.drop("classes-wide")
     scratch.release()
     d = id_and_text(docs)
@@ -278,32 +298,32 @@ def links(docs: DataFrame, reps: DataFrame, scratch: Scratch) -> DataFrame:
     sent = F.broadcast if n_stay <= BROADCAST_IDS else (lambda df: df)
     wanted = sent(stay.select("rep").distinct())
     texts = d.join(wanted, d["doc_id"].eqNullSafe(wanted["rep"]), "left_semi")
-    sets = scratch.table(map_arrow(texts, _sets(False), _SETS).join(sent(stay.select("key", "print")), "print").select("key", "n", "tokens"), "sets")
+    sets = scratch.table(map_arrow(texts, _sets(rule, False), _SETS).join(sent(stay.select("key", "print")), "print").select("key", "n", "tokens"), "sets")
     if sets.count() > n_stay:  # ids that several rows have brought a set more than once
         sets = scratch.table(sets.groupBy("key").agg(F.first("n").alias("n"), F.first("tokens").alias("tokens")), "sets-once")
     each = sets.select("key", F.explode("tokens").alias("h"))
     known = each.groupBy("h").agg(F.count("*").alias("c")).where("c > 1")
     ranked = each.join(known, "h").groupBy("key").agg(F.array_sort(F.collect_list(F.struct("c", "h"))).alias("tokens"))  # a list is one document's set
-    ranked = ranked.join(sets.select("key", "n"), "key").where(F.size("tokens") >= overlap_bound(F.col("n")))
-    index = scratch.table(map_arrow(ranked.select("key", "n", "tokens"), _index, "key long, n long, bucket long"), "index")
+    ranked = ranked.join(sets.select("key", "n"), "key").where(F.size("tokens") >= overlap_bound(F.col("n"), rule.percent))
+    index = scratch.table(map_arrow(ranked.select("key", "n", "tokens"), _index(rule.percent), "key long, n long, bucket long"), "index")
     scratch.release()
     size = index.groupBy("bucket").agg(F.count("*").alias("c"), F.min("key").alias("pivot")).where("c > 1")
     placed = scratch.table(index.join(size, "bucket"), "buckets")
     scratch.release()
     few = placed.where(F.col("c") <= RARE).groupBy("bucket").agg(F.array_sort(F.collect_list(F.struct("key", "n"))).alias("m"))  # RARE sets at most
     pairs = few.select(F.explode(F.flatten(F.transform("m", lambda x, i: F.transform(F.slice("m", i + 2, F.size("m")), lambda y: F.struct(x["key"].alias("a"), y["key"].alias("b"), F.least(x["n"], y["n"]).alias("low"), F.greatest(x["n"], y["n"]).alias("high")))))).alias("p")).select("p.*")
-    pairs = pairs.where(F.col("low") * 100 >= F.col("high") * PERCENT).groupBy("a", "b").agg(F.lit(1).alias("x"))
+    pairs = pairs.where(F.col("low") * 100 >= F.col("high") * rule.percent).groupBy("a", "b").agg(F.lit(1).alias("x"))
     one, two = (sets.select(F.col("key").alias(k), F.col("n").alias(f"n_{k}"), F.col("tokens").alias(f"t_{k}")) for k in "ab")
     met = pairs.select("a", "b").join(one, "a").join(two, "b")
-    checked = met.where(_linked(F.size(F.array_intersect("t_a", "t_b")).cast("long"), F.col("n_a"), F.col("n_b"))).select("a", "b")
+    checked = met.where(_linked(F.size(F.array_intersect("t_a", "t_b")).cast("long"), F.col("n_a"), F.col("n_b"), rule.percent)).select("a", "b")
     stars = placed.where((F.col("c") > RARE) & (F.col("key") != F.col("pivot"))).groupBy("key", "pivot").agg(F.lit(1).alias("x")).select(F.col("key").alias("a"), F.col("pivot").alias("b"))
-    return checked.unionAll(_family_links(stars, sets, scratch))
+    return checked.unionAll(_family_links(stars, sets, scratch, rule.percent))
 
 
-def _grouped(docs: DataFrame, scratch: Scratch) -> tuple[DataFrame, DataFrame]:
+def _grouped(docs: DataFrame, scratch: Scratch, rule: Rule) -> tuple[DataFrame, DataFrame]:
     """(doc_id, n, print) of every document, and (print, component, grp) of every class; grp numbers the linked group."""
-    base, reps = classes(docs, scratch)
-    found = scratch.table(links(docs, reps, scratch), "links")
+    base, reps = classes(docs, scratch, rule)
+    found = scratch.table(links(docs, reps, scratch, rule), "links")
     scratch.release()
     root = components(found, scratch, "links")
     of = root.join(reps.select(F.col("key").alias("node"), "rep"), "node")
@@ -313,20 +333,24 @@ def _grouped(docs: DataFrame, scratch: Scratch) -> tuple[DataFrame, DataFrame]:
     return base, to.select("print", F.coalesce("least", "rep").alias("component"), F.coalesce("root", "key").alias("grp"))
 
 
-def link_components(docs: DataFrame) -> DataFrame:
+def link_components(docs: DataFrame, rule: Rule = Rule()) -> DataFrame:
     """doc_id, n_shingles and component_id of every document."""
-    base, to = _grouped(docs, Scratch(docs.sparkSession, "jaccard"))
+    base, to = _grouped(docs, Scratch(docs.sparkSession, "jaccard"), rule)
     return base.join(to, "print", "left").select("doc_id", F.col("n").alias("n_shingles"), F.coalesce("component", "doc_id").alias("component_id"))
 
 
-def _print_column(texts: Iterator[pa.Array]) -> Iterator[pa.Array]:
-    hasher = Hasher()
-    for t in texts:
-        sets = [h for at in range(0, len(t), 1000) for h in hasher.sets(t.slice(at, 1000).to_pylist())]
-        yield pa.array([_print_of(h) for h in sets], pa.binary())
+def _print_column(shingle: int):
+    def run(texts: Iterator[pa.Array]) -> Iterator[pa.Array]:
+        hasher = Hasher(shingle)
+        for t in texts:
+            sets = [h for at in range(0, len(t), 1000) for h in hasher.sets(t.slice(at, 1000).to_pylist())]
+            yield pa.array([_print_of(h) for h in sets], pa.binary())
+
+    run.__annotations__ = {"texts": Iterator[pa.Array], "return": Iterator[pa.Array]}
+    return run
 
 
-def keep_one(docs: DataFrame) -> DataFrame:
+def keep_one(docs: DataFrame, rule: Rule = Rule()) -> DataFrame:
     """The documents, all columns, less all but one row of each linked group: one with the smallest doc_id, a null id last.
 
     Documents without words are all kept, but a row that has an id and is
@@ -335,7 +359,7 @@ def keep_one(docs: DataFrame) -> DataFrame:
     given here again; the others are found by their ids.
     """
     scratch = Scratch(docs.sparkSession, "keep")
-    base, to = _grouped(docs, scratch)
+    base, to = _grouped(docs, scratch, rule)
     member = base.where("n > 0").join(to.select("print", "grp"), "print").select("doc_id", "print", "grp")
     first = member.groupBy("grp").agg(F.min(F.struct(F.col("doc_id").isNull().alias("none"), "doc_id", "print")).alias("f")).select("grp", "f.doc_id", "f.print")
     chosen = scratch.table(first, "chosen")
@@ -346,7 +370,7 @@ def keep_one(docs: DataFrame) -> DataFrame:
     cut = docs.select(F.struct(*[docs[c].alias(c) for c in columns]).alias("row"), docs["doc_id"].cast("long").alias("id"))
     lone = cut.where("id is not null").join(again_sent, "id", "left_anti").join(gone, "id", "left_anti")
     shared = cut.join(again_sent, "id", "left_semi").select("row", "id").unionByName(cut.where("id is null").select("row", "id"))
-    marked = shared.withColumn("print", F.arrow_udf(_print_column, "binary")(F.col("row.text").cast("string")))
+    marked = shared.withColumn("print", F.arrow_udf(_print_column(rule.shingle), "binary")(F.col("row.text").cast("string")))
     empty = marked.where("print is null")
     wordless = empty.where("id is null").select("row").unionByName(empty.where("id is not null").select("row").distinct())
     c = chosen.select(F.col("doc_id").alias("chosen_id"), F.col("print").alias("chosen_print"))
@@ -356,4 +380,4 @@ def keep_one(docs: DataFrame) -> DataFrame:
 
 
 def op4_jaccard_join(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return link_components(table(spark, sf_dir, "documents"))
+    return link_components(table(spark, sf_dir, "documents"), Rule(4, 85))

@@ -2,8 +2,8 @@
 
 Every rule rejects a document by one integer comparison.  Before the scan each
 rule's cost (seconds a document) and selectivity (share it rejects) are
-estimated on a bounded sample, the SAMPLE_ROWS documents of the least hashes,
-by a task; rules then run by rejection per cost, highest first, and a document
+estimated on a bounded sample, the SAMPLE_ROWS documents of the least hashes
+(equal rows count once), by a task; rules then run by rejection per cost, highest first, and a document
 leaves the cascade at the first rule that rejects it.  Counts that the result
 lists are worked out for every document anyway and cost a rule nothing; where
 only the verdict is wanted (keep_good) each count is worked out when a rule
@@ -25,7 +25,7 @@ from functools import cached_property
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from .common import id_and_text, map_arrow, map_rows, table
+from .common import id_and_text, least_hashed, map_arrow, map_rows, table
 
 #: Rows of the sample that sets the order of the rules.
 SAMPLE_ROWS = 256
@@ -141,7 +141,7 @@ def sample_order(d: DataFrame, rules=RULES, listed: tuple[str, ...] = LISTED, sa
         got = measure(texts, rules, listed)
         yield pa.RecordBatch.from_arrays([pa.array(list(got)), pa.array([v[0] for v in got.values()]), pa.array([float(v[1]) for v in got.values()])], names=["rule", "rejected", "took"])
 
-    picked = d.orderBy(F.xxhash64("doc_id"), F.xxhash64("text")).limit(sample_rows).select("text")
+    picked = least_hashed(d, sample_rows, d.count())
     got = {r[0]: (r[1], r[2]) for r in map_arrow(picked.coalesce(1), run, "rule string, rejected long, took double").collect()}
     return cascade_order({n: got.get(n, (0, 1.0)) for n in rules})
 
