@@ -429,3 +429,29 @@ def test_pipeline_equals_its_parts(spark, tmp_path):
         assert stage(spark, docs, sf).columns == docs.columns, name
 
 
+def test_pipeline_edges(spark, tmp_path):
+    """Nulls, an empty text, a very long one, repeated rows and extra columns with names that stages use; then no rows at all."""
+    import corpus_pipeline
+
+    prose = [r["text"] for r in spark.read.parquet("/root/testdata/sf0.001/documents.parquet").where("lang = 'en' and length(text) between 300 and 900").orderBy("doc_id").limit(12).collect()]
+    words = " ".join(prose).split()
+    r = random.Random(1)
+    long = " ".join(r.choice(words) for _ in range(60_000))
+    rows = [(i, t, "en", "s", len(t)) for i, t in enumerate(prose)] + [(0, prose[0], "en", "s", 1)] * 3 + [(None, " ".join(r.sample(words, 80)), None, None, None), (50, None, "en", "s", None), (51, "", "en", "s", 0), (52, long, "en", "s", 1)]
+    docs = spark.createDataFrame(rows, "doc_id long, text string, lang string, source string, n_chars long")
+    for name in ("row", "spans", "print", "key", "words", "tokens", "n", "id", "t", "new"):
+        docs = docs.withColumn(name, F.lit(name))
+    docs.write.parquet(str(tmp_path / "some" / "documents.parquet"))
+    bench = spark.createDataFrame([(1, " ".join(prose[3].split()[5:20])), (2, None), (None, "")], "item_id long, text string")
+    bench.write.parquet(str(tmp_path / "some" / "benchmark.parquet"))
+    got = corpus_pipeline.run(spark, str(tmp_path / "some")).collect()
+    ids = [x["doc_id"] for x in got]
+    assert ids.count(0) == 1 and None in ids and 52 in ids and not {3, 50, 51} & set(ids)
+    assert {x["doc_id"]: x["n_tokens"] for x in got}[52] > 60_000
+    staged = docs
+    for _, stage in corpus_pipeline.STAGES[:-1]:
+        staged = stage(spark, staged, str(tmp_path / "some"))
+        assert staged.columns == docs.columns
+    docs.where("false").write.parquet(str(tmp_path / "none" / "documents.parquet"))
+    bench.where("false").write.parquet(str(tmp_path / "none" / "benchmark.parquet"))
+    assert corpus_pipeline.run(spark, str(tmp_path / "none")).count() == 0

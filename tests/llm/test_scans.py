@@ -67,6 +67,12 @@ def test_checksums(spark):
     assert secrets.redact(text, spans).count("[SECRET]") == 3
 
 
+def test_secret_edges(spark):
+    docs = spark.createDataFrame([(None, "token = abcdefgh12", "x"), (1, "token = abcdefgh12", "x"), (1, "token = abcdefgh12", "x"), (2, None, "x"), (3, "", "x")], "doc_id long, text string, spans string")
+    assert sorted((r["doc_id"] or 0, len(r["spans"])) for r in secrets.scan(docs).collect()) == [(0, 1), (1, 1), (1, 1), (2, 0), (3, 0)]
+    assert secrets.scan(docs.where("false")).count() == 0
+
+
 PLAIN = {
     "email": re.compile(r"[A-Za-z0-9._%+-]+@[A-Za-z0-9-]+(\.[A-Za-z0-9-]+)+"),
     "ip": re.compile(r"[0-9]+(\.[0-9]+)(\.[0-9]+)(\.[0-9]+)"),
