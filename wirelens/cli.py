@@ -4,6 +4,7 @@ from __future__ import annotations
 
 import argparse
 import glob
+import json
 import sys
 
 from pyspark.sql import SparkSession
@@ -45,7 +46,7 @@ def parser() -> argparse.ArgumentParser:
     back.add_argument("--output", default="lookback_results.csv")
     back.add_argument("--skip-fetch", action="store_true")
     f = sub.add_parser("feedback")
-    f.add_argument("--pages", default="verdicts/*.json")
+    f.add_argument("--pages", default="verdicts/*.json", help="saved answer pages, or the address of the review database's query service")
     return p
 
 
@@ -101,7 +102,11 @@ def main(args: list[str] | None = None) -> int:
         plans.reset(spark, a.state)
         return 0
     if a.command == "feedback":
-        print(plans.accuracy_report(tables.verdicts(spark, [open(p, encoding="utf-8").read() for p in sorted(glob.glob(a.pages))])))
+        if a.pages.startswith(("http://", "https://")):
+            pages = [json.dumps(p) for p in fetch.paged(providers.asker(a.pages))]
+        else:
+            pages = [open(p, encoding="utf-8").read() for p in sorted(glob.glob(a.pages))]
+        print(plans.accuracy_report(tables.verdicts(spark, pages)))
         return 0
     work, net = workspace(spark, a.work), web(a)
     if a.command == "discover":

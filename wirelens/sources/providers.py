@@ -50,6 +50,12 @@ class HttpSink:
             return None
 
 
+def asker(url: str, post: Callable = _post) -> Callable[[dict], dict]:
+    """For fetch.paged: asks a cursor service; its errors go to the caller."""
+    key = os.environ.get("WIRELENS_SINK_KEY")
+    return lambda body: post(url, body, key, SINK_TIMEOUT)
+
+
 def load(name: str) -> Callable:
     """The callable that ``module:function`` names."""
     module, _, attribute = name.partition(":")
