@@ -67,6 +67,25 @@ def test_checksums(spark):
     assert secrets.redact(text, spans).count("[SECRET]") == 3
 
 
+def test_recall_of_checksummed_kinds_in_running_text(spark):
+    """Tokens of every checksummed kind planted in the tables' texts, each beside a copy with one character changed: all of the first are found, none of the second."""
+    r = random.Random(11)
+    texts = [x["text"] or "" for x in spark.read.parquet("/root/testdata/sf0.001/documents.parquet").orderBy("doc_id").limit(120).collect()]
+    letters = "0123456789ABCDEFGHIJKLMNOPQRSTUVWXYZabcdefghijklmnopqrstuvwxyz"
+    made, docs = [], []
+    for i, text in enumerate(texts):
+        body = "".join(r.choice(letters) for _ in range(30))
+        token = crc_token(r.choice(("ghp", "gho", "ghu", "ghs", "ghr", "npm")), body) if i % 3 else wallet(bytes([i]))
+        wrong = token[:10] + ("a" if token[10] != "a" else "b") + token[11:]
+        at, to = sorted((r.randrange(len(text) + 1), r.randrange(len(text) + 1)))
+        made.append(token)
+        docs.append((i, f"{text[:at]} {token} {text[at:to]} ({wrong}) {text[to:]}"))
+    for x in secrets.scan(spark.createDataFrame(docs, "doc_id long, text string")).collect():
+        text = docs[x["doc_id"]][1]
+        found = [text[s["start"] : s["end"]] for s in x["spans"] if s["kind"] in ("forge", "registry", "wallet")]
+        assert found == [made[x["doc_id"]]]
+
+
 def test_secret_edges(spark):
     docs = spark.createDataFrame([(None, "token = abcdefgh12", "x"), (1, "token = abcdefgh12", "x"), (1, "token = abcdefgh12", "x"), (2, None, "x"), (3, "", "x")], "doc_id long, text string, spans string")
     assert sorted((r["doc_id"] or 0, len(r["spans"])) for r in secrets.scan(docs).collect()) == [(0, 1), (1, 1), (1, 1), (2, 0), (3, 0)]

@@ -146,3 +146,24 @@ def map_rows(df: DataFrame, make: Callable[[], Callable[[dict], dict]], schema:
                 yield pa.RecordBatch.from_arrays([pa.array(got[f.name], type=f.type) for f in out], schema=out)
 
     return map_arrow(df, run, schema)
+
+
+def span_sql(kind: str, number: int, pattern: str, keep: str, need: str) -> str:
+    """SQL of a kind's leftmost non-overlapping matches in d (rid, text): rid, k, kind, s (code points ahead) and v; keep may use v, need is an expression that a text must hold."""
+    return rf"""SELECT rid, {number} AS k, '{kind}' AS kind, v, list_sum(list_transform(g[1:i], lambda x: length(x))) + coalesce(list_sum(list_transform(m[1:i - 1], lambda x: length(x))), 0) AS s
+  FROM (SELECT *, m[i] AS v FROM (SELECT *, unnest(range(1, len(m) + 1)) AS i FROM (
+    SELECT rid, regexp_extract_all(text, '{pattern}') AS m, regexp_split_to_array(text, '{pattern}') AS g FROM d WHERE regexp_matches(text, '{need}')))) WHERE {keep}"""
+
+
+def spans_sql(kinds: list[tuple[str, str, str, str]]) -> str:
+    """SQL of the base columns of a span query over documents: counts, the digest and the joined spans."""
+    found = "\n  UNION ALL BY NAME ".join(span_sql(kind, k, *rest) for k, (kind, *rest) in enumerate(kinds))
+    counts = ", ".join(f"count(*) FILTER (k = {k}) AS n_{kind}" for k, (kind, *_) in enumerate(kinds))
+    shown = ", ".join(f"coalesce(n_{kind}, 0)::BIGINT AS n_{kind}" for kind, *_ in kinds)
+    return f"""
+WITH d AS (SELECT row_number() OVER () AS rid, doc_id, coalesce(text, '') AS text FROM documents),
+f AS (
+  {found}
+), j AS (SELECT rid, {counts}, string_agg(kind || ':' || s::BIGINT || ':' || (s + length(v))::BIGINT, ',' ORDER BY s, k) AS spans FROM f GROUP BY rid)
+SELECT doc_id, {shown}, sha256(coalesce(spans, '')) AS base_sha256, coalesce(spans, '') AS spans FROM d LEFT JOIN j USING (rid)
+"""

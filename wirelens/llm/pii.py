@@ -36,7 +36,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from .common import id_and_text, table
+from .common import id_and_text, spans_sql, table
 
 #: Labelled sentences: half of them weigh words, a quarter each fits the trees and calibrates the thresholds.
 TRAIN_ROWS = 12_000
@@ -517,3 +517,16 @@ def op8_pii(spark: SparkSession, sf_dir: str) -> DataFrame:
     joined = lambda spans: F.array_join(F.transform(spans, lambda s: F.concat_ws(":", F.element_at(names, s["k"] + 1), s["start"].cast("string"), s["end"].cast("string"))), ",")
     count = lambda k: F.size(F.filter("spans", lambda s: s["k"] == k)).cast("long")
     return got.select("doc_id", *[count(k).alias(f"n_{kind}") for k, kind in enumerate(BASE)], F.sha2(joined(F.filter("spans", lambda s: s["k"] < len(BASE))), 256).alias("base_sha256"), joined(F.col("spans")).alias("spans"))
+
+
+_DIGITS = "regexp_replace(v, '[^0-9]', '', 'g')"
+_LUHN = f"list_sum(list_transform(string_split(reverse({_DIGITS}), ''), lambda c, i: CASE WHEN i % 2 = 0 THEN CASE WHEN c::INT > 4 THEN 2 * c::INT - 9 ELSE 2 * c::INT END ELSE c::INT END)) % 10 = 0"
+#: The base kinds; SQL has no trees, so this is the whole result where these take nothing, as in the test tables.
+ORACLE = spans_sql(
+    [
+        ("email", r"[A-Za-z0-9._%+-]+@[A-Za-z0-9-]+(\.[A-Za-z0-9-]+)+", "true", "@"),
+        ("ip", r"[0-9]+(\.[0-9]+)(\.[0-9]+)(\.[0-9]+)", "len(list_filter(string_split(v, '.'), lambda x: coalesce(try_cast(x AS HUGEINT), 256) > 255)) = 0", r"[0-9]\.[0-9]+\.[0-9]+\.[0-9]"),
+        ("card", r"[0-9]([\x20-]?[0-9])+", f"CASE WHEN length({_DIGITS}) BETWEEN 14 AND 19 THEN {_LUHN} ELSE false END", r"[0-9]([\x20-]?[0-9]){13}"),
+        ("phone", r"\+[0-9][\x20().0-9-]+[0-9]", f"length({_DIGITS}) BETWEEN 10 AND 15", r"\+[0-9]"),
+    ]
+)

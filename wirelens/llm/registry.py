@@ -21,5 +21,12 @@ def queries() -> dict:
 
 
 def oracle_sql() -> dict[str, str]:
-    """Only where SQL can express the whole result; the others are held against brute force in the tests."""
-    return {"op3_decontamination": decontaminate.ORACLE, "op7_quality_rules": quality.ORACLE, "op9_url_filters": url_filter.oracle()}
+    """Where SQL can express the result; the others are held against brute force in the tests."""
+    return {
+        "op1_secret_scans": secrets.ORACLE,
+        "op3_decontamination": decontaminate.ORACLE,
+        "op4_jaccard_join": jaccard.ORACLE,
+        "op7_quality_rules": quality.ORACLE,
+        "op8_pii": pii.ORACLE,
+        "op9_url_filters": url_filter.oracle(),
+    }

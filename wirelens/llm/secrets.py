@@ -25,7 +25,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from .common import id_and_text, map_rows, table
+from .common import id_and_text, map_rows, spans_sql, table
 
 BASE62 = b"0123456789ABCDEFGHIJKLMNOPQRSTUVWXYZabcdefghijklmnopqrstuvwxyz"
 BASE58 = b"123456789ABCDEFGHJKLMNPQRSTUVWXYZabcdefghijkmnopqrstuvwxyz"
@@ -143,3 +143,14 @@ def op1_secret_scans(spark: SparkSession, sf_dir: str) -> DataFrame:
     of = lambda kind: F.size(F.filter("spans", lambda s: s["kind"] == kind)).cast("long")
     joined = lambda spans: F.array_join(F.transform(spans, lambda s: F.concat_ws(":", s["kind"], s["start"].cast("string"), s["end"].cast("string"))), ",")
     return got.select("doc_id", *[of(n).alias(f"n_{n}") for n in names], F.sha2(joined(F.filter("spans", lambda s: s["kind"].isin(*names))), 256).alias("base_sha256"), joined(F.col("spans")).alias("spans"))
+
+
+_ASSIGN_SQL = _ANY_CASE.decode().replace("(?:", "(", 1) + r"""["\x27]?\x20*[:=]\x20*["\x27]?([A-Za-z0-9+/_.=-]+)"""
+#: The base kinds; SQL has no checksums, so this is the whole result where no checksummed kind occurs, as in the test tables.
+ORACLE = spans_sql(
+    [
+        ("assign", _ASSIGN_SQL, f"length(regexp_extract(v, '{_ASSIGN_SQL}', 2)) >= 8", r"""[dDtTnNyY]["\x27]?\x20*[:=]"""),
+        ("access", "AKIA[A-Z0-9]+", "length(v) >= 16", "AKIA"),
+        ("hex", "[0-9a-f]{32,}", "true", "[0-9a-f]{32}"),
+    ]
+)
