@@ -50,30 +50,34 @@ def _any(parts: list[Column]) -> Column:
 
 def profile(target: Column, seller: Column) -> Column:
     """What matching needs of a deal's names, computed once a row."""
-    n = norm(target)
+    n, s = norm(target), norm(seller)
     return F.struct(
         n.alias("name"), tokens(target).alias("tokens"), acronym(target).alias("acronym"), F.regexp_replace(n, r"[^\p{L}\p{N}_]", "").alias("solid"),
-        norm(seller).alias("seller"), tokens(seller).alias("seller_tokens"),
+        s.alias("seller"), tokens(seller).alias("seller_tokens"), F.array_except(tokens(target), tokens(seller)).alias("own"), _less(_less(n, s), s).alias("bare"),
     )
 
 
+def _less(name: Column, seller: Column) -> Column:
+    """A name without a seller's."""
+    return F.when(seller == "", name).otherwise(F.trim(F.replace(name, seller, F.lit(""))))
+
+
 def same_target(a: Column, b: Column) -> Column:
     """Whether two profiles' targets mean one entity: whether any of the rules holds."""
+    one = a["seller"] == b["seller"]  # then each side's own rest and bare name will do
     sold = F.array_union(a["seller_tokens"], b["seller_tokens"])
-    rests = F.array(F.struct(F.array_except(a["tokens"], sold).alias("a"), F.array_except(b["tokens"], sold).alias("b")))  # an array, so that it is computed once
+    rests = F.array(F.when(one, F.struct(a["own"].alias("a"), b["own"].alias("b"))).otherwise(F.struct(F.array_except(a["tokens"], sold).alias("a"), F.array_except(b["tokens"], sold).alias("b"))))  # an array, so that it is computed once
 
     def by_tokens(x: Column) -> Column:
-        common = F.size(F.array_intersect(x["a"], x["b"]))
-        joint = F.size(x["a"]) + F.size(x["b"]) - common  # both are distinct
-        generic = (F.size(x["a"]) == 0) | (F.size(x["b"]) == 0)
-        return (common >= 2) | ((common > 0) & (2 * common >= joint)) | (generic & F.arrays_overlap(a["seller_tokens"], b["seller_tokens"]))
+        def rule(common: Column) -> Column:
+            joint = F.size(x["a"]) + F.size(x["b"]) - common  # both are distinct
+            generic = (F.size(x["a"]) == 0) | (F.size(x["b"]) == 0)
+            return (common >= 2) | ((common > 0) & (2 * common >= joint)) | (generic & F.arrays_overlap(a["seller_tokens"], b["seller_tokens"]))
 
-    def without(n: Column) -> Column:
-        for s in (a["seller"], b["seller"]):
-            n = F.when(s == "", n).otherwise(F.trim(F.replace(n, s, F.lit(""))))
-        return n
+        return F.exists(F.array(F.size(F.array_intersect(x["a"], x["b"]))), rule)
 
-    bare = F.array(F.struct(without(a["name"]).alias("a"), without(b["name"]).alias("b")))
+    without = lambda n: _less(_less(n, a["seller"]), b["seller"])
+    bare = F.array(F.when(one, F.struct(a["bare"].alias("a"), b["bare"].alias("b"))).otherwise(F.struct(without(a["name"]).alias("a"), without(b["name"]).alias("b"))))
     contained = F.exists(bare, lambda x: (x["a"] != "") & (x["b"] != "") & (x["b"].contains(x["a"]) | x["a"].contains(x["b"])))
     prefix = _any([(F.length(s) >= 5) & F.startswith(a["name"], F.left(s, F.lit(4))) & F.startswith(b["name"], F.left(s, F.lit(4))) for s in (a["seller"], b["seller"])])
     initials = (a["acronym"] != "") & (a["acronym"] == b["acronym"])
