@@ -173,7 +173,7 @@ ORACLES: dict[str, str] = {
     "date_cascade": "SELECT o_orderkey, CASE WHEN o_orderkey % 6 < 5 THEN CASE WHEN o_orderkey % 6 = 3 THEN '20' || strftime(o_orderdate, '%y-%m-%d') ELSE strftime(o_orderdate, '%Y-%m-%d') END END AS day FROM orders",
     "url_date": "SELECT o_orderkey, CASE WHEN year(o_orderdate) BETWEEN 2000 AND 2100 THEN CASE o_orderkey % 3 WHEN 0 THEN strftime(o_orderdate, '%Y-%m-%d') WHEN 1 THEN strftime(o_orderdate, '%Y-%m-01') END END AS day FROM orders",
     "host_filter": r"SELECT page_id, url FROM pages WHERE regexp_extract(url, '://([^/?#]*)', 1) = '' OR contains(regexp_extract(url, '://([^/?#]*)', 1), 'example.com')",
-    "rss_parse": "SELECT user_id::VARCHAR AS firm_name, 'Event ' || event_id || ' & more' AS title, 'https://x.example.com/' || event_id AS url, event_type AS summary, strftime(ts, '%Y-%m-%d %H:%M:%S') AS published FROM events WHERE event_id % 11 <> 0",
+    "rss_parse": "SELECT user_id::VARCHAR AS firm_name, 'Event ' || event_id || ' & more' AS title, 'https://x.example.com/' || event_id AS url, event_type AS summary, strftime(ts, '%Y-%m-%d %H:%M:%S') AS published FROM events",
     "feed_link_discovery": f"WITH {_LINKED} SELECT page_id, '/feed/' || page_id || '.xml' AS feed FROM linked WHERE page_id % 2 = 0",
     "press_candidate": rf"""WITH {_LINKED}, h AS (SELECT page_id, unnest(regexp_extract_all(body, '(?i)<a\s[^>]*?href=["'']([^"'']*)["'']', 1)) AS href FROM linked) SELECT page_id FROM h WHERE regexp_matches(lower(href), '/news/|/press/|/media/|/insight|release|announce|article') GROUP BY page_id HAVING count(*) >= 3""",
     "llm_batches": f"WITH {_BATCHED} SELECT i // 20 AS batch, count(*) AS n, min(doc_id) AS first_id, max(doc_id) AS last_id, max(i % 20)::INT AS last_pos FROM numbered GROUP BY i // 20",
