@@ -140,6 +140,32 @@ profiled AS MATERIALIZED (
   FROM (SELECT s.block, x.k, s.reps, x.p, list_position(list_transform(s.reps, lambda r: {_SAME}), true) AS i FROM state s JOIN profiled x ON x.block = s.block AND x.k = s.k + 1)
 ), folded AS (SELECT block, unnest(reps) AS r FROM (SELECT block, arg_max(reps, k) AS reps FROM state GROUP BY block))"""
 
+def _plain(x: str) -> str:
+    """Text with its entities read."""
+    for name, value in (("&lt;", "'<'"), ("&gt;", "'>'"), ("&quot;", "chr(34)"), ("&#x27;", "chr(39)"), ("&amp;", "'&'"), ("&amp", "'&'")):
+        x = f"replace({x}, '{name}', {value})"
+    return x
+
+
+#: Over pages whose article holds a heading and paragraphs alone, and whose list items hold the links, as in the test tables.
+_BODIES = rf"""
+WITH a AS (SELECT page_id, regexp_extract(html, '(?s)<article>(.*?)</article>', 1) AS h FROM pages),
+p AS (
+  SELECT page_id, array_to_string(list_filter(list_transform(regexp_split_to_array(h, '<[^>]*>'), lambda x: {_strip(_plain('x'))}), lambda x: x <> ''), ' ') AS whole,
+         list_transform(string_split(h, '<p>')[2:], lambda x: {_plain("regexp_replace(x, '<[^>]*>', '', 'g')")}) AS ps
+  FROM a
+), t AS (
+  SELECT page_id, CASE WHEN len(list_filter(regexp_split_to_array(whole, '\s+'), lambda x: x <> '')) >= 50 THEN whole
+         ELSE array_to_string(list_concat([{_strip("array_to_string(ps, '')")}], list_transform(ps[2:], lambda x: {_strip('x')})), ' ') END AS text
+  FROM p
+)
+SELECT page_id, ({_CAP}) AS body FROM (SELECT *, {_SPLIT} AS w FROM t)"""
+_CARDS = f"""
+WITH l AS (SELECT page_id, regexp_extract_all(html, '<li><a href="([^"]*)">([^<]*)</a>', 1) AS h, regexp_extract_all(html, '<li><a href="([^"]*)">([^<]*)</a>', 2) AS t FROM pages),
+x AS (SELECT page_id, i, 'https://example.com' || h[i] AS url, {_strip(_plain('t[i]'))} AS title FROM (SELECT *, unnest(range(1, len(h) + 1)) AS i FROM l)),
+k AS (SELECT page_id, url, arg_min(title, i) AS title, min(i) AS i FROM x WHERE length(title) >= 10 GROUP BY page_id, url)
+SELECT page_id, (row_number() OVER (PARTITION BY page_id ORDER BY i) - 1)::INT AS ord, title, url, NULL::VARCHAR AS day FROM k"""
+
 ORACLES: dict[str, str] = {
     "accuracy_summary": f"WITH {_VERDICTS} SELECT count(*) AS total, count(*) FILTER (verdict <> 'Pending') AS reviewed, count(*) FILTER (verdict = 'Pending') AS pending, count(*) FILTER (verdict = 'Confirmed') AS confirmed, count(*) FILTER (verdict IN ({_FP})) AS false_positives, round(coalesce(count(*) FILTER (verdict = 'Confirmed') / nullif(count(*) FILTER (verdict = 'Confirmed' OR verdict IN ({_FP})), 0), 0.0), 6)::DOUBLE AS precision FROM rows",
     "verdict_breakdown": f"WITH {_VERDICTS} SELECT verdict, count(*) AS n FROM rows GROUP BY verdict",
@@ -173,6 +199,8 @@ ORACLES: dict[str, str] = {
     "date_cascade": "SELECT o_orderkey, CASE WHEN o_orderkey % 6 < 5 THEN CASE WHEN o_orderkey % 6 = 3 THEN '20' || strftime(o_orderdate, '%y-%m-%d') ELSE strftime(o_orderdate, '%Y-%m-%d') END END AS day FROM orders",
     "url_date": "SELECT o_orderkey, CASE WHEN year(o_orderdate) BETWEEN 2000 AND 2100 THEN CASE o_orderkey % 3 WHEN 0 THEN strftime(o_orderdate, '%Y-%m-%d') WHEN 1 THEN strftime(o_orderdate, '%Y-%m-01') END END AS day FROM orders",
     "host_filter": r"SELECT page_id, url FROM pages WHERE regexp_extract(url, '://([^/?#]*)', 1) = '' OR contains(regexp_extract(url, '://([^/?#]*)', 1), 'example.com')",
+    "body_extract": _BODIES,
+    "card_extract": _CARDS,
     "rss_parse": "SELECT user_id::VARCHAR AS firm_name, 'Event ' || event_id || ' & more' AS title, 'https://x.example.com/' || event_id AS url, event_type AS summary, strftime(ts, '%Y-%m-%d %H:%M:%S') AS published FROM events",
     "feed_link_discovery": f"WITH {_LINKED} SELECT page_id, '/feed/' || page_id || '.xml' AS feed FROM linked WHERE page_id % 2 = 0",
     "press_candidate": rf"""WITH {_LINKED}, h AS (SELECT page_id, unnest(regexp_extract_all(body, '(?i)<a\s[^>]*?href=["'']([^"'']*)["'']', 1)) AS href FROM linked) SELECT page_id FROM h WHERE regexp_matches(lower(href), '/news/|/press/|/media/|/insight|release|announce|article') GROUP BY page_id HAVING count(*) >= 3""",
