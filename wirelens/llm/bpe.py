@@ -202,10 +202,14 @@ class Runs(Numbers):
         return dict.__getitem__(self, key)
 
 
-def _pack_chunks(spec: str, top: dict[str, int]):
+#: Characters of a chunk whose ids and texts are given in full; where only their digests are, a chunk may be longer.
+FULL_CHARS = 4_000_000
+
+
+def _pack_chunks(spec: str, top: dict[str, int], most: int | None):
     def run(batches):
         split = Splitter(spec)
-        for chunk, held in zip(chunk_ids(), chunks(rows(batches), lambda r: len(r[1])), strict=False):
+        for chunk, held in zip(chunk_ids(), chunks(rows(batches), lambda r: len(r[1]), most), strict=False):
             runs, places, lens = Runs(top), [], []
             for _, text in held:
                 places.append(runs.of(split.runs(text)) if split.quick(text) else np.array([runs.word(w) for w in split.slow(text)], np.int64))
@@ -225,20 +229,24 @@ def _pack_chunks(spec: str, top: dict[str, int]):
     return run
 
 
-def _assemble(top_codes: list[bytes], top_texts: list[str], kind: str, full: bool):
+def _shown(codes: list[bytes], kind: str) -> list[str]:
+    return [" ".join(map(str, np.frombuffer(c, kind).tolist())) for c in codes]
+
+
+def _counted(codes: list[bytes], kind: str) -> np.ndarray:
+    return np.array([len(c) // int(kind[-1]) for c in codes], np.int64)
+
+
+def _assemble(top_ids: list[str], top_texts: list[str], top_sizes: np.ndarray, kind: str, full: bool):
     schema = pa.schema([("doc_id", pa.int64()), ("n_tokens", pa.int64()), ("ids", pa.string()), ("decoded", pa.string())])
-    held: dict = {}
-    shown = lambda codes: [" ".join(map(str, np.frombuffer(c, kind).tolist())) for c in codes]
-    counted = lambda codes: np.array([len(c) // int(kind[-1]) for c in codes], np.int64)
 
     def run(left: pa.Table, right: pa.Table) -> pa.Table:
         if not left.num_rows:
             return schema.empty_table()
-        if not held:
-            held["ids"], held["sizes"] = shown(top_codes), counted(top_codes)
         order = pa.array(right.column("at").to_numpy().argsort())
         mine = right.column("code").take(order).to_pylist()
-        ids, texts, sizes = held["ids"] + shown(mine), top_texts + right.column("text").take(order).to_pylist(), np.concatenate((held["sizes"], counted(mine)))
+        ids, texts, sizes = top_ids + _shown(mine, kind), top_texts + right.column("text").take(order).to_pylist(), np.concatenate((top_sizes, _counted(mine, kind)))
+        del mine, right
         lens, codes = unpack(left.column("lens")[0].as_py()), unpack(left.column("codes")[0].as_py())
         if int(codes.max(initial=-1)) >= len(ids):
             raise RuntimeError("a chunk's words and their ids differ; the input changed between two reads")
@@ -253,7 +261,9 @@ def _assemble(top_codes: list[bytes], top_texts: list[str], kind: str, full: boo
             out["n_tokens"].append(int(sizes[code].sum()))
             out["ids"].append(digest(" ".join([ids[c] for c in few])))
             out["decoded"].append(digest(" ".join([texts[c] for c in few])))
-        return pa.table(out, schema=schema)
+        del ids, texts, sizes, codes
+        columns = [pa.array(out.pop(f.name), f.type) for f in schema]  # each list goes as its column comes
+        return pa.table(columns, schema=schema)
 
     return run
 
@@ -274,11 +284,12 @@ def encode(docs: DataFrame, spec: str, full: bool = True) -> DataFrame:
     scratch = Scratch(docs.sparkSession, "bpe")
     words = scratch.table(word_table(d, spec), "words")
     scratch.release()
+    kind = id_type(spec)
     top, top_codes, top_texts = top_words(words, "n", ["word", "code", "text"])
-    packed = map_arrow(d, _pack_chunks(spec, {w: k for k, w in enumerate(top)}), _CHUNK).repartition("chunk")
+    packed = map_arrow(d, _pack_chunks(spec, {w: k for k, w in enumerate(top)}, FULL_CHARS if full else None), _CHUNK).repartition("chunk")
     places = map_arrow(packed, listed(0, 4), "chunk long, at int, word string")
     answers = places.join(words.select("word", "code", "text"), "word").select("chunk", "at", "code", "text")
-    return packed.groupBy("chunk").cogroup(answers.groupBy("chunk")).applyInArrow(_assemble(top_codes, top_texts, id_type(spec), full), "doc_id long, n_tokens long, ids string, decoded string")
+    return packed.groupBy("chunk").cogroup(answers.groupBy("chunk")).applyInArrow(_assemble(_shown(top_codes, kind), top_texts, _counted(top_codes, kind), kind, full), "doc_id long, n_tokens long, ids string, decoded string")
 
 
 def op5_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:

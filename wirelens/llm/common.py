@@ -30,6 +30,10 @@ def shared_dir(spark: SparkSession) -> str:
     return found.rstrip("/")
 
 
+#: Bytes of tables from which the shuffle files behind them are worth a clean-up.
+RELEASE_BYTES = 16_000_000
+
+
 class Scratch:
     """A folder for the intermediate tables of one operator call."""
 
@@ -45,11 +49,19 @@ class Scratch:
     def read(self, name: str, schema: str) -> DataFrame:
         return self.spark.read.schema(schema).parquet(f"{self.root}/{name}")
 
+    def _path(self, name: str = ""):
+        jvm = self.spark.sparkContext._jvm
+        path = jvm.org.apache.hadoop.fs.Path(f"{self.root}/{name}" if name else self.root)
+        return path, path.getFileSystem(self.spark.sparkContext._jsc.hadoopConfiguration())
+
     def release(self) -> None:
-        """Lets Spark remove the shuffle files of jobs that are over; it does so, in the background, once their plans are collected."""
+        """Lets Spark remove the shuffle files of jobs that are over; it does so, in the background, once their plans are collected.  Where little was written there is little to remove."""
         import gc
         import time
 
+        path, fs = self._path()
+        if fs.getContentSummary(path).getLength() < RELEASE_BYTES:
+            return
         for _ in range(2):
             gc.collect()
             self.spark.sparkContext._jvm.System.gc()
@@ -57,9 +69,8 @@ class Scratch:
 
     def drop(self, name: str) -> None:
         """Remove a table that no later plan reads."""
-        jvm = self.spark.sparkContext._jvm
-        path = jvm.org.apache.hadoop.fs.Path(f"{self.root}/{name}")
-        path.getFileSystem(self.spark.sparkContext._jsc.hadoopConfiguration()).delete(path, True)
+        path, fs = self._path(name)
+        fs.delete(path, True)
 
 
 #: Rows of one Arrow batch, where the session has the default: texts may be long.

@@ -58,11 +58,12 @@ def top_words(words: DataFrame, count: str, columns: list[str], top: int = TOP)
     return [got.column(c).to_pylist() for c in columns]
 
 
-def chunks(texts: Iterator[tuple], size: Callable[[tuple], int]) -> Iterator[list[tuple]]:
-    """Rows in lists of about CHUNK_CHARS characters; a longer row is alone."""
+def chunks(texts: Iterator[tuple], size: Callable[[tuple], int], most: int | None = None) -> Iterator[list[tuple]]:
+    """Rows in lists of about ``most`` characters (CHUNK_CHARS); a longer row is alone."""
+    most = most or CHUNK_CHARS
     held, n = [], 0
     for row in texts:
-        if held and n + size(row) > CHUNK_CHARS:
+        if held and n + size(row) > most:
             yield held
             held, n = [], 0
         held.append(row)
