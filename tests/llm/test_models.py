@@ -324,6 +324,18 @@ def test_keep_one_decides_by_row(spark):
     assert sorted(map(str, map(tuple, kept))) == sorted(map(str, want))
 
 
+def test_a_cluster_must_name_its_shared_folder():
+    from types import SimpleNamespace as S
+
+    held = {}
+    fake = lambda master: S(sparkContext=S(master=master, getConf=lambda: held), conf=S(get=lambda k, d: d, set=held.__setitem__))
+    with pytest.raises(RuntimeError):
+        common.shared_dir(fake("spark://host:7077"))
+    assert common.shared_dir(fake("local[4]")) == "/tmp/checkpoints" and held
+    held["spark.checkpoint.dir"] = "hdfs://x/y/"
+    assert common.shared_dir(fake("spark://host:7077")) == "hdfs://x/y"
+
+
 def test_components(spark):
     r = random.Random(3)
     edges = [(i, i + 1) for i in range(100)] + [(r.randrange(200, 400), r.randrange(200, 400)) for _ in range(150)] + [(500, i) for i in range(501, 600)] + [(7, 7)]
