@@ -173,6 +173,30 @@ def test_cli_scans_from_pages_to_sink(spark, tmp_path, monkeypatch, capsys):
     assert errors["Gone"]["needs_url_update"] and "need a new address: Gone" in capsys.readouterr().out
 
 
+def test_cli_discovers_feeds_and_imports_state(spark, tmp_path, monkeypatch, capsys):
+    """A feed that the home page links to, one under a usual path, none; the flag of a repaired firm goes."""
+    from wirelens import cli
+    from wirelens.plans import gather
+
+    rss = "<rss><channel><item><title>t</title><link>https://x/1</link></item></channel></rss>"
+    home = '<html><link rel="alternate" type="application/rss+xml" href="/own.xml"></html>'
+    web = {"https://a.com": home, "https://a.com/own.xml": rss, "https://a.com/feed": rss, "https://b.com/news/rss": rss}
+    monkeypatch.setattr(cli, "web", lambda a: gather.Web(get=lambda url, head, timeout, verify: (200, web[url]) if url in web else (404, "")))
+    targets, state = tmp_path / "t.yml", str(tmp_path / "state")
+    targets.write_text("firms:\n- {name: A, domain: a.com}\n- {name: B, domain: b.com, press_url: 'https://b.com/press'}\n- {name: C, domain: c.com}\n- {name: D, feed_url: 'https://d/feed'}\n")
+    doc = tmp_path / "state.json"
+    doc.write_text(json.dumps({"seen": {"https://x/1": {"hash": "h", "first_seen": "2024-01-01T00:00:00"}}, "firm_errors": {"A": {"consecutive_404s": 3, "needs_url_update": True}}}))
+    assert cli.main(["--state", state, "import-state", str(doc)]) == 0
+    assert tables.read_state(spark, state)["seen"].count() == 1
+    assert cli.main(["--targets", str(targets), "--state", state, "--work", str(tmp_path / "w"), "discover", "--update"]) == 0
+    feeds = {r["name"]: r["feed_url"] for r in tables.firms(spark, str(targets)).collect()}
+    assert feeds == {"A": "https://a.com/own.xml", "B": "https://b.com/news/rss", "C": None, "D": "https://d/feed"}
+    assert not tables.read_state(spark, state)["firm_errors"].first()["needs_url_update"]
+    assert cli.main(["--targets", str(targets), "--state", state, "--work", str(tmp_path / "w2"), "lookback", "--output", str(tmp_path / "csv"), "--skip-fetch"]) == 0
+    assert spark.read.option("header", True).csv(str(tmp_path / "csv")).count() == 1
+    assert cli.main(["--targets", str(targets), "--state", state, "--work", str(tmp_path / "w3"), "backtest"]) == 0
+
+
 def test_services():
     import pytest
 

@@ -1,4 +1,4 @@
-"""Command line: scan, lookback, backtest, discover, feedback, reset-state."""
+"""Command line: scan, lookback, backtest, discover, feedback, reset-state, import-state."""
 
 from __future__ import annotations
 
@@ -41,6 +41,7 @@ def parser() -> argparse.ArgumentParser:
     d.add_argument("--firm")
     sub.add_parser("backtest")
     sub.add_parser("reset-state")
+    sub.add_parser("import-state").add_argument("file", help="a state in its JSON form")
     back = sub.add_parser("lookback")
     back.add_argument("--days", type=int, default=30)
     back.add_argument("--output", default="lookback_results.csv")
@@ -101,6 +102,10 @@ def main(args: list[str] | None = None) -> int:
     if a.command == "reset-state":
         plans.reset(spark, a.state)
         return 0
+    if a.command == "import-state":
+        with open(a.file, encoding="utf-8") as f:
+            tables.write_state(tables.state_from_json(spark, f.read()), a.state)
+        return 0
     if a.command == "feedback":
         if a.pages.startswith(("http://", "https://")):
             pages = [json.dumps(p) for p in fetch.paged(providers.asker(a.pages))]
