@@ -27,6 +27,5 @@ def oracle_sql() -> dict[str, str]:
         "op3_decontamination": decontaminate.ORACLE,
         "op4_jaccard_join": jaccard.ORACLE,
         "op7_quality_rules": quality.ORACLE,
-        "op8_pii": pii.ORACLE,
         "op9_url_filters": url_filter.oracle(),
     }
