@@ -49,7 +49,7 @@ def test_recursion_equals_plain_forward_backward(monkeypatch):
 
 @pytest.mark.parametrize("top", [1 << 18, 20])
 def test_lm_base_equals_counts(spark, sf, monkeypatch, top):
-    monkeypatch.setattr(hmm, "top_words", lambda w, n, c: wordtable.top_words(w, n, c, top))
+    monkeypatch.setattr(hmm, "top_words", lambda w, n, c, t: wordtable.top_words(w, n, c, min(t, top)))
     docs = spark.read.parquet(f"{sf}/documents.parquet").select("doc_id", "text").unionAll(frame(spark, ODD).select((F.col("doc_id") + 1000).alias("doc_id"), "text"))
     texts = [(r[0], (r[1] or "").encode().lower().split()) for r in docs.collect()]
     count, ends = collections.Counter(), 0
@@ -89,7 +89,7 @@ def test_lm_without_training(spark):
 def test_bpe_equals_the_library(spark, monkeypatch, top):
     from tokenizers import Tokenizer
 
-    monkeypatch.setattr(bpe, "top_words", lambda w, n, c: wordtable.top_words(w, n, c, top))
+    monkeypatch.setattr(bpe, "top_words", lambda w, n, c, t: wordtable.top_words(w, n, c, min(t, top)))
     spec = bpe.read_spec()
     tok = Tokenizer.from_str(spec)
     r = random.Random(1)

@@ -34,8 +34,8 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from .common import Scratch, id_and_text, map_arrow, table
-from .wordtable import FLUSH, Numbers, chunk_ids, chunks, listed, pack, pack_words, rows, top_words, unpack
+from .common import Scratch, id_and_text, map_arrow, table, tidy_groups
+from .wordtable import FLUSH, TOP, Numbers, chunk_ids, chunks, listed, pack, pack_words, rows, top_words, unpack
 
 #: Characters that the quick splitter handles: their classes and case are the same in every Unicode version.
 _UNSAFE = re.compile("[^\\x00-\\x1b\\x20-įı-ɏ]")
@@ -202,8 +202,8 @@ class Runs(Numbers):
         return dict.__getitem__(self, key)
 
 
-#: Characters of a chunk whose ids and texts are given in full; where only their digests are, a chunk may be longer.
-FULL_CHARS = 4_000_000
+#: Characters of a chunk, and words of the top table, where ids and texts are given in full; where only their digests are, both may be larger.
+FULL_CHARS, FULL_TOP = 2_000_000, TOP // 4
 
 
 def _pack_chunks(spec: str, top: dict[str, int], most: int | None):
@@ -285,11 +285,11 @@ def encode(docs: DataFrame, spec: str, full: bool = True) -> DataFrame:
     words = scratch.table(word_table(d, spec), "words")
     scratch.release()
     kind = id_type(spec)
-    top, top_codes, top_texts = top_words(words, "n", ["word", "code", "text"])
+    top, top_codes, top_texts = top_words(words, "n", ["word", "code", "text"], FULL_TOP if full else TOP)
     packed = map_arrow(d, _pack_chunks(spec, {w: k for k, w in enumerate(top)}, FULL_CHARS if full else None), _CHUNK).repartition("chunk")
     places = map_arrow(packed, listed(0, 4), "chunk long, at int, word string")
     answers = places.join(words.select("word", "code", "text"), "word").select("chunk", "at", "code", "text")
-    return packed.groupBy("chunk").cogroup(answers.groupBy("chunk")).applyInArrow(_assemble(_shown(top_codes, kind), top_texts, _counted(top_codes, kind), kind, full), "doc_id long, n_tokens long, ids string, decoded string")
+    return packed.groupBy("chunk").cogroup(answers.groupBy("chunk")).applyInArrow(tidy_groups(_assemble(_shown(top_codes, kind), top_texts, _counted(top_codes, kind), kind, full)), "doc_id long, n_tokens long, ids string, decoded string")
 
 
 def op5_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:

@@ -74,7 +74,7 @@ class Scratch:
 
 
 #: Rows of one Arrow batch, where the session has the default: texts may be long.
-BATCH_ROWS = 1000
+BATCH_ROWS = 500
 
 
 def bounded_batches(spark: SparkSession) -> None:
@@ -83,24 +83,50 @@ def bounded_batches(spark: SparkSession) -> None:
         spark.conf.set(key, str(BATCH_ROWS))
 
 
+def give_back() -> None:
+    """Returns a Python worker's freed memory to the system, as the process may stay idle for long."""
+    import ctypes
+    import gc
+
+    gc.collect()
+    pa.default_memory_pool().release_unused()
+    try:
+        ctypes.CDLL(None).malloc_trim(0)
+    except AttributeError:  # not the GNU C library
+        pass
+
+
 def tidy(run: Callable) -> Callable:
-    """For mapInArrow: a task gives its freed memory back when it ends, as its Python process may stay idle."""
+    """For mapInArrow: a task gives its freed memory back when it ends."""
 
     def wrapped(batches):
         yield from run(batches)
-        import ctypes
-        import gc
-
-        gc.collect()
-        pa.default_memory_pool().release_unused()
-        try:
-            ctypes.CDLL(None).malloc_trim(0)
-        except AttributeError:  # not the GNU C library
-            pass
+        give_back()
 
     return wrapped
 
 
+def tidy_groups(run: Callable) -> Callable:
+    """For applyInArrow over one or two tables: the same after each group."""
+    import inspect
+
+    if len(inspect.signature(run).parameters) == 2:
+
+        def two(left: pa.Table, right: pa.Table) -> pa.Table:
+            got = run(left, right)
+            give_back()
+            return got
+
+        return two
+
+    def one(group: pa.Table) -> pa.Table:
+        got = run(group)
+        give_back()
+        return got
+
+    return one
+
+
 def map_arrow(df: DataFrame, run: Callable, schema) -> DataFrame:
     return df.mapInArrow(tidy(run), schema)
 

@@ -44,7 +44,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from .common import Scratch, id_and_text, map_arrow, table
+from .common import Scratch, id_and_text, map_arrow, table, tidy_groups
 from .components import components
 from .wordhash import ODD, WordHasher, mix
 
@@ -245,7 +245,7 @@ def _family_links(stars: DataFrame, sets: DataFrame, scratch: Scratch, percent:
     full = scratch.table(full.select("family", "blocks", "block", "key", "n", "tokens"), "families")
     cells = F.when(F.col("block") > 0, F.array("block")).when(F.col("blocks") > 1, F.sequence(F.lit(1), F.col("blocks") - 1)).otherwise(F.array(F.lit(0)))
     met = full.withColumn("cell", F.explode(cells)).select("family", "cell", "key", "n", "tokens")
-    first = scratch.table(met.groupBy("family", "cell").applyInArrow(_forest(percent), "a long, b long"), "family-links")
+    first = scratch.table(met.groupBy("family", "cell").applyInArrow(tidy_groups(_forest(percent)), "a long, b long"), "family-links")
     wide = full.where("blocks > 2").select("family", "blocks", "block", "key", "n")
     if wide.isEmpty():
         return first
@@ -264,7 +264,7 @@ def _family_links(stars: DataFrame, sets: DataFrame, scratch: Scratch, percent:
     theirs = held.select("family", "block", "key").join(rest.select("family", "parts").distinct(), "family").select("family", F.explode(F.sequence(F.lit(0), F.col("parts") - 1)).alias("part"), "block", "key")
     tried = mine.unionByName(theirs).groupBy("family", "part", "block", "key").agg(F.lit(1).alias("x")).drop("x")
     met = tried.join(sets, "key").select("family", "part", "block", "key", "n", "tokens")
-    second = met.groupBy("family", "part", "block").applyInArrow(_forest(percent), "a long, b long")
+    second = met.groupBy("family", "part", "block").applyInArrow(tidy_groups(_forest(percent)), "a long, b long")
     return first.unionAll(scratch.table(second, "family-links-2"))
 
 
