@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from . import bpe, decontaminate, hmm, jaccard, language, pii, pivots, quality, runs, secrets, sharding, url_filter
+from . import bpe, decontaminate, erasure, hmm, jaccard, language, pii, pivots, quality, runs, secrets, sharding, url_filter
 
 
 def queries() -> dict:
@@ -17,6 +17,7 @@ def queries() -> dict:
         "op8_pii": pii.op8_pii,
         "op9_url_filters": url_filter.op9_url_filters,
         "op10_sharding": sharding.op10_sharding,
+        "op11_cascading_erasure": erasure.op11_cascading_erasure,
         "op12_near_vectors": pivots.op12_near_vectors,
         "op13_periodic_runs": runs.op13_periodic_runs,
     }
