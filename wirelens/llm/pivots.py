@@ -20,7 +20,7 @@
 6. Components of the forests give each vector the smallest id that it reaches.
 
 Recall is that of step 4, as what is verified is exact: two vectors at a cosine
-of 0.95 share the pivots asked for with a chance of about 0.99 (64 dimensions),
+of 0.95 share the pivots asked for with a chance of 0.95 to 0.99 (64 dimensions),
 at 0.98 with 0.999.
 
 Defined cases: a vector that is null, empty, zero or holds null or non-finite
@@ -54,7 +54,7 @@ class Index(NamedTuple):
 
 
 #: The index for up to so many distinct vectors.
-LEVELS = ((20_000, Index(512, 8, 3)), (1_000_000, Index(2048, 8, 3)), (30_000_000, Index(4096, 10, 4)), (1 << 62, Index(8192, 10, 4)))
+LEVELS = ((20_000, Index(512, 8, 3)), (1_000_000, Index(2048, 8, 3)), (30_000_000, Index(4096, 10, 4)), (1 << 62, Index(8192, 11, 4)))
 #: Sampled vectors for each pivot, and the cosine from which two are too near to be pivots both.
 SAMPLE, APART = 2, 0.8
 #: Members of a list, or of a block of it, that are compared in one go.

@@ -138,6 +138,9 @@ def stretches(code: np.ndarray, first: np.ndarray, rule: Rule = Rule()) -> Itera
     ``code`` numbers the words, differently in each document; ``first`` has
     each document's first place and then the number of words.
     """
+    if rule.powers < 3:  # such runs may be shorter than three words
+        yield from ((a, b) for a, b in zip(first[:-1].tolist(), first[1:].tolist(), strict=True) if a < b)
+        return
     least = max(rule.least, rule.powers)
     often = np.bincount(code, minlength=1)[code] >= rule.powers
     at = np.flatnonzero(often[:-2] & often[1:-1] & often[2:]) if len(code) > 2 else np.empty(0, np.int64)
