@@ -367,7 +367,8 @@ def op11_cascading_erasure(spark: SparkSession, sf_dir: str) -> DataFrame:
     scratch = Scratch(spark, "erasure")
     folder = f"{shared_dir(spark)}/wirelens/erased-{uuid.uuid4().hex}"
     rows = {name: table(spark, sf_dir, name) for name in MONEY}
-    owner = rows["sales"].where("sale_id is not null").groupBy("sale_id").agg(F.min("client_id").alias("client_id")).repartition("sale_id")
+    owner = rows["sales"].where("sale_id is not null").groupBy("sale_id").agg(F.min("client_id").alias("client_id"))
+    owner = scratch.table(owner, "owners")  # both sides of the join then come from files, and Spark can split a sale of very many lines
     lines = rows["sale_lines"]
     (theirs,) = fresh(lines.columns, "client_id")
     owned = rows | {"sale_lines": lines.join(owner.withColumnRenamed("client_id", theirs), "sale_id", "left")}
