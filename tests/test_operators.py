@@ -41,37 +41,6 @@ def test_fold_equals_a_plain_loop(spark):
     assert sorted((x["title"], x["confidence"], x["reasoning"], x["stage"]) for x in got) == sorted((x[1], x[4], x[5], x[6]) for x in reps)
 
 
-def test_a_task_matches_as_the_columns_do(spark):
-    r = random.Random(7)
-    targets = ["Water Pumps", "Acme Tech", "WP", "wpx systems", "ACME", "Industrial Division", "Steel", "steel works", "Contin Unit", "Conti parts", "", None, "Valve", "Valves & Co", "É du Nord"]
-    sellers = ["Acme Holdings", "Acme", "Continental", "Steel Corp", "Holdings", "", None, "N/A", "Nord"]
-    names = list(itertools.product(targets, sellers))
-    pairs = [(*r.choice(names), *r.choice(names)) for _ in range(3000)]
-    df = spark.createDataFrame([(i, *p) for i, p in enumerate(pairs)], "i int, a string, s string, b string, t string")
-    df = df.select("i", text.profile(F.col("a"), F.col("s")).alias("p"), text.profile(F.col("b"), F.col("t")).alias("q"), text.deals_match(F.col("a"), F.col("s"), F.col("b"), F.col("t")).alias("m"))
-    rows = df.collect()
-    assert 100 < sum(x["m"] for x in rows) < 2900
-    for x in rows:
-        assert dedup._Name(x["p"].asDict()).same_deal(dedup._Name(x["q"].asDict())) == x["m"], pairs[x["i"]]
-
-
-def test_seller_blocks(spark, tmp_path):
-    """Sellers linked through shared tokens are one block; a stage with a nameless seller is a single block; folding by blocks changes nothing."""
-    from wirelens.plans.scan import Workspace
-
-    work = Workspace(spark, str(tmp_path))
-    r = random.Random(2)
-    sellers = ["Acme Water", "Water Rotor", "Rotor Blades", "Steel Valve", "Valve", "Quartz", "Holdings"]
-    rows = [(i, f"t{i}", r.choice(["Pumps", "Pumps unit", "Steel Valves", "Quartz mine"]), r.choice(sellers if s == "closing" else sellers[:6]), r.randint(0, 9), "", s) for i in range(80) for s in [r.choice(["signing", "closing", None])]]
-    df = spark.createDataFrame(rows, "ord long, title string, target string, seller string, confidence int, reasoning string, stage string")
-    got = dedup.seller_blocks(df, work.keep)
-    assert got.count() == 80 and got.columns == [*df.columns, "deal_block"]
-    block = {(x["stage"], x["seller"]): x["deal_block"] for x in got.collect()}
-    assert len({block["signing", s] for s in sellers[:3]}) == 1 and len({block["signing", s] for s in sellers[:6]}) == 3 and {v for (s, _), v in block.items() if s == "closing"} == {""}
-    plain = lambda folded: sorted((x["ord"], x["reasoning"]) for x in folded.collect())
-    assert plain(dedup.fold_repeats(got, ["stage", "deal_block"])) == plain(dedup.fold_repeats(df, ["stage"]))
-
-
 def test_errors_table_takes_a_run(spark):
     from wirelens import schemas
     from wirelens.operators import state

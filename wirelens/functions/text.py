@@ -10,6 +10,10 @@ from pyspark.sql import functions as F
 from .constants import BODY_WORDS, MAX_CHARS, MAX_WORDS, STOP_TOKENS
 
 
+def _stop_words() -> Column:
+    return F.expr("array(" + ", ".join(f"'{w}'" for w in STOP_TOKENS) + ")")
+
+
 def strip(c: Column) -> Column:
     return F.regexp_replace(c, r"^\s+|\s+$", "")
 
@@ -22,17 +26,29 @@ def norm(c: Column) -> Column:
 
 def words(c: Column) -> Column:
     """Normalized words longer than one character."""
-    return F.filter(F.split(norm(c), " "), lambda t: F.length(t) > 1)
+    return _words(norm(c))
+
+
+def _words(n: Column) -> Column:
+    return F.filter(F.split(n, " "), lambda t: F.length(t) > 1)
 
 
 def tokens(c: Column) -> Column:
     """Distinct words that are no stop words."""
-    return F.array_distinct(F.array_except(words(c), F.array(*map(F.lit, STOP_TOKENS))))
+    return _tokens(norm(c))
+
+
+def _tokens(n: Column) -> Column:
+    return F.array_distinct(F.array_except(_words(n), _stop_words()))
 
 
 def acronym(c: Column) -> Column:
     """Initials of two words or more, stop words included; else empty."""
-    w = words(c)
+    return _acronym(norm(c))
+
+
+def _acronym(n: Column) -> Column:
+    w = _words(n)
     return F.when(F.size(w) >= 2, F.array_join(F.transform(w, lambda t: F.left(t, F.lit(1))), "")).otherwise("")
 
 
@@ -50,14 +66,18 @@ def _any(parts: list[Column]) -> Column:
 
 def profile(target: Column, seller: Column) -> Column:
     """What matching needs of a deal's names, computed once a row."""
-    n, s = norm(target), norm(seller)
+    return profile_of(norm(target), norm(seller))
+
+
+def profile_of(n: Column, s: Column) -> Column:
+    """The profile of names that are normalized."""
     return F.struct(
-        n.alias("name"), tokens(target).alias("tokens"), acronym(target).alias("acronym"), F.regexp_replace(n, r"[^\p{L}\p{N}_]", "").alias("solid"),
-        s.alias("seller"), tokens(seller).alias("seller_tokens"), F.array_except(tokens(target), tokens(seller)).alias("own"), _less(_less(n, s), s).alias("bare"),
+        n.alias("name"), _tokens(n).alias("tokens"), _acronym(n).alias("acronym"), F.regexp_replace(n, r"[^\p{L}\p{N}_]", "").alias("solid"),
+        s.alias("seller"), _tokens(s).alias("seller_tokens"), F.array_except(_tokens(n), _tokens(s)).alias("own"), less(less(n, s), s).alias("bare"),
     )
 
 
-def _less(name: Column, seller: Column) -> Column:
+def less(name: Column, seller: Column) -> Column:
     """A name without a seller's."""
     return F.when(seller == "", name).otherwise(F.trim(F.replace(name, seller, F.lit(""))))
 
@@ -76,7 +96,7 @@ def same_target(a: Column, b: Column) -> Column:
 
         return F.exists(F.array(F.size(F.array_intersect(x["a"], x["b"]))), rule)
 
-    without = lambda n: _less(_less(n, a["seller"]), b["seller"])
+    without = lambda n: less(less(n, a["seller"]), b["seller"])
     bare = F.array(F.when(one, F.struct(a["bare"].alias("a"), b["bare"].alias("b"))).otherwise(F.struct(without(a["name"]).alias("a"), without(b["name"]).alias("b"))))
     contained = F.exists(bare, lambda x: (x["a"] != "") & (x["b"] != "") & (x["b"].contains(x["a"]) | x["a"].contains(x["b"])))
     prefix = _any([(F.length(s) >= 5) & F.startswith(a["name"], F.left(s, F.lit(4))) & F.startswith(b["name"], F.left(s, F.lit(4))) for s in (a["seller"], b["seller"])])

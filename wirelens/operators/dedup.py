@@ -2,13 +2,16 @@
 
 from __future__ import annotations
 
+import bisect
 import itertools
-from collections.abc import Callable
 
-from pyspark.sql import Column, DataFrame
+import pyarrow as pa
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from ..functions import text
+from ..workspace import Keep, Workspace
+from . import matching
 
 def keep_first(df: DataFrame, keys: list[str], order: list[str]) -> DataFrame:
     """The first row of each key in the given order: one aggregation, combined before the exchange."""
@@ -27,135 +30,146 @@ def named(target: Column, seller: Column) -> Column:
     return (text.strip(F.coalesce(target, F.lit(""))) != "") & (s != "") & (s != "N/A") & (s != "UNKNOWN")
 
 
-def unseen_deals(deals: DataFrame, seen: DataFrame) -> DataFrame:
-    """Deals that match no earlier deal of their stage.
+def unseen_deals(deals: DataFrame, seen: DataFrame, keep: Keep | None = None) -> DataFrame:
+    """Deals that match no earlier deal of their stage; both have target, seller and stage.
 
-    Both have target, seller and stage; each distinct triple is matched once.
-    Two sellers that both have tokens must share one, so such pairs meet by
-    (stage, seller token).  Only sides without seller tokens meet by stage.
+    Each distinct name is matched once (matching.matches).  A null stage matches none.
     """
-    names = ["target", "seller", "stage"]
-    d = deals.where(named(F.col("target"), F.col("seller"))).select(*names).distinct()
-    d = d.select(F.struct(*names).alias("k"), F.lower("stage").alias("st"), text.profile(F.col("target"), F.col("seller")).alias("p"))
-    e = seen.select(text.norm(F.col("target")).alias("t"), text.norm(F.col("seller")).alias("s"), F.lower("stage").alias("st")).distinct().select("st", text.profile(F.col("t"), F.col("s")).alias("q"))
-    same = text.same_deal(F.col("p"), F.col("q"))
-    by_token = d.withColumn("tok", F.explode("p.seller_tokens")).join(e.withColumn("tok", F.explode("q.seller_tokens")), ["st", "tok"]).where(same).select("k")
-    loose_d = d.where(F.size("p.seller_tokens") == 0).join(e, "st").where(same).select("k")
-    loose_e = d.where(F.size("p.seller_tokens") > 0).join(e.where(F.size("q.seller_tokens") == 0), "st").where(same).select("k")
-    hit = by_token.unionAll(loose_d).unionAll(loose_e).distinct().select("k.*")
-    return deals.join(hit, names, "left_anti").select(*deals.columns)
+    keep = keep or Workspace.new(deals.sparkSession, "unseen").keep
+    target, seller, stage = F.col("target"), F.col("seller"), F.lower("stage")
+    new = deals.where(named(target, seller) & stage.isNotNull()).select(text.norm(target).alias("name"), text.norm(seller).alias("seller"), stage.alias("st"))
+    # the state's names are normalized when they are stored and once more when they are read
+    old = seen.where(stage.isNotNull()).select(text.norm(text.norm(target)).alias("name"), text.norm(text.norm(seller)).alias("seller"), stage.alias("st"))
+    one, two = (keep(matching.profiles(d), f"{name}-profiles") for name, d in (("new", new), ("old", old)))
+    hit = matching.matches(one, two, keep=keep).select(F.col("l").alias("deal")).distinct()
+    own = F.when(named(target, seller), matching.profile_id(text.norm(target), text.norm(seller), stage))
+    return deals.withColumn("deal", own).join(hit, "deal", "left_anti").select(*[deals[c] for c in deals.columns])
+
+
+#: A block up to so many rows and matches is folded by a task.
+FOLD_ROWS, FOLD_MATCHES = 100_000, 3_000_000
+
+
+def _fold(rows: pa.Table, edges: pa.Table) -> pa.Table:
+    """The sequential fold of a block of bounded size: the group, named by its founder, of each row (ord, id, confidence)."""
+    rows = rows.sort_by("ord")
+    names: dict[str, int] = {}
+    into: list[set[int]] = []  # what a name may join
+    for name in rows.column("id").to_pylist():
+        if names.setdefault(name, len(into)) == len(into):
+            into.append({len(into)})
+    for a, b in zip(edges.column("l").to_pylist(), edges.column("r").to_pylist(), strict=True):
+        into[names[b]].add(names[a])
+    led: list[list[int]] = [[] for _ in into]  # groups by the name that represents them
+    best: dict[int, tuple[int, int | None]] = {}  # in the order of their beginning
+    groups = []
+    for at, name, confidence in zip(*(rows.column(c).to_pylist() for c in ("ord", "id", "confidence")), strict=True):
+        n = names[name]
+        near = into[n]
+        if len(best) <= len(near):
+            group = next((g for g, (rep, _) in best.items() if rep in near), at)
+        else:
+            group = min((led[rep][0] for rep in near if led[rep]), default=at)
+        groups.append(group)
+        old, most = best.setdefault(group, (n, confidence))
+        if group == at:
+            led[n].append(at)
+        elif confidence is not None and most is not None and confidence > most:
+            best[group] = (n, confidence)
+            led[old].remove(group)
+            bisect.insort(led[n], group)
+    return pa.table({"ord": rows.column("ord"), "grp": pa.array(groups, pa.int64())})
+
+
+def _leaders(state: DataFrame) -> DataFrame:
+    """(ord, id, grp, until) of the rows that represent their group for a time: until the row ``until`` comes, which replaces them.
+
+    A row with more confidence than all before it replaces them; of equal ones
+    the first counts; without confidence none replaces or is replaced.  A group
+    has one row for each confidence here, so no window takes all its members.
+    """
+    first = state.groupBy("grp", "confidence").agg(F.min("ord").alias("ord"), F.min_by("id", "ord").alias("id"))
+    stuck = first.where("confidence is null and ord = grp").select("ord", "id", "grp", F.lit(None).cast("long").alias("until"))
+    above = Window.partitionBy("grp").orderBy(F.desc("confidence")).rowsBetween(Window.unboundedPreceding, -1)
+    rising = first.where("confidence is not null").withColumn("until", F.min("ord").over(above)).where("until is null or ord < until")
+    return rising.join(stuck.select("grp"), "grp", "left_anti").select("ord", "id", "grp", "until").unionAll(stuck)
 
 
-_OWN = ("ord", "title", "target", "seller", "confidence", "reasoning")
-_PROFILE = ("name", "tokens", "acronym", "solid", "seller", "seller_tokens")
-
-
-class _Name:
-    """A deal's profile in a task: what text.same_deal reads."""
-
-    def __init__(self, p: dict):
-        self.name, self.acronym, self.solid, self.seller = p["name"], p["acronym"], p["solid"], p["seller"]
-        self.tokens, self.sold = frozenset(p["tokens"]), frozenset(p["seller_tokens"])
-
-    def bare(self, sellers: tuple[str, str]) -> str:
-        n = self.name
-        for s in sellers:
-            n = n.replace(s, "").strip(" ") if s else n
-        return n
-
-    def short_for(self, o: _Name) -> bool:
-        return self.acronym != "" and (o.solid.startswith(self.acronym) or self.acronym in o.tokens)
-
-    def same_deal(self, o: _Name) -> bool:
-        """text.same_deal, over two profiles."""
-        shared = self.sold & o.sold
-        if self.sold and o.sold and not shared:
-            return False
-        if self.name == o.name or self.acronym != "" and self.acronym == o.acronym or self.short_for(o) or o.short_for(self):
-            return True
-        if any(len(s) >= 5 and self.name.startswith(s[:4]) and o.name.startswith(s[:4]) for s in (self.seller, o.seller)):
-            return True
-        mine, theirs = self.tokens - self.sold - o.sold, o.tokens - self.sold - o.sold
-        common = len(mine & theirs)
-        if common >= 2 or common and 2 * common >= len(mine | theirs) or shared and not (mine and theirs):
-            return True
-        a, b = self.bare((self.seller, o.seller)), o.bare((self.seller, o.seller))
-        return a != "" and b != "" and (a in b or b in a)
-
-
-def _fold(schema):
-    import pyarrow as pa
-
-    def run(block: pa.Table) -> pa.Table:
-        reps: list[tuple[dict, _Name]] = []
-        seen: dict[tuple, int] = {}  # profile -> the representative that it joined; holds until one is replaced by another profile
-        for row in block.sort_by("ord").to_pylist():
-            new = _Name(row["p"])
-            key = (new.name, new.seller)
-            at = seen[key] if key in seen else next((i for i, (_, r) in enumerate(reps) if r.same_deal(new)), None)
-            if at is None:
-                seen[key] = len(reps)
-                reps.append((row, new))
-                continue
-            seen[key] = at
-            rep, old = reps[at]
-            more = row["confidence"] is not None and rep["confidence"] is not None and row["confidence"] > rep["confidence"]
-            first, other = (row, rep) if more else (rep, row)
-            first["reasoning"] = f"{first['reasoning'] or ''}\n[Also: {other['title'] or ''}]"
-            if more:
-                reps[at] = (row, new)
-                if (old.name, old.seller) != key:
-                    seen.clear()
-        out = [r | {"place": i} for i, (r, _) in enumerate(reps)]
-        return pa.Table.from_pylist([{n: r[n] for n in schema.names} for r in out], schema=schema)
-
-    return run
-
-
-def fold_repeats(alerts: DataFrame, block: list[str], order: str = "ord") -> DataFrame:
-    """Greedy fold in order: an alert joins the first representative of its block that it matches.
+def _fold_in_rounds(rows: DataFrame, edges: DataFrame, keep: Keep) -> DataFrame:
+    """The same fold for rows (ord, id, confidence) of any number: (ord, grp).
 
-    The more confident one represents (a tie keeps the earlier), with a note
-    on the other's title; a replaced one's own notes go with it.  ``block``
-    holds stage, and may hold more columns where different values never match
-    (seller_blocks gives one).  A block is folded in one task, as the result
-    depends on the order; profiles are made by native columns before.  Needs
-    ord (unique), title, target, seller, confidence, reasoning and the block's.
+    Each round places every row at once, among the representatives that the
+    round before left: in the first group whose representative of the row's
+    moment it matches, or in one of its own.  A row is right once all that it
+    depends on, which is earlier, was right in the round before, so what does
+    not change any more is the result of the plain loop.
     """
-    from pyspark.sql.pandas.types import to_arrow_schema
-
-    fields = [F.col(order).cast("long").alias("ord"), "title", "target", "seller", F.col("confidence").cast("int").alias("confidence"), "reasoning", text.profile(F.col("target"), F.col("seller")).alias("p")]
-    ready = alerts.select(*[F.col(b).alias(f"block_{i}") for i, b in enumerate(block)], *fields)
-    keys = [f"block_{i}" for i in range(len(block))]
-    out = ready.drop("p").withColumn("place", F.lit(0)).schema
-    folded = ready.groupBy(*keys).applyInArrow(_fold(to_arrow_schema(out)), out)
-    named_ = [F.col(f"block_{i}").alias(b) for i, b in enumerate(block) if b not in _OWN]
-    return folded.select(*named_, "place", *_OWN)
+    own = rows.select(F.col("id").alias("l"), F.col("id").alias("r")).distinct()
+    edges = keep(edges.select("l", "r").unionAll(own), "fold-edges")
+    leaders = rows.groupBy("id").agg(F.min("ord").alias("ord")).select("ord", "id", F.col("ord").alias("grp"), F.lit(None).cast("long").alias("until"))
+    before = None
+    for k in itertools.count(1):
+        offers = leaders.withColumnRenamed("id", "l").join(edges, "l").select("r", F.col("ord").alias("since"), "grp", "until")
+        # a group that stays open to a name hides all later groups from then on
+        lasting = offers.where("until is null").groupBy("r").agg(F.min(F.struct("grp", "since")).alias("m")).select("r", F.col("m.grp").alias("g"), F.col("m.since").alias("s"))
+        offers = offers.join(lasting, "r", "left").where("g is null or grp <= g or since < s").select(F.col("r").alias("id"), "since", "grp", "until")
+        met = rows.join(offers, "id").where("since < ord and (until is null or until >= ord)").groupBy("ord").agg(F.min("grp").alias("grp"))
+        state = keep(rows.join(met, "ord", "left").select("ord", "id", "confidence", F.coalesce("grp", "ord").alias("grp")), f"fold-{k}")
+        now = state.agg(F.sum(F.xxhash64("ord", "grp").cast("decimal(38,0)"))).first()[0]
+        if now == before:
+            return state.select("ord", "grp")
+        before, leaders = now, _leaders(state)
 
 
-def seller_blocks(alerts: DataFrame, keep: Callable[[DataFrame, str], DataFrame]) -> DataFrame:
-    """Adds deal_block: alerts of one stage and different blocks never match.
+def fold_repeats(alerts: DataFrame, block: list[str], order: str = "ord", keep: Keep | None = None) -> DataFrame:
+    """Greedy fold in order: an alert joins the first representative of its block (equal columns) that it matches.
 
-    Sellers that share a token, directly or through others, are in one block:
-    the block is the least token that can be reached, found by passing least
-    tokens along shared ones until nothing changes.  A seller without tokens
-    can match any, so a stage that has one is a single block.  ``keep`` writes
-    a table and reads it back.
+    The more confident one represents (a tie keeps the earlier), with a note
+    on the other's title; a replaced one's own notes go with it.  Needs ord
+    (unique), title, target, seller, confidence, reasoning and the block's;
+    ``place`` orders the results as the groups began.
+
+    Which names match comes from a join of distinct names.  Rows that share
+    their block and their seller's most frequent token are folded in a task
+    where no match leads out of them and they are few; all others in rounds
+    over the whole table.  ``keep`` writes a table and reads it back.
     """
-    stage = F.coalesce("stage", F.lit(""))
-    rows = alerts.withColumns({"block_stage": stage, "block_toks": F.array_sort(text.tokens(F.col("seller")))})
-    sets = rows.select("block_stage", "block_toks").distinct()
-    loose = sets.where(F.size("block_toks") == 0).select("block_stage").distinct().withColumn("loose", F.lit(True))
-    edges = keep(sets.where(F.size("block_toks") > 0).select("block_stage", F.xxhash64("block_toks").alias("sid"), F.explode("block_toks").alias("tok")), "seller-sets")
-    low = keep(edges.select("block_stage", "tok").distinct().withColumn("low", F.col("tok")), "seller-0")
-    state = None
-    for k in itertools.count(1):
-        of_set = edges.join(low, ["block_stage", "tok"]).groupBy("block_stage", "sid").agg(F.min("low").alias("low"))
-        low = keep(edges.join(of_set, ["block_stage", "sid"]).groupBy("block_stage", "tok").agg(F.min("low").alias("low")), f"seller-{k}")
-        now = low.agg(F.sum(F.xxhash64("block_stage", "tok", "low").cast("decimal(38,0)"))).first()[0]
-        if now == state:
-            break
-        state = now
-    found = rows.withColumn("tok", F.get("block_toks", F.lit(0))).join(low, ["block_stage", "tok"], "left").join(loose, "block_stage", "left")
-    block = F.when(F.col("loose").isNotNull(), F.lit("")).otherwise(F.col("low"))
-    return found.select(*alerts.columns, block.alias("deal_block"))
+    keep = keep or Workspace.new(alerts.sparkSession, "fold").keep
+    st = F.concat_ws("\x01", *[F.coalesce(F.col(b).cast("string"), F.lit("\x02")) for b in block])
+    name, seller = text.norm(F.col("target")), text.norm(F.col("seller"))
+    held = alerts.select(F.col(order).cast("long").alias("ord"), "title", "target", "seller", F.col("confidence").cast("int").alias("confidence"), "reasoning", *[b for b in block if b not in _OWN], name.alias("fold_name"), seller.alias("fold_seller"), st.alias("fold_st"))
+    held = keep(held.withColumn("fold_id", matching.profile_id(F.col("fold_name"), F.col("fold_seller"), F.col("fold_st"))), "fold-rows")
+    known = keep(matching.profiles(held.select(F.col("fold_name").alias("name"), F.col("fold_seller").alias("seller"), F.col("fold_st").alias("st"))), "fold-profiles")
+    edges = keep(matching.matches(known, keep=keep), "fold-matches")
+    rows = held.select("ord", F.col("fold_id").alias("id"), "confidence")
+    words = known.select("id", "st", F.explode_outer("p.seller_tokens").alias("tok"))
+    often = words.join(words.groupBy("st", "tok").agg(F.count("*").alias("n")), ["st", "tok"])
+    home = keep(words.select("id", "st").distinct().join(often.groupBy("id").agg(F.max(F.struct("n", "tok")).alias("m")), "id", "left").select("id", F.concat_ws("\x01", "st", "m.tok").alias("home")), "fold-homes")
+    at = lambda end: home.select(F.col("id").alias(end), F.col("home").alias(f"home_{end}"))
+    placed = edges.join(at("l"), "l").join(at("r"), "r")
+    ends = placed.select(F.explode(F.array("home_l", "home_r")).alias("home"), (F.col("home_l") != F.col("home_r")).alias("out"))
+    many = ends.groupBy("home").agg(F.count("*").alias("n"), F.max("out").alias("out")).where(F.col("out") | (F.col("n") > 2 * FOLD_MATCHES)).select("home")
+    sizes = rows.groupBy("id").agg(F.count("*").alias("n")).join(home, "id").groupBy("home").agg(F.sum("n").alias("n"))
+    closed = keep(sizes.where(F.col("n") <= FOLD_ROWS).join(many, "home", "left_anti").select("home"), "fold-closed")
+    mine = rows.join(home.join(closed, "home", "left_semi"), "id")
+    theirs = placed.join(closed, placed["home_r"] == closed["home"], "left_semi").select(F.col("home_r").alias("home"), "l", "r")
+    small = mine.groupBy("home").cogroup(theirs.groupBy("home")).applyInArrow(_fold, "ord long, grp long")
+    open_ids = home.join(closed, "home", "left_anti").select("id")
+    large = keep(rows.join(open_ids, "id", "left_semi"), "fold-open")
+    groups = small
+    if not large.isEmpty():
+        groups = small.unionAll(_fold_in_rounds(large, edges.join(open_ids, edges["r"] == open_ids["id"], "left_semi"), keep))
+    state = keep(rows.join(groups, "ord"), "fold-groups")
+    leaders = _leaders(state)
+    last = leaders.where("until is null").select("grp", F.col("ord").alias("last"))
+    before = leaders.where("until is not null").groupBy("grp").agg(F.max("ord").alias("before"))
+    ends = keep(last.join(before, "grp", "left"), "fold-ends")
+    noted = state.join(ends, "grp").where("ord > last or ord = before").select("ord", "grp")
+    titles = noted.join(held.select("ord", "title"), "ord").groupBy("grp").agg(F.array_sort(F.collect_list(F.struct("ord", F.coalesce("title", F.lit("")).alias("title")))).alias("t"))
+    notes = titles.select("grp", F.array_join(F.transform("t", lambda t: F.concat(F.lit("\n[Also: "), t["title"], F.lit("]"))), "").alias("notes"))
+    out = held.join(ends.select(F.col("last").alias("ord"), "grp"), "ord").join(notes, "grp", "left")
+    reasoning = F.when(F.col("notes").isNotNull(), F.concat(F.coalesce("reasoning", F.lit("")), "notes")).otherwise(F.col("reasoning"))
+    return out.withColumn("reasoning", reasoning).select(*[b for b in block if b not in _OWN], F.col("grp").alias("place"), *_OWN)
+
+
+_OWN = ("ord", "title", "target", "seller", "confidence", "reasoning")

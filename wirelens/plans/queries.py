@@ -10,8 +10,9 @@ from pyspark.sql import types as T
 
 from ..functions import dates, html, model_json, scoring, text
 from ..functions.constants import CLASSIFY_BATCH
-from ..operators import dedup, discovery, feedback, filters, model_stage, sink, state
+from ..operators import dedup, discovery, feedback, filters, matching, model_stage, sink, state
 from ..sources import tables
+from ..workspace import Workspace
 
 AS_OF = "2024-01-31 00:00:00"
 Read = Callable[[str], DataFrame]
@@ -197,11 +198,17 @@ def token_jaccard_pairs(t):
 
 @query
 def targets_match_pairs(t):
-    """Distinct targets of a seller and stage that match: a count for each.  The rules include plain containment, so a block's targets meet pairwise."""
-    d = deals(t).select("seller", "stage", "target").distinct().select("*", text.profile(F.col("target"), F.col("seller")).alias("p"))
-    side = lambda n: d.select("seller", "stage", F.col("target").alias(f"t{n}"), F.col("p").alias(f"p{n}"))
-    hit = side(1).join(side(2), ["seller", "stage"]).where(F.col("t1") != F.col("t2")).where(text.same_target(F.col("p1"), F.col("p2")))
-    return hit.groupBy("seller", "stage", F.col("t1").alias("target")).agg(F.count("*").alias("n"))
+    """Distinct targets of a seller and stage that match: a count for each, over the pairs of the containment join."""
+    d = deals(t).select("seller", "stage", "target").distinct()
+    name, seller, st = text.norm(F.col("target")), text.norm(F.col("seller")), F.lower("stage")
+    d = d.withColumn("id", matching.profile_id(name, seller, st))
+    keep = Workspace.new(d.sparkSession, "targets").keep
+    known = keep(matching.profiles(d.select(name.alias("name"), seller.alias("seller"), st.alias("st"))), "profiles")
+    pairs = matching.matches(known, rule=lambda p, q: (p["seller"] == q["seller"]) & text.same_target(p, q), keep=keep)
+    forms = d.groupBy("id").agg(F.count("*").alias("forms"))
+    others = pairs.join(forms.withColumnRenamed("id", "r"), "r").groupBy(F.col("l").alias("id")).agg(F.sum("forms").alias("others"))
+    n = (F.coalesce("others", F.lit(0)) + F.col("forms") - 1).alias("n")  # forms of one name match each other too
+    return d.join(forms, "id").join(others, "id", "left").select("seller", "stage", "target", n).where("n > 0")
 
 
 @query
@@ -213,8 +220,8 @@ def fuzzy_deal_anti_join(t):
 
 @query
 def greedy_deal_dedup(t):
-    """All deals; brands share no token, so stage and seller are a block."""
-    return dedup.fold_repeats(deals(t), ["stage", "seller"]).select("ord", "stage", "seller", "target", "confidence", "reasoning")
+    """All deals, folded within their stage."""
+    return dedup.fold_repeats(deals(t), ["stage"]).select("ord", "stage", "seller", "target", "confidence", "reasoning")
 
 
 @query

@@ -17,6 +17,7 @@ from .. import schemas
 
 from ..operators import dedup, feedback, filters, model_stage, sink, state
 from ..sources import tables
+from ..workspace import Workspace
 
 
 @dataclass
@@ -41,18 +42,6 @@ class Result:
     written: DataFrame | None = None
 
 
-class Workspace:
-    """Where a run keeps the tables that must not be computed twice."""
-
-    def __init__(self, spark: SparkSession, root: str):
-        self.spark, self.root = spark, root.rstrip("/")
-
-    def keep(self, df: DataFrame, name: str) -> DataFrame:
-        path = f"{self.root}/{name}"
-        df.write.mode("overwrite").parquet(path)
-        return self.spark.read.schema(df.schema).parquet(path)
-
-
 def raw_articles(inputs: Inputs, now: Column, hours: int | None) -> DataFrame:
     """All sources' articles in their order: firm feeds, core feeds, press pages, law firms."""
     parts = [tables.feed_articles(inputs.feeds, now, hours) if inputs.feeds else None, tables.feed_articles(inputs.core, now, hours) if inputs.core else None,
@@ -107,10 +96,10 @@ def scan(
     numbered = model_stage.batches(good, ORDER, 1).withColumnRenamed("batch", "at").drop("pos")
     numbered = work.keep(numbered, "positives")
     rows = numbered.select(F.col("at").alias("ord"), "title", F.col("target_company").alias("target"), "seller", "confidence", "reasoning", "stage")
-    folded = dedup.fold_repeats(dedup.seller_blocks(rows, work.keep), ["stage", "deal_block"]).select(F.col("ord").alias("at"), F.col("reasoning").alias("noted"))
+    folded = dedup.fold_repeats(rows, ["stage"], keep=work.keep).select(F.col("ord").alias("at"), F.col("reasoning").alias("noted"))
     merged = work.keep(numbered.join(folded, "at").withColumn("reasoning", F.col("noted")).drop("noted"), "merged")
     keyed = merged.select("at", F.col("target_company").alias("target"), "seller", F.coalesce("stage", F.lit("unknown")).alias("stage"))
-    new = work.keep(merged.join(dedup.unseen_deals(keyed, kept["seen_deals"]).select("at"), "at", "left_semi"), "unseen-deals")
+    new = work.keep(merged.join(dedup.unseen_deals(keyed, kept["seen_deals"], work.keep).select("at"), "at", "left_semi"), "unseen-deals")
     scored, scores = model_stage.qualify(new, qualify_with, ["at"], work.keep)
     scored = work.keep(scored, "scored")
     todo = filters.actionable(scored)
