@@ -13,7 +13,7 @@ from pyspark.sql import functions as F
 from .functions.constants import SINK_PAUSE
 from .operators import discovery, filters, sink, state
 from .plans import gather, scan as plans
-from .sources import fetch, providers, tables
+from .sources import fetch, outlet, providers, tables
 
 
 def session() -> SparkSession:
@@ -61,14 +61,14 @@ def workspace(spark: SparkSession, path: str | None) -> plans.Workspace:
         if not shared and not spark.sparkContext.master.startswith("local"):
             raise ValueError("--work must name a folder that driver and executors share")
         path = f"{shared.rstrip('/')}/wirelens-news" if shared else "work"
-    return plans.Workspace(spark, path)
+    return plans.Workspace(spark, path, f"{path}/calls")
 
 
 def sender(a: argparse.Namespace, work: plans.Workspace):
     """What takes the documents: the sink that is named, or a folder that takes them all."""
     post = providers.sink(a.sink)
     if post:
-        return lambda documents: fetch.post_rows(documents, post, SINK_PAUSE)
+        return lambda documents: outlet.deliver(documents, post, SINK_PAUSE, f"{work.root}/delivered")
 
     def to_folder(documents):
         documents.write.mode("append").json(f"{work.root}/sink")

@@ -49,15 +49,19 @@ def containing(small: DataFrame, big: DataFrame) -> DataFrame:
     A string is looked up under the one of its entries that the fewest strings
     of the block have; one with an entry that none has is in none.
     """
-    small, big = (d.where("s <> ''").select("block", "s").distinct() for d in (small, big))
-    listed = big.select("block", F.col("s").alias("big"), F.explode(_sub(F.col("s"), GRAM)).alias("gram"))
-    own = small.where(F.length("s") >= GRAM).select("block", "s", F.explode(_sub(F.col("s"), GRAM)).alias("gram"))
-    rare = own.join(listed.groupBy("block", "gram").agg(F.count("*").alias("n")), ["block", "gram"], "left")
-    rare = rare.groupBy("block", "s").agg(F.min(F.struct(F.coalesce("n", F.lit(0)).alias("n"), "gram")).alias("r")).where("r.n > 0").select("block", F.col("s").alias("small"), F.col("r.gram").alias("gram"))
-    found = rare.join(listed, ["block", "gram"]).where(F.contains("big", "small")).select("block", "small", "big")
-    short = small.where(F.length("s") < GRAM).select("block", F.col("s").alias("small"))
-    tiny = big.join(short.select("block").distinct(), "block", "left_semi").select("block", F.col("s").alias("big"), F.explode(F.flatten(F.array(*[_sub(F.col("s"), n) for n in range(1, GRAM)]))).alias("small"))
-    return found.unionAll(tiny.join(short, ["block", "small"]).select("block", "small", "big"))
+    small, big = (d.where("s <> ''").select(F.xxhash64("block", "s").alias("i"), "block", "s").distinct() for d in (small, big))
+    # entries and strings go about as hashes; strings come back to the few pairs that are found
+    entries = lambda d, *lists: d.select("i", F.explode(F.concat(*lists)).alias("gram"), "block").select("i", F.xxhash64("block", "gram").alias("g"))
+    listed = entries(big, _sub(F.col("s"), GRAM)).withColumnRenamed("i", "b")
+    own = entries(small.where(F.length("s") >= GRAM), _sub(F.col("s"), GRAM))
+    rare = own.join(listed.groupBy("g").agg(F.count("*").alias("n")), "g", "left")
+    rare = rare.groupBy("i").agg(F.min(F.struct(F.coalesce("n", F.lit(0)).alias("n"), "g")).alias("r")).where("r.n > 0").select("i", F.col("r.g").alias("g"))
+    short = small.where(F.length("s") < GRAM)
+    tiny = big.join(short.select("block").distinct(), "block", "left_semi")
+    tiny = entries(tiny, *[_sub(F.col("s"), n) for n in range(1, GRAM)]).withColumnRenamed("i", "b").join(short.select("i", F.xxhash64("block", "s").alias("g")), "g")
+    met = rare.join(listed, "g").select("i", "b").unionAll(tiny.select("i", "b"))
+    named = met.join(small.select("i", "block", F.col("s").alias("small")), "i").join(big.select(F.col("i").alias("b"), F.col("block").alias("there"), F.col("s").alias("big")), "b")
+    return named.where((F.col("block") == F.col("there")) & F.contains("big", "small")).select("block", "small", "big")
 
 
 def _tagged(tag: str, values: Column) -> Column:

@@ -19,6 +19,7 @@ from pyspark.sql import Window as W
 
 from ..functions import model_json, scoring
 from ..functions.constants import CLASSIFY_BATCH, MODEL_TRIES, QUALIFY_BATCH
+from ..sources.journal import Journal, in_flight, key_of
 
 Provider = Callable[[str, str], tuple[str, int, int]]
 
@@ -82,24 +83,40 @@ def prompts(df: DataFrame, line: Column, head: str) -> DataFrame:
     return df.groupBy("batch").agg(F.count("*").cast("int").alias("n"), F.concat(F.lit(head), F.array_join(F.transform(rows, lambda r: r["line"]), "\n")).alias("prompt"))
 
 
-def ask(asked: DataFrame, provider: Provider, system: str, accept: Callable[[str, int], bool], tries: int = MODEL_TRIES) -> DataFrame:
-    """batch, reply (null after the last try), tokens_in, tokens_out."""
+#: Calls of one task that are under way at once.
+IN_FLIGHT = 4
+
+
+def ask(asked: DataFrame, provider: Provider, system: str, accept: Callable[[str, int], bool], tries: int = MODEL_TRIES, journal: str | None = None, flights: int = IN_FLIGHT) -> DataFrame:
+    """batch, reply (null after the last try), tokens_in, tokens_out.
+
+    ``journal`` names a shared folder in which answered prompts are kept: a
+    task that runs again, or a second run over the same folder, asks only for
+    the others.  An answer is written down as it comes, whatever becomes of the
+    rest of its task.  Of a prompt that is never answered well nothing is kept.
+    """
+
+    def one(row: tuple) -> tuple:
+        batch, n, prompt = row
+        spent = [0, 0]
+
+        def call() -> dict | None:
+            for _ in range(tries):
+                try:
+                    got, a, b = provider(system, prompt)
+                except Exception:  # a provider's fault counts as a failed try
+                    continue
+                spent[0], spent[1] = spent[0] + a, spent[1] + b
+                if accept(got, n):
+                    return {"reply": got, "tokens_in": spent[0], "tokens_out": spent[1]}
+            return None
+
+        got = Journal(journal).once(key_of(system, int(n), prompt), call) if journal else call()
+        return (batch, got["reply"], got["tokens_in"], got["tokens_out"]) if got else (batch, None, *spent)
 
     def run(parts: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for part in parts:
-            rows = []
-            for batch, n, prompt in part[["batch", "n", "prompt"]].itertuples(index=False):
-                reply, used_in, used_out = None, 0, 0
-                for _ in range(tries):
-                    try:
-                        got, a, b = provider(system, prompt)
-                    except Exception:  # a provider's fault counts as a failed try
-                        continue
-                    used_in, used_out = used_in + a, used_out + b
-                    if accept(got, n):
-                        reply = got
-                        break
-                rows.append((batch, reply, used_in, used_out))
+            rows = list(in_flight(one, part[["batch", "n", "prompt"]].itertuples(index=False, name=None), flights))
             yield pd.DataFrame(rows, columns=["batch", "reply", "tokens_in", "tokens_out"])
 
     return asked.mapInPandas(run, "batch long, reply string, tokens_in long, tokens_out long")
@@ -168,20 +185,20 @@ def qualified(df: DataFrame) -> DataFrame:
     return df.withColumns({"fit": fit, **{n: num(n) for n in ("separation_complexity", "pe_buyer", "size", "sector", "geography")}, "pe_firm": F.coalesce(a["pe_firm"], F.lit("")), "recommended_action": action}).drop("answer", "batch", "pos")
 
 
-def classify(articles: DataFrame, provider: Provider | None, order: list[str], keep: Callable[[DataFrame, str], DataFrame]) -> tuple[DataFrame, DataFrame]:
+def classify(articles: DataFrame, provider: Provider | None, order: list[str], keep: Callable[[DataFrame, str], DataFrame], journal: str | None = None) -> tuple[DataFrame, DataFrame]:
     """(alerts, usage); without a provider all rows get defaults.  ``keep`` writes a table and reads it back."""
     rows = keep(batches(articles, order, CLASSIFY_BATCH), "classify-in")
     line = article_line(F.col("pos"), F.col("title"), F.col("summary"))
     asked = prompts(rows, line, "Classify these items:\n")
-    replies = keep(ask(asked, provider, CLASSIFY_SYSTEM, accept_classified) if provider else asked.select("batch", F.lit(None).cast("string").alias("reply"), F.lit(0).cast("long").alias("tokens_in"), F.lit(0).cast("long").alias("tokens_out")), "classify-out")
+    replies = keep(ask(asked, provider, CLASSIFY_SYSTEM, accept_classified, journal=journal) if provider else asked.select("batch", F.lit(None).cast("string").alias("reply"), F.lit(0).cast("long").alias("tokens_in"), F.lit(0).cast("long").alias("tokens_out")), "classify-out")
     return classified(with_answers(rows, replies, model_json.ANSWER)), replies
 
 
-def qualify(alerts: DataFrame, provider: Provider | None, order: list[str], keep: Callable[[DataFrame, str], DataFrame]) -> tuple[DataFrame, DataFrame]:
+def qualify(alerts: DataFrame, provider: Provider | None, order: list[str], keep: Callable[[DataFrame, str], DataFrame], journal: str | None = None) -> tuple[DataFrame, DataFrame]:
     """(qualified alerts, usage)."""
     rows = keep(batches(alerts, order, QUALIFY_BATCH), "qualify-in")
     asked = prompts(rows, deal_line(F.col("pos")), "Score these deals:\n")
-    replies = keep(ask(asked, provider, QUALIFY_SYSTEM, accept_qualified) if provider else asked.select("batch", F.lit(None).cast("string").alias("reply"), F.lit(0).cast("long").alias("tokens_in"), F.lit(0).cast("long").alias("tokens_out")), "qualify-out")
+    replies = keep(ask(asked, provider, QUALIFY_SYSTEM, accept_qualified, journal=journal) if provider else asked.select("batch", F.lit(None).cast("string").alias("reply"), F.lit(0).cast("long").alias("tokens_in"), F.lit(0).cast("long").alias("tokens_out")), "qualify-out")
     return qualified(with_answers(rows, replies, model_json.SCORED)), replies
 
 

@@ -90,7 +90,7 @@ def scan(
     distinct = work.keep(distinct_articles(raw), "distinct")
     fresh = work.keep(dedup.unseen(distinct, kept["seen"]), "new")
     fresh = work.keep(_with_bodies(fresh, inputs), "fresh")
-    alerts, replies = model_stage.classify(fresh, classify_with, ORDER, work.keep)
+    alerts, replies = model_stage.classify(fresh, classify_with, ORDER, work.keep, work.calls)
     alerts = work.keep(alerts, "alerts")
     good = filters.alerts_to_score(alerts)
     numbered = model_stage.batches(good, ORDER, 1).withColumnRenamed("batch", "at").drop("pos")
@@ -100,7 +100,7 @@ def scan(
     merged = work.keep(numbered.join(folded, "at").withColumn("reasoning", F.col("noted")).drop("noted"), "merged")
     keyed = merged.select("at", F.col("target_company").alias("target"), "seller", F.coalesce("stage", F.lit("unknown")).alias("stage"))
     new = work.keep(merged.join(dedup.unseen_deals(keyed, kept["seen_deals"], work.keep).select("at"), "at", "left_semi"), "unseen-deals")
-    scored, scores = model_stage.qualify(new, qualify_with, ["at"], work.keep)
+    scored, scores = model_stage.qualify(new, qualify_with, ["at"], work.keep, work.calls)
     scored = work.keep(scored, "scored")
     todo = filters.actionable(scored)
     documents = work.keep(sink.document(sink.project(todo.drop("ord").withColumnRenamed("at", "ord")), "deals"), "documents")
@@ -130,14 +130,14 @@ def lookback(inputs: Inputs, now: Column, work: Workspace, classify_with=None, d
     raw = parts[0] if len(parts) == 1 else parts[0].unionByName(parts[1])
     rows = distinct_articles(raw)
     rows = work.keep(_with_bodies(work.keep(rows, "new"), inputs), "fresh")
-    alerts, _ = model_stage.classify(rows, classify_with, ORDER, work.keep)
+    alerts, _ = model_stage.classify(rows, classify_with, ORDER, work.keep, work.calls)
     return sink.csv_rows(alerts)
 
 
 def backtest(feeds: DataFrame, now: Column, work: Workspace, classify_with=None) -> DataFrame:
     """Deals found in the feeds as they are, by type: deal_type, n, lines."""
     rows = distinct_articles(raw_articles(Inputs(feeds=feeds), now, None))
-    alerts, _ = model_stage.classify(work.keep(rows, "fresh"), classify_with, ORDER, work.keep)
+    alerts, _ = model_stage.classify(work.keep(rows, "fresh"), classify_with, ORDER, work.keep, work.calls)
     day = F.coalesce(F.date_format("published", "yyyy-MM-dd"), F.lit("no date"))
     line = F.concat(day, F.lit(" "), F.left("title", F.lit(60)), F.lit(" | "), F.col("target_company"), F.lit(" <- "), F.col("seller"), F.lit(" | "), F.coalesce(F.nullif("buyer", F.lit("")), F.lit("?")))
     return alerts.where("deal_type is not null").groupBy("deal_type").agg(F.count("*").alias("n"), F.array_sort(F.collect_list(line)).alias("lines")).orderBy("deal_type")

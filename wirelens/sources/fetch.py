@@ -126,24 +126,6 @@ def rendered(urls: DataFrame, render: Callable[[str], str | None], carry: tuple[
     return kept.repartition(workers(urls.count())).mapInPandas(run, f"{schema}, {LOG}")
 
 
-def post_rows(documents: DataFrame, post: Callable[[str], str | None], pause: float) -> DataFrame:
-    """Sends each document (ord, document) and gives ord, page_id and outcome; one paced task, since the sink takes a few rows a second.
-
-    ``documents`` is a written table, so that the one task holds the sending alone.
-    """
-
-    def run(parts: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        for part in parts:
-            rows = []
-            for at, doc in part[["ord", "document"]].itertuples(index=False):
-                got = post(doc)
-                rows.append((at, got, "written" if got else "error"))
-                time.sleep(pause)
-            yield pd.DataFrame(rows, columns=["ord", "page_id", "outcome"])
-
-    return documents.coalesce(1).mapInPandas(run, "ord long, page_id string, outcome string")
-
-
 def paged(ask: Callable[[dict], dict], size: int = 100) -> Iterator[dict]:
     """Answer pages of a cursor API, one after another, until there are no more; its errors go to the caller."""
     body: dict = {"page_size": size}

@@ -22,10 +22,10 @@ def shared_dir(spark: SparkSession) -> str:
 
 
 class Workspace:
-    """A folder of tables, each written once and read back."""
+    """A folder of tables, each written once and read back; ``calls`` is where a run's calls of a model are kept, if it has any."""
 
-    def __init__(self, spark: SparkSession, root: str):
-        self.spark, self.root = spark, root.rstrip("/")
+    def __init__(self, spark: SparkSession, root: str, calls: str | None = None):
+        self.spark, self.root, self.calls = spark, root.rstrip("/"), calls
 
     @classmethod
     def new(cls, spark: SparkSession, name: str) -> Workspace:
