@@ -80,10 +80,7 @@ def sender(a: argparse.Namespace, work: plans.Workspace):
 def discover(spark: SparkSession, a: argparse.Namespace, work: plans.Workspace, net: gather.Web) -> None:
     firms = tables.firms(spark, a.targets)
     chosen = discovery.select_firm(firms, a.firm) if a.firm else firms.where("feed_url is null")
-    candidates = work.keep(discovery.feed_candidates(chosen, gather.feed_pages(chosen, work, net)), "candidates")
-    got = work.keep(net.fetch(candidates.select("url", F.col("name").alias("firm_name"))), "probed")
-    valid = got.where(F.size(tables.feed_entries(F.col("body"))) > 0).select("url")
-    found = work.keep(discovery.first_valid(candidates, valid), "found")
+    found = work.keep(gather.find_feeds(chosen, work, net), "found")
     discovery.counts(chosen, found).show()
     if a.update:
         tables.write_firms(discovery.fill_urls(firms, found, "feed_url", overwrite=bool(a.firm)), a.targets)

@@ -6,16 +6,18 @@ plans read payloads from it and the state takes its outcomes.
 
 from __future__ import annotations
 
+import time
 from collections.abc import Callable
-from dataclasses import dataclass
+from dataclasses import dataclass, replace
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
-from pyspark.sql import Window as W
 
 from ..functions import html
+from ..functions.constants import FETCH_BUDGET
 from ..operators import discovery, filters, state
 from ..sources import fetch, tables
+from . import frontier
 from .scan import Inputs, Workspace
 
 _PAGE = ("kind", "domain", "route", "seq")
@@ -28,9 +30,14 @@ class Web:
     get: fetch.Get = fetch.http_get
     render: Callable[[str], str | None] | None = None
     unverified: bool = False
+    until: float | None = None
 
     def fetch(self, urls: DataFrame, carry: tuple[str, ...] = ()) -> DataFrame:
-        return fetch.fetch(urls, self.get, self.render, carry, unverified=self.unverified)
+        return fetch.fetch(urls, self.get, self.render, carry, unverified=self.unverified, until=self.until)
+
+    def within(self, seconds: float) -> Web:
+        """The same, with one deadline for all fetches from now on."""
+        return replace(self, until=time.time() + seconds)
 
 
 @dataclass
@@ -43,12 +50,21 @@ class Gathered:
 
 def find_press_pages(firms: DataFrame, work: Workspace, web: Web) -> DataFrame:
     """name and url of firms without a press page: the first path that reads like one; a firm whose host cannot be reached is not tried further."""
-    candidates = work.keep(discovery.press_candidates(firms), "press-candidates")
-    log = work.keep(web.fetch(candidates.select("url", F.col("name").alias("firm_name"), "priority"), ("priority",)), "press-probes")
-    before = W.partitionBy("firm_name").orderBy("priority").rowsBetween(W.unboundedPreceding, 0)
-    lost = F.max(F.coalesce(F.col("error_type").isin("dns", "timeout"), F.lit(False)).cast("int")).over(before)
-    valid = log.withColumn("lost", lost).where("lost = 0 and error_type is null").where(discovery.is_press_page(F.col("body"))).select("url")
-    return discovery.first_valid(candidates, valid)
+    plain = replace(web, render=None)
+    return frontier.probe(discovery.press_candidates(firms), plain.fetch, discovery.is_press_page(F.col("body")), work.keep, "press", ("dns", "timeout"))
+
+
+def find_feeds(firms: DataFrame, work: Workspace, web: Web) -> DataFrame:
+    """name and url of each firm's feed: links of the home page, then of the press page, its own feed, the usual paths; a later page or path is asked for only while no feed is found."""
+    good = F.size(tables.feed_entries(F.col("body"))) > 0
+    left, found = firms, None
+    for k, (page, bounds) in enumerate(((F.concat(F.lit("https://"), F.col("domain")), (0, 100_000)), (F.col("press_url"), (100_000, 200_000)), (None, (200_000, 1 << 31)))):
+        pages = feed_pages(left, page, work, web, f"feed-pages-{k}") if page is not None else firms.sparkSession.createDataFrame([], "url string, body string")
+        candidates = discovery.feed_candidates(left, pages).where((F.col("priority") >= bounds[0]) & (F.col("priority") < bounds[1]))
+        got = work.keep(frontier.probe(candidates, web.fetch, good, work.keep, f"feeds-{k}"), f"feeds-found-{k}")
+        found = got if found is None else found.unionByName(got)
+        left = left.join(got.select("name"), "name", "left_anti")
+    return found
 
 
 def gather(spark: SparkSession, firms: DataFrame, errors: DataFrame, work: Workspace, web: Web, scrape: bool = True, flags: bool = True) -> Gathered:
@@ -58,6 +74,7 @@ def gather(spark: SparkSession, firms: DataFrame, errors: DataFrame, work: Works
     all feeds).  A press page that is refused or has no cards is rendered where
     there is a renderer.
     """
+    web = web.within(FETCH_BUDGET) if web.until is None else web
     routed = filters.route(firms, errors)
     routed = routed if flags else routed.withColumn("route", F.when(F.col("route") == "skip", "plain").otherwise(F.col("route")))
     routed = work.keep(routed.where("route <> 'skip'"), "routed")
@@ -103,9 +120,8 @@ def bodies(work: Workspace, web: Web) -> Callable[[DataFrame], DataFrame]:
     return run
 
 
-def feed_pages(firms: DataFrame, work: Workspace, web: Web) -> DataFrame:
-    """url and body of firms' home and press pages, which may link to feeds."""
-    home = firms.where(F.coalesce("domain", F.lit("")) != "").select(F.col("name").alias("firm_name"), F.concat(F.lit("https://"), F.col("domain")).alias("url"))
-    press = firms.where("press_url is not null").select(F.col("name").alias("firm_name"), F.col("press_url").alias("url"))
-    log = work.keep(web.fetch(home.unionByName(press).dropDuplicates(["url"])), "feed-pages")
+def feed_pages(firms: DataFrame, page: Column, work: Workspace, web: Web, name: str) -> DataFrame:
+    """url and body of firms' pages that may link to feeds."""
+    urls = firms.where((F.coalesce("domain", F.lit("")) != "") & page.isNotNull()).select(F.col("name").alias("firm_name"), page.alias("url"))
+    log = work.keep(web.fetch(urls.dropDuplicates(["url"])), name)
     return log.where("error_type is null").select("url", "body")

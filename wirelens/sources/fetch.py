@@ -15,6 +15,8 @@ from collections.abc import Callable, Iterator
 
 import pandas as pd
 from pyspark.sql import DataFrame
+from pyspark.sql import functions as F
+from pyspark.sql import Window as W
 
 from ..functions.constants import BACKOFF, CONNECT_TRIES, FETCH_BUDGET, FETCH_TIMEOUT
 from ..functions.scoring import workers
@@ -80,25 +82,49 @@ LOG = "status int, body string, error_type string, used_render boolean, tls_fall
 UNFINISHED = "unfinished"
 
 
-def fetch(urls: DataFrame, get: Get = http_get, render=None, carry: tuple[str, ...] = (), budget: float = FETCH_BUDGET, unverified: bool = False) -> DataFrame:
+#: Seconds between two requests to one host.
+HOST_GAP = 0.1
+
+
+def fetch(
+    urls: DataFrame, get: Get = http_get, render=None, carry: tuple[str, ...] = (), budget: float = FETCH_BUDGET, unverified: bool = False, until: float | None = None, gap: float = HOST_GAP,
+) -> DataFrame:
     """A log row for each row of urls (url, firm_name and what is carried); spread over as many tasks as the count asks for.
 
-    Rows that are not begun when the time budget of a task is over are logged
-    as unfinished; what was fetched stays.
+    One deadline holds for all tasks, whenever they start: ``until`` in seconds
+    since 1970, or ``budget`` seconds from this call.  Rows that are not begun
+    by then are logged as unfinished; what was fetched stays.  A host's urls
+    are in one task, which asks its hosts in turns and leaves ``gap`` seconds
+    between two requests to the same one.
     """
+    until = time.time() + budget if until is None else until
     n = workers(urls.count())
     columns = ["url", "firm_name", *carry]
     kept = urls.select(*columns)
+    host = F.lower(F.regexp_extract(F.coalesce("url", F.lit("")), "^[^:/?#]*:?//([^/?#]*)", 1))
+    turn = F.row_number().over(W.partitionBy("ask_host").orderBy("url"))
+    dealt = kept.withColumn("ask_host", host).repartition(n, "ask_host").withColumn("ask_turn", turn).sortWithinPartitions("ask_turn", "ask_host")
 
     def run(parts: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        until = time.monotonic() + budget
         late = {"status": 0, "body": "", "error_type": UNFINISHED, "used_render": False, "tls_fallback": False}
+        asked: dict[str, float] = {}
+
+        def one(url: str, of: str) -> dict:
+            wait = asked.get(of, 0) + gap - time.monotonic()
+            if wait > 0 and time.time() < until:
+                time.sleep(min(wait, max(0, until - time.time())))
+            if time.time() >= until:
+                return late
+            got = fetch_one(url, get, render, unverified)
+            asked[of] = time.monotonic()
+            return got
+
         for part in parts:
-            rows = [fetch_one(u, get, render, unverified) if time.monotonic() < until else late for u in part["url"]]
+            rows = [one(u, h) for u, h in zip(part["url"], part["ask_host"], strict=True)]
             yield pd.concat([part[columns].reset_index(drop=True), pd.DataFrame(rows, columns=list(late))], axis=1)
 
     schema = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in kept.schema)
-    return kept.repartition(n).mapInPandas(run, f"{schema}, {LOG}")
+    return dealt.mapInPandas(run, f"{schema}, {LOG}")
 
 
 def unfinished(log: DataFrame) -> DataFrame:
