@@ -7,7 +7,6 @@ requests are those of a loop that stops there, made for all firms at once.
 
 from __future__ import annotations
 
-import itertools
 from collections.abc import Callable
 from functools import reduce
 
@@ -26,16 +25,16 @@ def probe(candidates: DataFrame, fetch: Callable[[DataFrame, tuple[str, ...]], D
     """
     turn = F.row_number().over(W.partitionBy("name").orderBy("priority", "url"))
     ranked = keep(candidates.select("name", "url", turn.alias("turn")), f"{name}-candidates")
-    logs, done = [], None
-    for k in itertools.count(1):
+    logs: list[DataFrame] = []
+    for k in range(1, (ranked.agg(F.max("turn")).first()[0] or 0) + 1):
         due = ranked.where(F.col("turn") == k).select("url", F.col("name").alias("firm_name"), "turn")
-        due = keep(due if done is None else due.join(done, "firm_name", "left_anti"), f"{name}-due-{k}")
-        if due.isEmpty():
-            break
+        if logs:
+            ended = F.col("good") | F.coalesce(F.col("error_type").isin(*lost), F.lit(False))
+            due = due.join(reduce(DataFrame.unionAll, [log.where(ended).select("firm_name") for log in logs]), "firm_name", "left_anti").select(due.columns)
         log = keep(fetch(due, ("turn",)).withColumn("good", F.col("error_type").isNull() & F.coalesce(good, F.lit(False))), f"{name}-{k}")
+        if log.isEmpty():  # no firm is open
+            break
         logs.append(log)
-        ended = log.where(F.col("good") | F.coalesce(F.col("error_type").isin(*lost), F.lit(False))).select("firm_name")
-        done = keep(ended if done is None else done.unionAll(ended), f"{name}-done-{k}")
     if not logs:
         return ranked.select("name", "url").where("false")
     return reduce(DataFrame.unionByName, logs).where("good").select(F.col("firm_name").alias("name"), "url")
