@@ -78,7 +78,6 @@ STAGES = ("signing", "closing")
 STATE_DAYS = 14
 STATE_BYTES_TO_WARN = 2_000_000
 FETCH_BUDGET = 600  # seconds for all sources of a run
-CORE_HOURS = 168
 MISSES_TO_FLAG = 3
 BODY_WORDS, MAX_WORDS, MAX_CHARS = 50, 1500, 6000
 CLASSIFY_BATCH, QUALIFY_BATCH, MODEL_TRIES, REPLY_TOKENS = 20, 5, 3, 4096
