@@ -1,20 +1,20 @@
 """The incremental scan as Structured Streaming: keyed state replaces the state file.
 
-Urls are dropped where they were seen within the time to live; source errors
-keep a running streak and sticky flags; sinks are idempotent by deal key.
+Urls are dropped where they were seen within the time to live, by event time
+here or by the clock (``keyed.new_rows``); source errors keep a running streak
+and sticky flags (``keyed.error_state``); sinks are idempotent by deal key.
 """
 
 from __future__ import annotations
 
-from collections.abc import Callable, Iterator
+from collections.abc import Callable
 
-import pandas as pd
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
-from pyspark.sql.streaming.state import GroupState, GroupStateTimeout
 
 from ..functions import text
-from ..functions.constants import MISSES_TO_FLAG, STATE_DAYS
+from ..functions.constants import STATE_DAYS
+from .keyed import error_state, new_rows  # noqa: F401
 
 
 def new_articles(articles: DataFrame, event_time: str = "fetched_at", days: int = STATE_DAYS) -> DataFrame:
@@ -22,27 +22,6 @@ def new_articles(articles: DataFrame, event_time: str = "fetched_at", days: int
     return articles.withWatermark(event_time, f"{days} days").dropDuplicatesWithinWatermark(["url"])
 
 
-_STREAK_STATE = "streak int, flagged boolean, render boolean"
-_STREAK_OUT = "firm_name string, consecutive_404s int, needs_url_update boolean, prefer_render boolean, last_outcome string"
-
-
-def error_state(log: DataFrame) -> DataFrame:
-    """For each source that a batch brings: streak, sticky flags and last outcome.  ``log`` has firm_name, outcome and seq, which orders a source's fetches."""
-
-    def step(key: tuple, parts: Iterator[pd.DataFrame], state: GroupState) -> Iterator[pd.DataFrame]:
-        streak, flagged, render = state.get if state.exists else (0, False, False)
-        rows = pd.concat(list(parts)).sort_values("seq", kind="stable")
-        last = None
-        for last in rows["outcome"]:
-            streak = 0 if last == "ok" else streak + (last == "404")
-            flagged = flagged or streak >= MISSES_TO_FLAG
-            render = render or last == "403"
-        state.update((int(streak), bool(flagged), bool(render)))
-        yield pd.DataFrame([(key[0], int(streak), bool(flagged), bool(render), last)], columns=["firm_name", "consecutive_404s", "needs_url_update", "prefer_render", "last_outcome"])
-
-    return log.groupBy("firm_name").applyInPandasWithState(step, _STREAK_OUT, _STREAK_STATE, "update", GroupStateTimeout.NoTimeout)
-
-
 def each_batch(deals_path: str, write: Callable[[DataFrame], None]) -> Callable[[DataFrame, int], None]:
     """A foreachBatch writer that a replayed batch does not repeat: deals already kept under their key are passed over."""
 
@@ -61,6 +40,23 @@ def each_batch(deals_path: str, write: Callable[[DataFrame], None]) -> Callable[
     return run
 
 
+ROCKSDB = "org.apache.spark.sql.execution.streaming.state.RocksDBStateStoreProvider"
+
+
 def run_available(df: DataFrame, checkpoint: str, writer: Callable[[DataFrame, int], None], mode: str = "append"):
-    """Processes all that is available, then stops."""
-    return df.writeStream.outputMode(mode).option("checkpointLocation", checkpoint).trigger(availableNow=True).foreachBatch(writer).start()
+    """Processes all that is available, then stops; state is kept on disk by RocksDB.  The session's own settings stay.
+
+    In update mode no batches without data follow: state that ages by the clock
+    would ask for them for ever.  It ages with the next data instead.
+    """
+    conf, mine = df.sparkSession.conf, {"spark.sql.streaming.stateStore.providerClass": ROCKSDB}
+    if mode == "update":
+        mine["spark.sql.streaming.noDataMicroBatches.enabled"] = "false"
+    before = {k: conf.get(k) for k in mine}
+    try:
+        for k, v in mine.items():  # a query takes the settings that hold when it starts
+            conf.set(k, v)
+        return df.writeStream.outputMode(mode).option("checkpointLocation", checkpoint).trigger(availableNow=True).foreachBatch(writer).start()
+    finally:
+        for k, v in before.items():
+            conf.set(k, v)
