@@ -4,8 +4,8 @@ from __future__ import annotations
 
 import argparse
 import glob
-import json
 import sys
+import uuid
 
 from pyspark.sql import SparkSession
 from pyspark.sql import functions as F
@@ -13,7 +13,7 @@ from pyspark.sql import functions as F
 from .functions.constants import SINK_PAUSE
 from .operators import discovery, filters, sink, state
 from .plans import gather, scan as plans
-from .sources import fetch, outlet, providers, tables
+from .sources import outlet, providers, readers, tables
 
 
 def session() -> SparkSession:
@@ -105,10 +105,10 @@ def main(args: list[str] | None = None) -> int:
         return 0
     if a.command == "feedback":
         if a.pages.startswith(("http://", "https://")):
-            pages = [json.dumps(p) for p in fetch.paged(providers.asker(a.pages))]
+            rows = readers.reviews(spark, providers.asker(a.pages), f"{workspace(spark, a.work).root}/review-{uuid.uuid4().hex}")
         else:
-            pages = [open(p, encoding="utf-8").read() for p in sorted(glob.glob(a.pages))]
-        print(plans.accuracy_report(tables.verdicts(spark, pages)))
+            rows = tables.verdicts(spark, [open(p, encoding="utf-8").read() for p in sorted(glob.glob(a.pages))])
+        print(plans.accuracy_report(rows))
         return 0
     work, net = workspace(spark, a.work), web(a)
     if a.command == "discover":

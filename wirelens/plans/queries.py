@@ -11,12 +11,14 @@ from pyspark.sql import types as T
 from ..functions import dates, html, model_json, scoring, text
 from ..functions.constants import CLASSIFY_BATCH
 from ..operators import dedup, discovery, feedback, filters, matching, model_stage, sink, state
-from ..sources import tables
+from ..sources import readers, tables
 from ..workspace import Workspace
 
 AS_OF = "2024-01-31 00:00:00"
 Read = Callable[[str], DataFrame]
 QUERIES: dict[str, Callable[[Read], DataFrame]] = {}
+#: Queries that write files; tests hold them against others.
+WRITING = {"feed_files"}
 
 
 def query(f):
@@ -260,15 +262,32 @@ def host_filter(t):
     return t("pages").where(filters.on_own_host(F.col("url"), F.lit("example.com"))).select("page_id", "url")
 
 
-@query
-def rss_parse(t):
+def saved_feeds_of(t: Read) -> DataFrame:
+    """A feed for each user, with an item for each event."""
     e = t("events")
     item = F.concat(F.lit("<item><title> Event "), F.col("event_id").cast("string"), F.lit(" &amp; more </title><link>https://x.example.com/"), F.col("event_id").cast("string"), F.lit("</link><description>"), F.col("event_type"), F.lit("</description><pubDate>"), F.date_format("ts", "EEE, dd MMM yyyy HH:mm:ss"), F.lit(" +0000</pubDate></item>"))
-    feeds = e.groupBy(F.col("user_id").cast("string").alias("firm_name")).agg(F.concat(F.lit('<?xml version="1.0"?><rss version="2.0"><channel><title>f</title>'), F.array_join(F.array_sort(F.collect_list(item)), ""), F.lit("</channel></rss>")).alias("body"))
+    return e.groupBy(F.col("user_id").cast("string").alias("firm_name")).agg(F.concat(F.lit('<?xml version="1.0"?><rss version="2.0"><channel><title>f</title>'), F.array_join(F.array_sort(F.collect_list(item)), ""), F.lit("</channel></rss>")).alias("body"))
+
+
+def feed_items(feeds: DataFrame) -> DataFrame:
     got = tables.feed_articles(feeds, F.lit(AS_OF).cast("timestamp"), None)
     return got.select("firm_name", "title", "url", "summary", F.date_format("published", "yyyy-MM-dd HH:mm:ss").alias("published"))
 
 
+@query
+def rss_parse(t):
+    return feed_items(saved_feeds_of(t))
+
+
+@query
+def feed_files(t):
+    """The same feeds saved as payload files and read back through the data source; writes files, so it has no SQL."""
+    feeds = saved_feeds_of(t)
+    folder = Workspace.new(feeds.sparkSession, "feeds").root
+    readers.save(feeds, folder)
+    return feed_items(readers.load(feeds.sparkSession, folder))
+
+
 def linked_pages(t: Read) -> DataFrame:
     """Pages with a feed link or article links added, by page_id."""
     k = F.col("page_id")

@@ -77,12 +77,13 @@ def with_bodies(articles: DataFrame, bodies: DataFrame) -> DataFrame:
 
 def verdicts(spark: SparkSession, pages: list[str]) -> DataFrame:
     """Verdict rows from saved answer pages of the review database (JSON texts)."""
-    rows = []
-    for page in pages:
-        for r in json.loads(page).get("results", []):
-            p = r.get("properties", {})
-            rows.append((r.get("id", ""), *[property_value(p.get(n, {})) for n in ("Alert", "Verdict", "Action", "Deal Type", "Target", "Seller", "Buyer", "PE Firm", "%")], (p.get("URL") or {}).get("url") or ""))
-    return spark.createDataFrame(rows, schemas.VERDICT)
+    return spark.createDataFrame([verdict_row(r) for page in pages for r in json.loads(page).get("results", [])], schemas.VERDICT)
+
+
+def verdict_row(r: dict) -> tuple:
+    """A result of an answer page as a row of schemas.VERDICT."""
+    p = r.get("properties", {})
+    return (r.get("id", ""), *[property_value(p.get(n, {})) for n in ("Alert", "Verdict", "Action", "Deal Type", "Target", "Seller", "Buyer", "PE Firm", "%")], (p.get("URL") or {}).get("url") or "")
 
 
 def property_value(p: dict) -> str:
