@@ -10,6 +10,7 @@ from pyspark.sql import functions as F
 from .. import schemas
 from ..functions import dates, html, text
 from ..functions.constants import CORE_FEEDS, LAW_FIRMS, STATE_BYTES_TO_WARN
+from .versions import Versions
 
 RSS = "channel struct<item: array<struct<title: string, link: string, description: string, pubDate: string, updated: string>>>"
 ATOM = "entry array<struct<title: string, link: array<struct<_href: string, _rel: string>>, summary: string, content: string, published: string, updated: string>>"
@@ -98,17 +99,8 @@ def property_value(p: dict) -> str:
 
 
 def read_state(spark: SparkSession, path: str) -> dict[str, DataFrame]:
-    """The state tables of a folder; a missing or unreadable one is empty."""
-    from pyspark.errors import AnalysisException
-
-    found = {}
-    for name, schema in (("seen", schemas.SEEN), ("seen_deals", schemas.SEEN_DEALS), ("firm_errors", schemas.FIRM_ERRORS)):
-        try:
-            found[name] = spark.read.schema(schema).parquet(f"{path}/current/{name}")
-            found[name].limit(1).count()
-        except AnalysisException:
-            found[name] = spark.createDataFrame([], schema)
-    return found
+    """The state tables of a folder's newest version; where there is none they are empty."""
+    return Versions(spark, path).read()
 
 
 def state_from_json(spark: SparkSession, doc: str) -> dict[str, DataFrame]:
@@ -126,25 +118,15 @@ def state_from_json(spark: SparkSession, doc: str) -> dict[str, DataFrame]:
 
 
 def write_state(tables: dict[str, DataFrame], path: str, now: str | None = None) -> int:
-    """Writes a snapshot beside the current one, then swaps them; the old one stays as the backup.
+    """Writes a version of the state, of which only changed parts are new (versions.Versions); the one before stays as the backup.
 
-    A run log beside the tables has the time of the last run.  Gives the
-    snapshot's bytes and warns where they are many.
+    Gives the bytes of its parts and warns where they are many.
     """
     import warnings
 
-    spark = next(iter(tables.values())).sparkSession
-    for name, df in tables.items():
-        df.write.mode("overwrite").parquet(f"{path}/next/{name}")
-    spark.range(1).select((F.lit(now) if now else F.current_timestamp().cast("string")).alias("last_run")).write.mode("overwrite").parquet(f"{path}/next/last_run")
-    jvm = spark.sparkContext._jvm
-    at = lambda n: jvm.org.apache.hadoop.fs.Path(f"{path}/{n}")
-    fs = at("next").getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
-    fs.delete(at("backup"), True)
-    if fs.exists(at("current")):
-        fs.rename(at("current"), at("backup"))
-    fs.rename(at("next"), at("current"))
-    size = fs.getContentSummary(at("current")).getLength()
+    versions = Versions(next(iter(tables.values())).sparkSession, path)
+    versions.write(tables, now)
+    size = versions.size()
     if size > STATE_BYTES_TO_WARN:
         warnings.warn(f"the state has grown to {size} bytes", stacklevel=2)
     return size
@@ -152,9 +134,4 @@ def write_state(tables: dict[str, DataFrame], path: str, now: str | None = None)
 
 def last_run(spark: SparkSession, path: str) -> str | None:
     """When the last run saved its state; None before the first."""
-    from pyspark.errors import AnalysisException
-
-    try:
-        return spark.read.parquet(f"{path}/current/last_run").first()[0]
-    except AnalysisException:
-        return None
+    return (Versions(spark, path).load() or {}).get("last_run")
