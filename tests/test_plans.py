@@ -43,6 +43,9 @@ def test_scan_twice(spark, tmp_path):
     assert sorted(r["target_company"] for r in todo) == ["Beta", "Water Pumps"]
     assert any("[Also:" in r["reasoning"] for r in todo)
     assert got.documents.count() == 2
+    counts = {r["stage"]: r["n"] for r in got.counts.collect()}
+    assert counts == {"articles": 4, "distinct": 3, "new": 3, "with_text": 2, "with_seller": 3, "merged": 2, "unseen_deals": 2, "actionable": 2}
+    assert "Scan parquet" not in got.counts._jdf.queryExecution().toString() and "FileScan" not in got.counts._jdf.queryExecution().toString()
     tables.write_state(got.state, str(tmp_path / "state"))
     again = tables.read_state(spark, str(tmp_path / "state"))
     assert (again["seen"].count(), again["seen_deals"].count()) == (3, 2)
@@ -53,6 +56,17 @@ def test_scan_twice(spark, tmp_path):
     assert tables.read_state(spark, str(tmp_path / "missing"))["seen"].count() == 0
 
 
+def test_rows_are_counted_as_they_are_written(spark, tmp_path):
+    work = plans.Workspace(spark, str(tmp_path))
+    none = spark.createDataFrame([], "id long")
+    made = {"none": none, "some": spark.range(100), "filtered": spark.range(10).where("id > 20"), "joined": spark.range(100).join(none, "id"), "grouped": spark.range(90).groupBy((F.col("id") % 7).alias("id")).count()}
+    for name, df in made.items():
+        assert work.keep(df, name, low=F.col("id") < 3).count() == work.counts[name]["n"]
+        assert work.counts[name]["low"] == df.where("id < 3").count()
+    work.keep(spark.range(5), "some")
+    assert work.counts["some"] == {"n": 5}
+
+
 def test_model_outage_leaves_urls_unseen(spark, tmp_path):
     feed = spark.createDataFrame([("Acme", RSS)], "firm_name string, body string")
 

@@ -42,9 +42,13 @@ def action_counts(df: DataFrame) -> DataFrame:
     return df.agg(F.count_if(a == "pursue").alias("pursue"), F.count_if(a == "monitor").alias("monitor"), F.count_if(~a.isin("pursue", "monitor")).alias("discard"))
 
 
+def to_act_on() -> Column:
+    return F.col("recommended_action").isin("pursue", "monitor")
+
+
 def actionable(df: DataFrame) -> DataFrame:
     """Pursue, then monitor; rank keeps that order."""
-    return df.where(F.col("recommended_action").isin("pursue", "monitor")).withColumn("rank", F.when(F.col("recommended_action") == "pursue", 0).otherwise(1))
+    return df.where(to_act_on()).withColumn("rank", F.when(F.col("recommended_action") == "pursue", 0).otherwise(1))
 
 
 def route(firms: DataFrame, errors: DataFrame) -> DataFrame:

@@ -8,7 +8,6 @@ from __future__ import annotations
 
 from collections.abc import Callable
 from dataclasses import dataclass, field
-from functools import reduce
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -65,10 +64,9 @@ def _with_bodies(articles: DataFrame, inputs: Inputs) -> DataFrame:
     return tables.with_bodies(articles, found) if found is not None else articles
 
 
-def stage_counts(stages: dict[str, DataFrame]) -> DataFrame:
-    """stage, place and n: the rows that each stage let through; over written tables."""
-    parts = [df.agg(F.count("*").alias("n")).select(F.lit(name).alias("stage"), F.lit(k).alias("place"), "n") for k, (name, df) in enumerate(stages.items())]
-    return reduce(DataFrame.unionByName, parts)
+def stage_counts(spark: SparkSession, stages: dict[str, int]) -> DataFrame:
+    """stage, place and n: the rows that each stage let through, as they were counted while it was written."""
+    return spark.createDataFrame([(name, k, n) for k, (name, n) in enumerate(stages.items())], "stage string, place int, n long")
 
 
 def scan(
@@ -89,7 +87,7 @@ def scan(
     raw = work.keep(raw_articles(inputs, now, hours), "raw")
     distinct = work.keep(distinct_articles(raw), "distinct")
     fresh = work.keep(dedup.unseen(distinct, kept["seen"]), "new")
-    fresh = work.keep(_with_bodies(fresh, inputs), "fresh")
+    fresh = work.keep(_with_bodies(fresh, inputs), "fresh", with_text=F.coalesce("summary", F.lit("")) != "")
     alerts, replies = model_stage.classify(fresh, classify_with, ORDER, work.keep, work.calls)
     alerts = work.keep(alerts, "alerts")
     good = filters.alerts_to_score(alerts)
@@ -101,7 +99,7 @@ def scan(
     keyed = merged.select("at", F.col("target_company").alias("target"), "seller", F.coalesce("stage", F.lit("unknown")).alias("stage"))
     new = work.keep(merged.join(dedup.unseen_deals(keyed, kept["seen_deals"], work.keep).select("at"), "at", "left_semi"), "unseen-deals")
     scored, scores = model_stage.qualify(new, qualify_with, ["at"], work.keep, work.calls)
-    scored = work.keep(scored, "scored")
+    scored = work.keep(scored, "scored", actionable=filters.to_act_on())
     todo = filters.actionable(scored)
     documents = work.keep(sink.document(sink.project(todo.drop("ord").withColumnRenamed("at", "ord")), "deals"), "documents")
     written, taken = None, todo
@@ -114,7 +112,8 @@ def scan(
         answered = work.spark.read.parquet(f"{work.root}/classify-in").join(replies.where("reply is not null").select("batch"), "batch", "left_semi")
         kept["seen"] = state.mark_seen(kept["seen"], answered, now)
         kept["seen_deals"] = state.mark_deals(kept["seen_deals"], taken.select(F.col("target_company").alias("target"), "seller", F.coalesce("stage", F.lit("unknown")).alias("stage")), now)
-    counts = stage_counts({"articles": raw, "distinct": distinct, "new": fresh, "with_text": fresh.where("coalesce(summary, '') <> ''"), "with_seller": numbered, "merged": merged, "unseen_deals": new, "actionable": todo})
+    n = lambda table, what="n": work.counts[table][what]
+    counts = stage_counts(work.spark, {"articles": n("raw"), "distinct": n("distinct"), "new": n("new"), "with_text": n("fresh", "with_text"), "with_seller": n("positives"), "merged": n("merged"), "unseen_deals": n("unseen-deals"), "actionable": n("scored", "actionable")})
     return Result(alerts, todo, documents, kept, {"classify": model_stage.usage(replies), "qualify": model_stage.usage(scores)}, counts, written)
 
 
