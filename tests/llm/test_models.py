@@ -278,6 +278,36 @@ def test_jaccard_equals_brute_force(spark, monkeypatch, rare, block, span):
     assert sorted((-1 if x[0] is None else x[0], x[1], -1 if x[2] is None else x[2]) for x in got) == plain_components([(None if i == 2 else i, t) for i, t in enumerate(texts)])
 
 
+def templated(r, n, shared, low, high, tag):
+    """Texts that share a passage around their own words, of ``low`` to ``high``."""
+    base = [f"{tag}{i}" for i in range(shared)]
+    for _ in range(n):
+        yield " ".join([*base[: shared // 2], *[f"own{r.randrange(10**9)}" for _ in range(r.randint(low, high))], *base[shared // 2 :]])
+
+
+@pytest.mark.parametrize(("rare", "span"), [(3, 128), (3, 32), (1, 16)])
+def test_jaccard_reach_at_the_threshold(spark, monkeypatch, rare, span):
+    """Templates with own words about as many as the similarity allows, in families and in pairs: no link is lost to reach and bands."""
+    monkeypatch.setattr(jaccard, "RARE", rare)
+    monkeypatch.setattr(jaccard, "CLASS_SPAN", span)
+    r = random.Random(12)
+    texts = [t for k, shared in enumerate((30, 70, 143, 260)) for t in templated(r, 30, shared, 0, shared // 6, f"f{k}-")]
+    texts += [t for k in range(60) for t in templated(r, 2, r.randint(20, 120), 0, 9, f"p{k}-")]
+    r.shuffle(texts)
+    docs = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string")
+    for rule in (jaccard.Rule(4, 85), jaccard.Rule()):
+        assert sorted(map(tuple, jaccard.link_components(docs, rule).collect())) == plain_components(list(enumerate(texts)), *rule)
+
+
+def test_templates_without_links_make_no_family(spark, monkeypatch):
+    stars = []
+    found = jaccard._family_links
+    monkeypatch.setattr(jaccard, "_family_links", lambda s, *rest: stars.append(s.count()) or found(s, *rest))
+    texts = list(templated(random.Random(3), 300, 143, 14, 30, "t"))
+    got = jaccard.link_components(spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string"), jaccard.Rule(4, 85))
+    assert got.where("doc_id <> component_id").count() == 0 and stars == [0]
+
+
 def test_jaccard_by_other_rules(spark):
     r = random.Random(6)
     words = [f"w{i}" for i in range(60)]

@@ -17,14 +17,21 @@ Jaccard similarity: by default shingles of five words and 80 percent.
    shared frequent shingles fall in one class: pairs of frequent shingles of
    one class are indexed (2-token combinations).  C grows with n, which keeps
    the number of combinations in proportion to n.
-4. A bucket of at most RARE sets gives its pairs, which are made distinct,
-   filtered by length, and verified on the full sets.
-5. A larger bucket gives only a star.  Stars join into families, cut into
-   blocks of bounded size.  Each block is compared with itself and the family's
+4. An entry tells the largest size that a partner may have there: sets of n
+   and m shingles must share ceil(percent * (n + m) / (100 + percent)), which
+   leaves the fewer places for a common entry the larger the partner is.
+   A bucket of at most RARE sets gives its pairs that are in each other's
+   reach; they are made distinct and verified on the full sets.
+5. A larger bucket is dealt by pairs of size bands (BAND), each with the sets
+   of one band that reach the other; a part without both ends is dropped, a
+   small one gives pairs.  So sets that share a long passage but differ by more
+   than the similarity allows part here, however many they are.
+6. A part that is still large gives only a star.  Stars join into families, cut
+   into blocks of bounded size.  Each block is compared with itself and the family's
    first block, by a matrix product that returns a spanning forest, never all
    pairs.  What the largest group so found leaves of a family is then compared
    with the whole family; the group itself is connected and is not.
-6. Components of the verified links give every document the smallest doc_id
+7. Components of the verified links give every document the smallest doc_id
    that it reaches.
 
 Shingles are 64-bit hashes.  Defined cases: a document without words, or null,
@@ -62,6 +69,8 @@ KEEP, KEEP_PART = 8, 10
 RARE = 16
 #: Shingles of a set for which one hash class of frequent shingles is used.
 CLASS_SPAN = 128
+#: Ratio of the sizes that bound a size band.
+BAND = 1.05
 #: Sets and shingles of one block of a family.
 BLOCK_SETS, BLOCK_SHINGLES = 512, 500_000
 #: Class representatives whose ids are broadcast to fetch their texts; more are fetched by a shuffled join.
@@ -156,7 +165,11 @@ def levels(n: int, percent: int) -> set[int]:
 
 
 def _index(percent: int):
-    """For mapInArrow: (key, n, bucket) of every indexed single shingle and combination; tokens are (count, hash), rarest first."""
+    """For mapInArrow: (key, n, bucket, far) of every indexed single shingle and combination; tokens are (count, hash), rarest first.
+
+    ``far`` is the largest size of a set that may be met there: one of m
+    shingles is met in the first n - ceil(percent * (n + m) / (100 + percent)) + c + 1.
+    """
 
     def run(batches):
         key_of = lambda a, b, c: ((a * np.uint64(0x9E3779B97F4A7C15) ^ b) * np.uint64(0xC2B2AE3D27D4EB4F) ^ (b >> np.uint64(31))) * np.uint64(0x165667B19E3779F9) + np.uint64(c)
@@ -167,25 +180,60 @@ def _index(percent: int):
                 h = tokens.field(1).to_numpy(zero_copy_only=False).view(np.uint64)
                 spare = n - len(h)  # shingles of no other set: the rarest, first in the prefix
                 bound = -(-n * percent // 100)
-                buckets = []
+                buckets, reach = [], []
                 for c in levels(n, percent):
                     few = max(0, n - bound + min(c + 1, bound) - spare)
+                    place = spare + 1 + np.arange(len(h[:few]))
+                    far = np.minimum((100 + percent) * (n + c + 1 - place) // percent - n, n * 100 // percent)
                     rare = count[:few] <= RARE
                     buckets.append(h[:few][rare])
-                    often = h[:few][~rare]
+                    reach.append(far[rare])
+                    often, often_far = h[:few][~rare], far[~rare]
                     for own in range(c):
-                        t = np.sort(often[often % np.uint64(c) == own])
+                        mine = often % np.uint64(c) == own
+                        t, t_far = often[mine], often_far[mine]
                         if len(t) > 1:
                             i, j = np.triu_indices(len(t), 1)
-                            buckets.append(key_of(t[i], t[j], c))
-                every = np.unique(np.concatenate(buckets)) if buckets else np.empty(0, np.uint64)
+                            buckets.append(key_of(np.minimum(t[i], t[j]), np.maximum(t[i], t[j]), c))
+                            reach.append(t_far[j])  # the later place is the nearer bound
+                if not buckets:
+                    continue
+                every, reach = np.concatenate(buckets), np.concatenate(reach)
+                order = np.lexsort((-reach, every))
+                every, reach = every[order], reach[order]
+                first = np.ones(len(every), bool)
+                first[1:] = every[1:] != every[:-1]
+                every, reach = every[first], reach[first]
                 for at in range(0, len(every), 20_000):
                     part = every[at : at + 20_000].view(np.int64)
-                    yield pa.RecordBatch.from_arrays([pa.array([batch.column(0)[k].as_py()] * len(part), pa.int64()), pa.array(np.full(len(part), n)), pa.array(part)], names=["key", "n", "bucket"])
+                    yield pa.RecordBatch.from_arrays([pa.array([batch.column(0)[k].as_py()] * len(part), pa.int64()), pa.array(np.full(len(part), n)), pa.array(part), pa.array(reach[at : at + 20_000], pa.int64())], names=["key", "n", "bucket", "far"])
 
     return run
 
 
+def _near_pairs(few: DataFrame, by: list[str], percent: int) -> DataFrame:
+    """(a, b): pairs of sets (key, n, far) of a bucket of RARE sets at most that are in each other's reach."""
+    held = few.groupBy(*by).agg(F.array_sort(F.collect_list(F.struct("key", "n", "far"))).alias("m"))
+    near = lambda x, y: (x["far"] >= y["n"]) & (y["far"] >= x["n"]) & (F.least(x["n"], y["n"]) * 100 >= F.greatest(x["n"], y["n"]) * percent)
+    met = F.transform("m", lambda x, i: F.transform(F.filter(F.slice("m", i + 2, F.size("m")), lambda y: near(x, y)), lambda y: F.struct(x["key"].alias("a"), y["key"].alias("b"))))
+    return held.select(F.explode(F.flatten(met)).alias("p")).select("p.*")
+
+
+def _banded(large: DataFrame, scratch: Scratch, percent: int) -> DataFrame:
+    """Buckets dealt by pairs of size bands: (key, n, far, bucket, low, high, c, pivot) of parts in which both bands have sets that reach the other."""
+    band = lambda size: F.floor(F.log(size.cast("double")) / float(np.log(BAND))).cast("int")
+    # no partner is smaller or larger than a set of the bucket
+    least, most = F.greatest(overlap_bound(F.col("n"), percent), F.col("lo")), F.least("far", "hi")
+    own, other = band(F.col("n")), F.explode(F.sequence(band(least), band(most)))
+    parts = large.where(least <= most).select("key", "n", "far", "bucket", own.alias("own"), other.alias("other"))
+    parts = parts.select("key", "n", "far", "bucket", "own", F.least("own", "other").alias("low"), F.greatest("own", "other").alias("high"))
+    parts = scratch.table(parts, "bands")
+    by = ["bucket", "low", "high"]
+    size = parts.groupBy(*by).agg(F.count("*").alias("c"), F.min("key").alias("pivot"), F.min("own").alias("from"), F.max("own").alias("to"))
+    size = size.where((F.col("c") > 1) & (F.col("from") == F.col("low")) & (F.col("to") == F.col("high"))).drop("from", "to")
+    return parts.drop("own").join(size, by)
+
+
 def _linked(shared: Column, n: Column, m: Column, percent: int) -> Column:
     return shared * 100 >= (n + m - shared) * percent
 
@@ -305,18 +353,18 @@ def links(docs: DataFrame, reps: DataFrame, scratch: Scratch, rule: Rule) -> Dat
     known = each.groupBy("h").agg(F.count("*").alias("c")).where("c > 1")
     ranked = each.join(known, "h").groupBy("key").agg(F.array_sort(F.collect_list(F.struct("c", "h"))).alias("tokens"))  # a list is one document's set
     ranked = ranked.join(sets.select("key", "n"), "key").where(F.size("tokens") >= overlap_bound(F.col("n"), rule.percent))
-    index = scratch.table(map_arrow(ranked.select("key", "n", "tokens"), _index(rule.percent), "key long, n long, bucket long"), "index")
+    index = scratch.table(map_arrow(ranked.select("key", "n", "tokens"), _index(rule.percent), "key long, n long, bucket long, far long"), "index")
     scratch.release()
-    size = index.groupBy("bucket").agg(F.count("*").alias("c"), F.min("key").alias("pivot")).where("c > 1")
-    placed = scratch.table(index.join(size, "bucket"), "buckets")
+    size = index.groupBy("bucket").agg(F.count("*").alias("c"), F.min("n").alias("lo"), F.max("n").alias("hi"), F.max("far").alias("top")).where("c > 1")
+    placed = scratch.table(index.join(size, "bucket").where("far >= lo and n <= top").drop("top"), "buckets")
     scratch.release()
-    few = placed.where(F.col("c") <= RARE).groupBy("bucket").agg(F.array_sort(F.collect_list(F.struct("key", "n"))).alias("m"))  # RARE sets at most
-    pairs = few.select(F.explode(F.flatten(F.transform("m", lambda x, i: F.transform(F.slice("m", i + 2, F.size("m")), lambda y: F.struct(x["key"].alias("a"), y["key"].alias("b"), F.least(x["n"], y["n"]).alias("low"), F.greatest(x["n"], y["n"]).alias("high")))))).alias("p")).select("p.*")
-    pairs = pairs.where(F.col("low") * 100 >= F.col("high") * rule.percent).groupBy("a", "b").agg(F.lit(1).alias("x"))
+    parts = scratch.table(_banded(placed.where(F.col("c") > RARE), scratch, rule.percent), "parts")
+    pairs = _near_pairs(placed.where(F.col("c") <= RARE), ["bucket"], rule.percent).unionAll(_near_pairs(parts.where(F.col("c") <= RARE), ["bucket", "low", "high"], rule.percent))
+    pairs = pairs.groupBy("a", "b").agg(F.lit(1).alias("x"))
     one, two = (sets.select(F.col("key").alias(k), F.col("n").alias(f"n_{k}"), F.col("tokens").alias(f"t_{k}")) for k in "ab")
     met = pairs.select("a", "b").join(one, "a").join(two, "b")
     checked = met.where(_linked(F.size(F.array_intersect("t_a", "t_b")).cast("long"), F.col("n_a"), F.col("n_b"), rule.percent)).select("a", "b")
-    stars = placed.where((F.col("c") > RARE) & (F.col("key") != F.col("pivot"))).groupBy("key", "pivot").agg(F.lit(1).alias("x")).select(F.col("key").alias("a"), F.col("pivot").alias("b"))
+    stars = parts.where((F.col("c") > RARE) & (F.col("key") != F.col("pivot"))).groupBy("key", "pivot").agg(F.lit(1).alias("x")).select(F.col("key").alias("a"), F.col("pivot").alias("b"))
     return checked.unionAll(_family_links(stars, sets, scratch, rule.percent))
 
 
