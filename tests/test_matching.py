@@ -2,6 +2,7 @@
 
 import itertools
 import random
+import re
 import time
 
 import pytest
@@ -104,6 +105,43 @@ def test_blocks_keep_apart(spark):
     assert dedup.fold_repeats(df.where("false"), ["stage"]).count() == 0
 
 
+def broadcast_tables(plan):
+    """Tables that a plan's broadcasts read with no exchange between, whose sizes are guessed from files."""
+    inside, found = [], set()  # (column, whether a broadcast) of the exchanges above a line
+    for line in plan.splitlines():
+        column = len(line) - len(line.lstrip(" :+-*("))
+        while inside and inside[-1][0] >= column:
+            inside.pop()
+        if "BroadcastExchange" in line or " Exchange " in line:
+            inside.append((column, "BroadcastExchange" in line))
+        elif inside and inside[-1][1]:
+            found.update(re.findall(r"/(fold-[a-z0-9]+)\]", line))
+    return found
+
+
+@pytest.mark.parametrize("rounds", [False, True], ids=["tasks", "rounds"])
+def test_fold_broadcasts_no_rows(spark, monkeypatch, rounds):
+    """Few names in many rows are small files; only tables of names may go through the driver."""
+    r = random.Random(4)
+    rows = [(i, f"t{i}", f"Target {r.randrange(5)}", f"Seller {r.randrange(3)}", r.randrange(50), "", r.choice("ab")) for i in range(3000)]
+    if rounds:
+        monkeypatch.setattr(dedup, "FOLD_ROWS", 0)
+    kept, plans = Workspace.new(spark, "test").keep, []
+
+    def keep(df, name):
+        plans.append(df._jdf.queryExecution().executedPlan().toString())
+        return kept(df, name)
+
+    spark.conf.set("spark.sql.maxMetadataStringLength", "1000")
+    try:
+        out = dedup.fold_repeats(spark.createDataFrame(rows, SCHEMA), ["stage"], keep=keep)
+        plans.append(out._jdf.queryExecution().executedPlan().toString())
+    finally:
+        spark.conf.unset("spark.sql.maxMetadataStringLength")
+    found = set().union(*map(broadcast_tables, plans))
+    assert "fold-homes" in found and not {t for t in found if t in ("fold-rows", "fold-open", "fold-edges", "fold-groups") or t[5:].isdigit()}, found
+
+
 def test_many_deals_of_one_seller_that_match_nothing(spark):
     """A hundred thousand names of one seller: work follows what matches, not the square of the block."""
     word = lambda k: F.conv(F.pmod(F.xxhash64("id", F.lit(k)), F.lit(1 << 40)).cast("string"), 10, 36)

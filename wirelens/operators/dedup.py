@@ -46,6 +46,11 @@ def unseen_deals(deals: DataFrame, seen: DataFrame, keep: Keep | None = None) ->
     return deals.withColumn("deal", own).join(hit, "deal", "left_anti").select(*[deals[c] for c in deals.columns])
 
 
+def _merged(table: DataFrame) -> DataFrame:
+    """A table of rows or matches as side of a join that broadcasts neither: its files are small where few names repeat, its rows are not."""
+    return table.hint("merge")
+
+
 #: A block up to so many rows and matches is folded by a task.
 FOLD_ROWS, FOLD_MATCHES = 100_000, 3_000_000
 
@@ -92,7 +97,7 @@ def _leaders(state: DataFrame) -> DataFrame:
     stuck = first.where("confidence is null and ord = grp").select("ord", "id", "grp", F.lit(None).cast("long").alias("until"))
     above = Window.partitionBy("grp").orderBy(F.desc("confidence")).rowsBetween(Window.unboundedPreceding, -1)
     rising = first.where("confidence is not null").withColumn("until", F.min("ord").over(above)).where("until is null or ord < until")
-    return rising.join(stuck.select("grp"), "grp", "left_anti").select("ord", "id", "grp", "until").unionAll(stuck)
+    return rising.join(_merged(stuck.select("grp")), "grp", "left_anti").select("ord", "id", "grp", "until").unionAll(stuck)
 
 
 def _fold_in_rounds(rows: DataFrame, edges: DataFrame, keep: Keep) -> DataFrame:
@@ -109,11 +114,11 @@ def _fold_in_rounds(rows: DataFrame, edges: DataFrame, keep: Keep) -> DataFrame:
     leaders = rows.groupBy("id").agg(F.min("ord").alias("ord")).select("ord", "id", F.col("ord").alias("grp"), F.lit(None).cast("long").alias("until"))
     before = None
     for k in itertools.count(1):
-        offers = leaders.withColumnRenamed("id", "l").join(edges, "l").select("r", F.col("ord").alias("since"), "grp", "until")
+        offers = leaders.withColumnRenamed("id", "l").join(_merged(edges), "l").select("r", F.col("ord").alias("since"), "grp", "until")
         # a group that stays open to a name hides all later groups from then on
         lasting = offers.where("until is null").groupBy("r").agg(F.min(F.struct("grp", "since")).alias("m")).select("r", F.col("m.grp").alias("g"), F.col("m.since").alias("s"))
         offers = offers.join(lasting, "r", "left").where("g is null or grp <= g or since < s").select(F.col("r").alias("id"), "since", "grp", "until")
-        met = rows.join(offers, "id").where("since < ord and (until is null or until >= ord)").groupBy("ord").agg(F.min("grp").alias("grp"))
+        met = _merged(rows).join(offers, "id").where("since < ord and (until is null or until >= ord)").groupBy("ord").agg(F.min("grp").alias("grp"))
         state = keep(rows.join(met, "ord", "left").select("ord", "id", "confidence", F.coalesce("grp", "ord").alias("grp")), f"fold-{k}")
         now = state.agg(F.sum(F.xxhash64("ord", "grp").cast("decimal(38,0)"))).first()[0]
         if now == before:
@@ -159,15 +164,15 @@ def fold_repeats(alerts: DataFrame, block: list[str], order: str = "ord", keep:
     groups = small
     if not large.isEmpty():
         groups = small.unionAll(_fold_in_rounds(large, edges.join(open_ids, edges["r"] == open_ids["id"], "left_semi"), keep))
-    state = keep(rows.join(groups, "ord"), "fold-groups")
+    state = keep(_merged(rows).join(groups, "ord"), "fold-groups")
     leaders = _leaders(state)
     last = leaders.where("until is null").select("grp", F.col("ord").alias("last"))
     before = leaders.where("until is not null").groupBy("grp").agg(F.max("ord").alias("before"))
     ends = keep(last.join(before, "grp", "left"), "fold-ends")
-    noted = state.join(ends, "grp").where("ord > last or ord = before").select("ord", "grp")
-    titles = noted.join(held.select("ord", "title"), "ord").groupBy("grp").agg(F.array_sort(F.collect_list(F.struct("ord", F.coalesce("title", F.lit("")).alias("title")))).alias("t"))
+    noted = _merged(state).join(ends, "grp").where("ord > last or ord = before").select("ord", "grp")
+    titles = noted.join(_merged(held.select("ord", "title")), "ord").groupBy("grp").agg(F.array_sort(F.collect_list(F.struct("ord", F.coalesce("title", F.lit("")).alias("title")))).alias("t"))
     notes = titles.select("grp", F.array_join(F.transform("t", lambda t: F.concat(F.lit("\n[Also: "), t["title"], F.lit("]"))), "").alias("notes"))
-    out = held.join(ends.select(F.col("last").alias("ord"), "grp"), "ord").join(notes, "grp", "left")
+    out = _merged(held).join(ends.select(F.col("last").alias("ord"), "grp"), "ord").join(notes, "grp", "left")
     reasoning = F.when(F.col("notes").isNotNull(), F.concat(F.coalesce("reasoning", F.lit("")), "notes")).otherwise(F.col("reasoning"))
     return out.withColumn("reasoning", reasoning).select(*[b for b in block if b not in _OWN], F.col("grp").alias("place"), *_OWN)
 
